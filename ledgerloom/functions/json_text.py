@@ -20,6 +20,7 @@ from ledgerloom.functions.text import (
     NUMBER_MARKS,
     NUMBER_PATTERN,
     NUMERIC_NAME_PARTS,
+    let,
     parse_number,
     round_exact,
     squeeze,
@@ -60,24 +61,32 @@ def quote(text: Column) -> Column:
     plain = text
     for char, escape in SHORT_ESCAPES.items():
         plain = F.replace(plain, F.lit(char), F.lit(escape))
-    odd = F.array_distinct(F.regexp_extract_all(plain, F.lit("([^ -~])"), F.lit(1)))
-    folded = F.aggregate(odd, plain, lambda done, char: F.replace(done, char, _escape(char)))
-    return F.concat(F.lit('"'), F.when(plain.rlike("[^ -~]"), folded).otherwise(plain), F.lit('"'))
+
+    def escaped(value: Column) -> Column:
+        odd = F.array_distinct(F.regexp_extract_all(value, F.lit("([^ -~])"), F.lit(1)))
+        folded = F.aggregate(odd, value, lambda done, char: F.replace(done, char, _escape(char)))
+        return F.when(value.rlike("[^ -~]"), folded).otherwise(value)
+
+    return F.concat(F.lit('"'), let(plain, escaped), F.lit('"'))
 
 
 def float_text(number: Column) -> Column:
-    """A double (already rounded to at most six places) as shortest text.
+    """A double as its shortest text.
 
     Plain notation between 1e-4 and 1e16, always with a decimal point;
     scientific notation with a signed two-digit exponent outside of it.
     """
+    return let(number, _float_text)
+
+
+def _float_text(number: Column) -> Column:
     size = F.abs(number)
-    fixed = F.replace(F.format_number(number, 6), F.lit(","), F.lit(""))
-    short = F.regexp_replace(fixed, r"(\.\d+?)0+$", "$1")
+
+    def without_zeros(text: Column) -> Column:
+        return F.regexp_replace(text, r"(\.\d+?)0+$", "$1")
+
     java = number.cast("string")
-    plain = F.regexp_replace(
-        number.cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1"
-    )
+    six = F.replace(F.format_number(number, 6), F.lit(","), F.lit(""))
     mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
     exponent = F.substring_index(java, "E", -1).try_cast("int")
     scientific = F.concat(
@@ -86,8 +95,10 @@ def float_text(number: Column) -> Column:
         F.lpad(F.abs(exponent).cast("string"), 2, "0"),
     )
     return (
-        F.when((size == 0) | ((size >= 1e-4) & (size < 1e9)), short)
-        .when((size >= 1e9) & (size < 1e16), plain)
+        F.when(((size == 0) | (size >= 1e-4)) & (size < 1e9) & (six.cast("double") == number), without_zeros(six))
+        .when((size >= 1e-3) & (size < 1e7), java)
+        .when((size >= 1e7) & (size < 1e16), without_zeros(number.cast("decimal(38,18)").cast("string")))
+        .when((size >= 1e-4) & (size < 1e-3), without_zeros(number.cast("decimal(38,24)").cast("string")))
         .when(F.isnan(number), "NaN")
         .when(size == math.inf, F.when(number > 0, "Infinity").otherwise("-Infinity"))
         .otherwise(scientific)
@@ -100,10 +111,11 @@ def _names_number(name: str) -> bool:
 
 
 def _string_json(text: Column, key: str) -> Column:
-    clean = squeeze(text)
-    number = parse_number(clean)
-    allowed = F.lit(True) if _names_number(key) else clean.rlike(NUMBER_MARKS)
-    return F.when(allowed & number.isNotNull(), float_text(number)).otherwise(quote(clean))
+    def written(clean: Column) -> Column:
+        allowed = F.lit(True) if _names_number(key) else clean.rlike(NUMBER_MARKS)
+        return F.coalesce(F.when(allowed, float_text(parse_number(clean))), quote(clean))
+
+    return let(squeeze(text), written)
 
 
 def context_json(
@@ -117,6 +129,9 @@ def context_json(
     """
 
     def wrap(pieces: Column, opening: str, closing: str) -> Column:
+        return let(pieces, lambda bound: joined(bound, opening, closing))
+
+    def joined(pieces: Column, opening: str, closing: str) -> Column:
         if indent is None:
             body, start, end = F.array_join(pieces, ", "), opening, closing
         else:
@@ -132,12 +147,9 @@ def context_json(
     if isinstance(schema, T.StructType):
         renamed = {" ".join(field.name.split()): field for field in schema.fields}
         fields = [
-            F.when(
-                context[renamed[name].name].isNotNull(),
-                F.concat(
-                    F.lit(json.dumps(name) + ": "),
-                    nested(context[renamed[name].name], renamed[name].dataType, renamed[name].name),
-                ),
+            F.concat(
+                F.lit(json.dumps(name) + ": "),
+                nested(context[renamed[name].name], renamed[name].dataType, renamed[name].name),
             )
             for name in sorted(renamed)
         ]

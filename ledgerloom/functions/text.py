@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +27,15 @@ NUMERIC_NAME_PARTS = (
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once and named once in the plan.
+
+    For bodies that mention a long expression many times: without a binding the
+    plan would grow by that factor at every level of nesting.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def squeeze(text: Column) -> Column:
     """White-space runs become one space; both ends are stripped."""
     return F.trim(F.regexp_replace(text, f"[{BLANKS}]+", " "))

@@ -11,6 +11,6 @@ from ledgerloom.session import build_session
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("local[4]", shuffle_partitions=4)
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

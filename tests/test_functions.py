@@ -59,7 +59,7 @@ def test_quote_matches_ascii_json(spark):
 
 def test_float_text_matches_shortest_repr(spark):
     values = [0.0, 1.0, -2.5, 0.1, 250000000.0, 1e-05, 1.2e-05, 0.0001, 1e15, 1e16, 2.5e20, 123456789.123456,
-              12345678901.25, -0.0]
+              12345678901.25, -0.0, 0.12345678912, 0.000123456789123, 1e-7, 12345678.123456789]
     assert apply(spark, json_text.float_text, values, "double") == [repr(v) for v in values]
 
 
