@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import round_exact
+from ledgerloom.functions.text import sql_text
 
 
 def order_key(seed: int, row_id: Column) -> Column:
@@ -20,30 +20,34 @@ def order_key(seed: int, row_id: Column) -> Column:
 
 
 class Draws:
-    """Draws for one seed and one row-index column."""
+    """SQL for the draws of one seed and one row-index column.
 
-    def __init__(self, seed: int, index: Column):
+    SQL text rather than columns: fields may refer to fields drawn before them,
+    and bounds such as ``budget * 0.35D`` read as they are meant.
+    """
+
+    def __init__(self, seed: int, index: str):
         self.seed = seed
         self.index = index
 
-    def unit(self, field: str) -> Column:
+    def unit(self, field: str) -> str:
         """Uniform in [0, 1) with 32 bits."""
-        digest = F.md5(F.concat_ws("|", F.lit(str(self.seed)), self.index.cast("string"), F.lit(field)))
-        return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
+        digest = f"md5(concat_ws('|', '{self.seed}', cast({self.index} AS STRING), '{field}'))"
+        return f"(cast(conv(substring({digest}, 1, 8), 16, 10) AS DOUBLE) / 4294967296D)"
 
-    def uniform(self, field: str, low: float | Column, high: float | Column) -> Column:
+    def uniform(self, field: str, low: float | str, high: float | str) -> str:
         """Uniform between two bounds, rounded to cents."""
-        start = low if isinstance(low, Column) else F.lit(float(low))
-        stop = high if isinstance(high, Column) else F.lit(float(high))
-        return round_exact(start + (stop - start) * self.unit(field), 2)
+        start, stop = (at if isinstance(at, str) else f"{float(at)}D" for at in (low, high))
+        exact = f"({start}) + (({stop}) - ({start})) * {self.unit(field)}"
+        return f"cast(replace(format_number({exact}, 2), ',', '') AS DOUBLE)"
 
-    def integer(self, field: str, low: int, high: int) -> Column:
+    def integer(self, field: str, low: int, high: int) -> str:
         """Whole number, both ends included."""
-        return F.lit(low).cast("bigint") + F.floor(self.unit(field) * F.lit(float(high - low + 1)))
+        return f"{low}L + floor({self.unit(field)} * {high - low + 1}D)"
 
-    def choice(self, field: str, options: Sequence[str]) -> Column:
-        position = F.floor(self.unit(field) * F.lit(float(len(options)))).cast("int") + 1
-        return F.element_at(F.array(*[F.lit(option) for option in options]), position)
+    def choice(self, field: str, options: Sequence[str]) -> str:
+        listed = ", ".join(sql_text(option) for option in options)
+        return f"element_at(array({listed}), cast(floor({self.unit(field)} * {len(options)}D) AS INT) + 1)"
 
-    def flag(self, field: str) -> Column:
-        return self.unit(field) < 0.5
+    def flag(self, field: str) -> str:
+        return f"{self.unit(field)} < 0.5D"

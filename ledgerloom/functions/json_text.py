@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.text import (
+    BLANKS,
     NUMBER_MARKS,
     NUMBER_PATTERN,
     NUMERIC_NAME_PARTS,
     let,
-    parse_number,
-    round_exact,
-    squeeze,
+    sql_let,
+    sql_text,
 )
 
 # The short escapes of JSON strings.
@@ -38,71 +38,64 @@ SHORT_ESCAPES = {
 }
 
 
-def _escape(char: Column) -> Column:
-    code = F.ascii(char)
-    above = code - 0x10000
-
-    def unit(value: Column) -> Column:
-        return F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(value)), 4, "0"))
-
-    pair = F.concat(
-        unit(F.lit(0xD800) + F.shiftright(above, 10)),
-        unit(F.lit(0xDC00) + above.bitwiseAND(0x3FF)),
-    )
-    return F.when(code < 0x10000, unit(code)).otherwise(pair)
+# A double (named ``x``) as its shortest text: plain notation between 1e-4 and
+# 1e16, always with a decimal point; scientific outside, with a two-digit exponent.
+_ZEROS = r"r'(\.\d+?)0+$', '$1'"
+FLOAT_SQL = rf"""
+CASE
+  WHEN (x = 0 OR abs(x) >= 1e-4) AND abs(x) < 1e9
+       AND cast(replace(format_number(x, 6), ',', '') AS DOUBLE) = x
+    THEN regexp_replace(replace(format_number(x, 6), ',', ''), {_ZEROS})
+  WHEN abs(x) >= 1e-3 AND abs(x) < 1e7 THEN cast(x AS STRING)
+  WHEN abs(x) >= 1e7 AND abs(x) < 1e16
+    THEN regexp_replace(cast(cast(x AS DECIMAL(38, 18)) AS STRING), {_ZEROS})
+  WHEN abs(x) >= 1e-4 AND abs(x) < 1e-3
+    THEN regexp_replace(cast(cast(x AS DECIMAL(38, 24)) AS STRING), {_ZEROS})
+  WHEN isnan(x) THEN 'NaN'
+  WHEN x = double('Infinity') THEN 'Infinity'
+  WHEN x = double('-Infinity') THEN '-Infinity'
+  ELSE concat(
+    regexp_replace(substring_index(cast(x AS STRING), 'E', 1), r'\.0$', ''),
+    CASE WHEN abs(x) < 1 THEN 'e-' ELSE 'e+' END,
+    lpad(cast(abs(try_cast(substring_index(cast(x AS STRING), 'E', -1) AS INT)) AS STRING), 2, '0'))
+END"""
+
+# One character (named ``c``) as an escape, as a surrogate pair above the basic plane.
+_ESCAPE_SQL = r"""
+CASE
+  WHEN ascii(c) < 65536 THEN concat(r'\u', lpad(lower(hex(ascii(c))), 4, '0'))
+  ELSE concat(r'\u', lower(hex(55296 + shiftright(ascii(c) - 65536, 10))),
+              r'\u', lower(hex(56320 + ((ascii(c) - 65536) & 1023))))
+END"""
+
+# A string (named ``s``) as the inside of a JSON literal. Texts in printable
+# ASCII skip the fold, which runs once per distinct odd character.
+_SHORT = "s"
+for _char, _written in SHORT_ESCAPES.items():
+    _SHORT = f"replace({_SHORT}, {sql_text(_char)}, {sql_text(_written)})"
+QUOTE_SQL = f"""
+concat('"', {sql_let(_SHORT, "t", f"""
+CASE WHEN t RLIKE '[^ -~]'
+  THEN aggregate(array_distinct(regexp_extract_all(t, '([^ -~])', 1)), t,
+                 (done, c) -> replace(done, c, {_ESCAPE_SQL}))
+  ELSE t END""")}, '"')"""
+
+NUMBER_SQL = rf"""
+CASE WHEN s RLIKE r'{NUMBER_PATTERN}' THEN
+  cast(replace(format_number(
+    try_cast(regexp_replace(s, r'[()$,%]', '') AS DOUBLE)
+      * CASE WHEN startswith(s, '(') AND endswith(s, ')') THEN -1D ELSE 1D END, 6), ',', '') AS DOUBLE)
+END"""
 
 
 def quote(text: Column) -> Column:
-    """A JSON string literal; everything outside printable ASCII is escaped.
-
-    Texts without such characters (the common case) skip the escape fold, and
-    the fold runs once per distinct character, not once per occurrence.
-    """
-    plain = text
-    for char, escape in SHORT_ESCAPES.items():
-        plain = F.replace(plain, F.lit(char), F.lit(escape))
-
-    def escaped(value: Column) -> Column:
-        odd = F.array_distinct(F.regexp_extract_all(value, F.lit("([^ -~])"), F.lit(1)))
-        folded = F.aggregate(odd, value, lambda done, char: F.replace(done, char, _escape(char)))
-        return F.when(value.rlike("[^ -~]"), folded).otherwise(value)
-
-    return F.concat(F.lit('"'), let(plain, escaped), F.lit('"'))
+    """A JSON string literal; everything outside printable ASCII is escaped."""
+    return let(text, "s", QUOTE_SQL)
 
 
 def float_text(number: Column) -> Column:
-    """A double as its shortest text.
-
-    Plain notation between 1e-4 and 1e16, always with a decimal point;
-    scientific notation with a signed two-digit exponent outside of it.
-    """
-    return let(number, _float_text)
-
-
-def _float_text(number: Column) -> Column:
-    size = F.abs(number)
-
-    def without_zeros(text: Column) -> Column:
-        return F.regexp_replace(text, r"(\.\d+?)0+$", "$1")
-
-    java = number.cast("string")
-    six = F.replace(F.format_number(number, 6), F.lit(","), F.lit(""))
-    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(java, "E", -1).try_cast("int")
-    scientific = F.concat(
-        mantissa,
-        F.when(exponent < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(exponent).cast("string"), 2, "0"),
-    )
-    return (
-        F.when(((size == 0) | (size >= 1e-4)) & (size < 1e9) & (six.cast("double") == number), without_zeros(six))
-        .when((size >= 1e-3) & (size < 1e7), java)
-        .when((size >= 1e7) & (size < 1e16), without_zeros(number.cast("decimal(38,18)").cast("string")))
-        .when((size >= 1e-4) & (size < 1e-3), without_zeros(number.cast("decimal(38,24)").cast("string")))
-        .when(F.isnan(number), "NaN")
-        .when(size == math.inf, F.when(number > 0, "Infinity").otherwise("-Infinity"))
-        .otherwise(scientific)
-    )
+    """A double as its shortest text."""
+    return let(number, "x", FLOAT_SQL)
 
 
 def _names_number(name: str) -> bool:
@@ -110,64 +103,56 @@ def _names_number(name: str) -> bool:
     return any(part in lowered for part in NUMERIC_NAME_PARTS)
 
 
-def _string_json(text: Column, key: str) -> Column:
-    def written(clean: Column) -> Column:
-        allowed = F.lit(True) if _names_number(key) else clean.rlike(NUMBER_MARKS)
-        return F.coalesce(F.when(allowed, float_text(parse_number(clean))), quote(clean))
-
-    return let(squeeze(text), written)
+def _string_sql(value: str, key: str) -> str:
+    """A squeezed string, or the number it spells where that is allowed."""
+    number = sql_let(NUMBER_SQL, "x", FLOAT_SQL)
+    if not _names_number(key):
+        number = f"CASE WHEN s RLIKE r'{NUMBER_MARKS}' THEN {number} END"
+    clean = f"trim(regexp_replace({value}, r'[{BLANKS}]+', ' '))"
+    return sql_let(clean, "s", f"coalesce({number}, {QUOTE_SQL})")
 
 
-def context_json(
-    context: Column, schema: T.DataType, indent: int | None = None, key: str = "", depth: int = 0
-) -> Column:
-    """Normalised canonical JSON of a typed context.
+def _value_sql(value: str, kind: T.DataType, indent: int | None, key: str, depth: int) -> str:
+    def wrap(pieces: str, opening: str, closing: str) -> str:
+        between, start, end = ", ", opening, closing
+        if indent is not None:
+            inner = "\n" + " " * (indent * (depth + 1))
+            between, start = "," + inner, opening + inner
+            end = "\n" + " " * (indent * depth) + closing
+        full = f"concat({sql_text(start)}, array_join(p, {sql_text(between)}), {sql_text(end)})"
+        return sql_let(pieces, "p", f"CASE WHEN size(p) = 0 THEN '{opening}{closing}' ELSE {full} END")
+
+    if isinstance(kind, T.StructType):
+        renamed = {" ".join(field.name.split()): field for field in kind.fields}
+        members = []
+        for name in sorted(renamed):
+            field = renamed[name]
+            inside = f"{value}.`{field.name.replace('`', '``')}`"
+            written = _value_sql(inside, field.dataType, indent, field.name, depth + 1)
+            members.append(f"concat({sql_text(json.dumps(name) + ': ')}, {written})")
+        return wrap(f"array_compact(array({', '.join(members)}))", "{", "}")
+    if isinstance(kind, T.ArrayType):
+        item = f"v{depth}"
+        written = _value_sql(item, kind.elementType, indent, key, depth + 1)
+        return wrap(f"transform({value}, {item} -> coalesce({written}, 'null'))", "[", "]")
+    if isinstance(kind, T.StringType):
+        return _string_sql(value, key)
+    if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
+        rounded = f"cast(replace(format_number(cast({value} AS DOUBLE), 6), ',', '') AS DOUBLE)"
+        return sql_let(rounded, "x", FLOAT_SQL)
+    if isinstance(kind, (T.BooleanType, T.IntegralType, T.NullType)):
+        return f"cast({value} AS STRING)"
+    raise TypeError(f"no JSON form for {kind.simpleString()} at {key or 'context'}")
+
+
+def context_json(context: str, kind: T.DataType, indent: int | None = None) -> Column:
+    """Normalised canonical JSON of a typed context column, by name.
 
     Floats are rounded to six places, strings squeezed and, where the field
     name or the text says so, turned into numbers; null fields disappear while
     nulls inside arrays stay visible.
     """
-
-    def wrap(pieces: Column, opening: str, closing: str) -> Column:
-        return let(pieces, lambda bound: joined(bound, opening, closing))
-
-    def joined(pieces: Column, opening: str, closing: str) -> Column:
-        if indent is None:
-            body, start, end = F.array_join(pieces, ", "), opening, closing
-        else:
-            inner = "\n" + " " * (indent * (depth + 1))
-            body = F.array_join(pieces, "," + inner)
-            start, end = opening + inner, "\n" + " " * (indent * depth) + closing
-        full = F.concat(F.lit(start), body, F.lit(end))
-        return F.when(F.size(pieces) == 0, opening + closing).otherwise(full)
-
-    def nested(value: Column, kind: T.DataType, name: str) -> Column:
-        return context_json(value, kind, indent, name, depth + 1)
-
-    if isinstance(schema, T.StructType):
-        renamed = {" ".join(field.name.split()): field for field in schema.fields}
-        fields = [
-            F.concat(
-                F.lit(json.dumps(name) + ": "),
-                nested(context[renamed[name].name], renamed[name].dataType, renamed[name].name),
-            )
-            for name in sorted(renamed)
-        ]
-        return wrap(F.array_compact(F.array(*fields)), "{", "}")
-    if isinstance(schema, T.ArrayType):
-        items = F.transform(
-            context, lambda item: F.coalesce(nested(item, schema.elementType, key), F.lit("null"))
-        )
-        return wrap(items, "[", "]")
-    if isinstance(schema, T.StringType):
-        return _string_json(context, key)
-    if isinstance(schema, (T.DoubleType, T.FloatType, T.DecimalType)):
-        return float_text(round_exact(context.cast("double"), 6))
-    if isinstance(schema, T.NullType):
-        return F.lit(None).cast("string")
-    if isinstance(schema, (T.BooleanType, T.IntegralType)):
-        return context.cast("string")
-    raise TypeError(f"no JSON form for {schema.simpleString()} at {key or 'context'}")
+    return F.expr(f"CASE WHEN {context} IS NOT NULL THEN {_value_sql(context, kind, indent, '', 0)} END")
 
 
 def null_paths(context: Column, schema: T.DataType, path: Column | str = "context") -> Column:

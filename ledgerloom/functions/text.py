@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,13 +25,25 @@ NUMERIC_NAME_PARTS = (
 )
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once and named once in the plan.
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    plain = value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n")
+    return f"'{plain}'"
+
+
+def sql_let(value: str, name: str, body: str) -> str:
+    """SQL for ``body`` with ``name`` standing for ``value``, evaluated once.
 
     For bodies that mention a long expression many times: without a binding the
     plan would grow by that factor at every level of nesting.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def let(value: Column, name: str, body: str) -> Column:
+    """``sql_let`` for a column."""
+    bound = F.call_function("transform", F.array(value), F.expr(f"{name} -> {body}"))
+    return F.element_at(bound, 1)
 
 
 def squeeze(text: Column) -> Column:

@@ -44,7 +44,7 @@ def _context_columns(df: DataFrame) -> tuple[Column, Column]:
             null_paths(raw, kind), lambda path: F.concat(F.lit("null found in "), path)
         )
         problems = F.when(raw.isNull(), F.array(F.lit("context is missing"))).otherwise(nulls)
-        return context_json(raw, kind), problems
+        return context_json("context", kind), problems
     text = raw if isinstance(kind, T.StringType) else F.to_json(raw)
     checked = canonical_context(text)
     return checked["json"], checked["problems"]

@@ -63,7 +63,7 @@ def request_prompt(requests: DataFrame, system_text: str = SYSTEM_TEXT) -> Colum
     kind = requests.schema["context"].dataType
     context = F.col("context")
     if isinstance(kind, T.StructType):
-        shown = context_json(context, kind, indent=2)
+        shown = context_json("context", kind, indent=2)
     else:
         shown = indented(context if isinstance(kind, T.StringType) else F.to_json(context))
     return prompt(F.col("instruction"), shown, system_text)

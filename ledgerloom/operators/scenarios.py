@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.draws import Draws
@@ -20,21 +20,16 @@ from ledgerloom.operators import wording
 from ledgerloom.operators.rules import verdict
 from ledgerloom.operators.split import shuffled
 
-Fields = dict[str, Column]
-
-
-def _dependent(field: str) -> Column:
-    """A field drawn in an earlier step of the same projection chain."""
-    return F.col(field)
+# Each step maps field names to SQL; a step may refer to fields of earlier steps.
+Fields = dict[str, str]
 
 
 def _budget(draw: Draws) -> list[Fields]:
-    budget = _dependent("budget")
     return [
         {"budget": draw.uniform("budget", 500, 12_000)},
         {
-            "remaining": draw.uniform("remaining", 0, budget),
-            "amount": draw.uniform("amount", 25, F.greatest(F.lit(50.0), budget * 0.35)),
+            "remaining": draw.uniform("remaining", 0, "budget"),
+            "amount": draw.uniform("amount", 25, "greatest(50D, budget * 0.35D)"),
             "purchase": draw.choice("purchase", wording.PURCHASES),
             "department": draw.choice("department", wording.DEPARTMENTS),
         },
@@ -51,7 +46,7 @@ def _expense(draw: Draws) -> list[Fields]:
             "amount": draw.uniform("amount", 40, 5_000),
             "team": draw.choice("team", wording.DEPARTMENTS),
         },
-        {"memo": F.concat(_dependent("vendor"), F.lit(" renewal or payment"))},
+        {"memo": "concat(vendor, ' renewal or payment')"},
     ]
 
 
@@ -69,7 +64,6 @@ def _fraud(draw: Draws) -> list[Fields]:
 
 
 def _policy(draw: Draws) -> list[Fields]:
-    large = _dependent("amount") > 1000
     return [
         {
             "amount": draw.uniform("amount", 20, 7_500),
@@ -79,8 +73,8 @@ def _policy(draw: Draws) -> list[Fields]:
             "expense_type": draw.choice("expense_type", wording.POLICY_EXPENSES),
         },
         {
-            "manager_approval_required": large,
-            "manager_approved": F.when(large, draw.flag("manager_approved")).otherwise(True),
+            "manager_approval_required": "amount > 1000",
+            "manager_approved": f"amount <= 1000 OR {draw.flag('manager_approved')}",
         },
     ]
 
@@ -92,13 +86,12 @@ def _tax(draw: Draws) -> list[Fields]:
             "amount": draw.uniform("amount", 30, 3_500),
             "business_use_percent": draw.integer("business_use_percent", 0, 100),
             "receipt_attached": draw.flag("receipt_attached"),
-            "jurisdiction": F.lit("US"),
+            "jurisdiction": "'US'",
         }
     ]
 
 
 def _spend(draw: Draws) -> list[Fields]:
-    actual = _dependent("actual_spend")
     return [
         {
             "budget": draw.uniform("budget", 2_000, 50_000),
@@ -106,7 +99,7 @@ def _spend(draw: Draws) -> list[Fields]:
             "period": draw.choice("period", wording.PERIODS),
             "cost_center": draw.choice("cost_center", wording.COST_CENTERS),
         },
-        {"forecast_spend": draw.uniform("forecast_spend", actual - 2_500, actual + 8_000)},
+        {"forecast_spend": draw.uniform("forecast_spend", "actual_spend - 2500D", "actual_spend + 8000D")},
     ]
 
 
@@ -151,14 +144,11 @@ def _ratios(draw: Draws) -> list[Fields]:
 
 
 def _batch(draw: Draws) -> list[Fields]:
-    budget = _dependent("budget")
     vendors = [vendor for vendor, _ in wording.VENDOR_BUCKETS]
     lines = [
-        F.struct(
-            draw.uniform(f"amount_{at}", 150, budget * 0.18).alias("amount"),
-            draw.choice(f"type_{at}", wording.TRANSACTION_TYPES).alias("type"),
-            draw.choice(f"vendor_{at}", vendors).alias("vendor"),
-        )
+        f"named_struct('amount', {draw.uniform(f'amount_{at}', 150, 'budget * 0.18D')},"
+        f" 'type', {draw.choice(f'type_{at}', wording.TRANSACTION_TYPES)},"
+        f" 'vendor', {draw.choice(f'vendor_{at}', vendors)})"
         for at in range(5)
     ]
     return [
@@ -167,14 +157,13 @@ def _batch(draw: Draws) -> list[Fields]:
             "_lines": draw.integer("lines", 2, 5),
         },
         {
-            "committed_spend": draw.uniform("committed_spend", 0, budget * 0.8),
-            "transactions": F.slice(F.array(*lines), F.lit(1), F.col("_lines").cast("int")),
+            "committed_spend": draw.uniform("committed_spend", 0, "budget * 0.8D"),
+            "transactions": f"slice(array({', '.join(lines)}), 1, cast(_lines AS INT))",
         },
     ]
 
 
 def _anomaly(draw: Draws) -> list[Fields]:
-    mean = _dependent("baseline_mean_amount")
     return [
         {
             "baseline_mean_amount": draw.uniform("baseline_mean", 200, 5_000),
@@ -182,9 +171,9 @@ def _anomaly(draw: Draws) -> list[Fields]:
         },
         {
             "baseline_std_amount": draw.uniform(
-                "baseline_std", 20, F.greatest(F.lit(50.0), mean * 0.35)
+                "baseline_std", 20, "greatest(50D, baseline_mean_amount * 0.35D)"
             ),
-            "observed_amount": draw.uniform("observed", 20, mean * 4.0),
+            "observed_amount": draw.uniform("observed", 20, "baseline_mean_amount * 4D"),
         },
     ]
 
@@ -259,10 +248,10 @@ def typed_scenarios(indices: DataFrame, category: str, seed: int = 42, index: st
     """One category's scenarios with a struct context, one row per index."""
     scenario = SCENARIOS[category]
     frame = indices.select(F.col(index).alias("_index"))
-    draw = Draws(seed, F.col("_index"))
+    draw = Draws(seed, "_index")
     names: list[str] = []
     for step in scenario.draw(draw):
-        frame = frame.withColumns(step)
+        frame = frame.selectExpr("*", *[f"{sql} AS `{name}`" for name, sql in step.items()])
         names += list(step)
     found = verdict(scenario.rule, **scenario.renamed)
     frame = frame.withColumns({name: found.facts[name] for name in scenario.facts})
@@ -282,7 +271,7 @@ def scenarios(indices: DataFrame, category: str, seed: int = 42, index: str = "i
     return typed.select(
         "id",
         F.lit(wording.INSTRUCTIONS[category]).alias("instruction"),
-        context_json(F.col("context"), kind).alias("context"),
+        context_json("context", kind).alias("context"),
         F.col("output"),
         F.lit(category).alias("category"),
         F.lit("synthetic").alias("source"),

@@ -1,6 +1,5 @@
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import json_text, labels, text
@@ -35,16 +34,14 @@ def test_round_exact_is_python_round(spark):
     assert apply(spark, lambda c: text.round_exact(c, 2), values, "double") == [round(v, 2) for v in values]
 
 
-@pytest.mark.parametrize(
-    "given, expected",
-    [
-        ("$1,234.56", 1234.56), ("(500)", -500.0), ("(-500)", 500.0), ("(500", 500.0),
-        ("12.5%", 12.5), ("-$3,000", -3000.0), ("1,2,,3", 123.0), (".5", None), ("$-5", None),
-        ("PO-1234", None), ("", None), (" 7 ", 7.0), ("1.23456789", 1.234568),
-    ],
-)
-def test_parse_number(spark, given, expected):
-    assert apply(spark, text.parse_number, [given]) == [expected]
+NUMBERS = {
+    "$1,234.56": 1234.56, "(500)": -500.0, "(-500)": 500.0, "(500": 500.0, "12.5%": 12.5, "-$3,000": -3000.0,
+    "1,2,,3": 123.0, ".5": None, "$-5": None, "PO-1234": None, "": None, " 7 ": 7.0, "1.23456789": 1.234568,
+}
+
+
+def test_parse_number(spark):
+    assert apply(spark, text.parse_number, list(NUMBERS)) == list(NUMBERS.values())
 
 
 def test_names_a_number(spark):
@@ -88,8 +85,8 @@ def test_free_form_and_typed_contexts_agree(spark):
     typed = spark.createDataFrame([(SAMPLE,)], SAMPLE_SCHEMA)
     kind = typed.schema["c"].dataType
     row = typed.select(
-        json_text.context_json(F.col("c"), kind).alias("flat"),
-        json_text.context_json(F.col("c"), kind, indent=2).alias("tall"),
+        json_text.context_json("c", kind).alias("flat"),
+        json_text.context_json("c", kind, indent=2).alias("tall"),
     ).first()
     assert row.flat == json.dumps(SAMPLE_CLEAN, sort_keys=True)
     assert row.tall == json.dumps(SAMPLE_CLEAN, sort_keys=True, indent=2)
@@ -106,18 +103,17 @@ def test_nulls_in_lists_are_reported(spark):
     assert sorted(paths) == ["context.rows[0].tags[1]", "context.rows[1]"]
 
 
-@pytest.mark.parametrize(
-    "given, label, bucket",
-    [
-        ("  manual review! ", "MANUAL_REVIEW", "review"),
-        ("Approve with conditions", "APPROVE_WITH_CONDITIONS", "approve"),
-        ("TRAVEL", "TRAVEL", "review"), ("", "UNKNOWN", "review"), ("__", "UNKNOWN", "review"),
-        ("non deductible", "NON_DEDUCTIBLE", "reject"), ("Rejected", "REJECTED", "reject"),
-    ],
-)
-def test_labels(spark, given, label, bucket):
-    assert apply(spark, labels.canonical_label, [given]) == [label]
-    assert apply(spark, labels.decision_bucket, [given]) == [bucket]
+LABELS = {
+    "  manual review! ": ("MANUAL_REVIEW", "review"),
+    "Approve with conditions": ("APPROVE_WITH_CONDITIONS", "approve"),
+    "TRAVEL": ("TRAVEL", "review"), "": ("UNKNOWN", "review"), "__": ("UNKNOWN", "review"),
+    "non deductible": ("NON_DEDUCTIBLE", "reject"), "Rejected": ("REJECTED", "reject"),
+}
+
+
+def test_labels(spark):
+    assert apply(spark, labels.canonical_label, list(LABELS)) == [label for label, _ in LABELS.values()]
+    assert apply(spark, labels.decision_bucket, list(LABELS)) == [bucket for _, bucket in LABELS.values()]
 
 
 def test_confidence_bounds(spark):

@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.session import checkpointed
 from ledgerloom.operators import corpus, metrics, records, render, responses, scenarios, split
 
 
@@ -108,22 +109,22 @@ def test_prompt_and_stats(spark):
     assert cut.input_ids == cut.labels == [1, 2]
 
 
-@pytest.mark.parametrize(
-    "response, label, bucket, reason, confidence",
-    [
-        ("Decision:\nReason: x", "REASON_X", "review", "x", 0.7),
-        ("no marks", "UNKNOWN", "review", "no marks", 0.56),
-        ("Decision: allow!\nConfidence: 12", "ALLOW", "approve", "Decision: allow! Confidence: 12", 1.0),
-        ("Decision: deny\nReason: it appears bad\nConfidence: 85%", "DENY", "reject", "it appears bad", 0.63),
-        ("Decision: X\nConfidence: 1.9", "X", "review", "Decision: X Confidence: 1.9", 1.9),
-        ("Decision:   \n", "UNKNOWN", "review", "Decision:", 0.56),
-        (None, "UNKNOWN", "review", "", 0.56),
-    ],
-)
-def test_parse(spark, response, label, bucket, reason, confidence):
-    row = responses.parsed(spark.createDataFrame([(response,)], "r string"), "r").first()
-    assert (row.raw_decision, row.decision, row.reason, row.explanation) == (label, bucket, reason, reason)
-    assert row.confidence == confidence
+RESPONSES = [
+    ("Decision:\nReason: x", "REASON_X", "review", "x", 0.7),
+    ("no marks", "UNKNOWN", "review", "no marks", 0.56),
+    ("Decision: allow!\nConfidence: 12", "ALLOW", "approve", "Decision: allow! Confidence: 12", 1.0),
+    ("Decision: deny\nReason: it appears bad\nConfidence: 85%", "DENY", "reject", "it appears bad", 0.63),
+    ("Decision: X\nConfidence: 1.9", "X", "review", "Decision: X Confidence: 1.9", 1.9),
+    ("Decision:   \n", "UNKNOWN", "review", "Decision:", 0.56),
+    (None, "UNKNOWN", "review", "", 0.56),
+]
+
+
+def test_parse(spark):
+    df = spark.createDataFrame([(at, case[0]) for at, case in enumerate(RESPONSES)], "at int, r string")
+    got = responses.parsed(df, "r").orderBy("at").collect()
+    assert [(r.raw_decision, r.decision, r.reason, r.confidence) for r in got] == [c[1:] for c in RESPONSES]
+    assert [r.explanation for r in got] == [c[3] for c in RESPONSES]
 
 
 def test_metrics(spark):
@@ -162,7 +163,7 @@ def test_pass_rate_is_a_containment(spark):
 
 
 def test_scenarios(spark):
-    made = scenarios.generate(spark, 1200, seed=5)
+    made = checkpointed(scenarios.generate(spark, 1200, seed=5))
     rows = made.collect()
     assert len(rows) == 1200 and len({r.id for r in rows}) == 1200
     per = {}
