@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ledgerloom.functions.json_text import float_text, indented, quote
 from ledgerloom.functions.text import strip
 from ledgerloom.operators.scale import broadcast_if_small
+from ledgerloom.session import checkpointed
 
 # File kinds by (case-insensitive) suffix, and the keys that wrap record lists.
 GLOBS = {"jsonl": "*.[jJ][sS][oO][nN][lL]", "json": "*.[jJ][sS][oO][nN]", "csv": "*.[cC][sS][vV]"}
@@ -75,7 +76,10 @@ def list_files(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
     listed = reduce(DataFrame.unionByName, listings)
     order = Window.orderBy("root_ord", F.split("path", "/"))
     return listed.select(
-        "root_ord", "file_path", (F.row_number().over(order) - 1).alias("file_ord")
+        "root_ord",
+        "file_path",
+        F.lower(F.substring_index("file_path", ".", -1)).alias("kind"),
+        (F.row_number().over(order) - 1).alias("file_ord"),
     )
 
 
@@ -96,12 +100,7 @@ def read_csv(spark: SparkSession, root: str, multiline: bool = True) -> DataFram
     """
     reader = _reader(spark, "csv").option("header", "true").option("enforceSchema", "false")
     table = reader.option("multiLine", multiline).option("escape", '"').csv(root)
-    names = table.columns
-    if not names:
-        return spark.createDataFrame(
-            [], "record string, file_path string, block_start bigint, block_length bigint, sequence bigint"
-        )
-    filled = [F.coalesce(F.col(f"`{name}`"), F.lit("")).alias(name) for name in names]
+    filled = [F.coalesce(F.col(f"`{name}`"), F.lit("")).alias(name) for name in table.columns]
     return table.select(F.to_json(F.struct(*filled)).alias("record"), *_position())
 
 
@@ -145,7 +144,7 @@ def read_documents(spark: SparkSession, root: str) -> DataFrame:
     A document is parsed by one task, as the format has no split points; use
     JSONL for anything large.
     """
-    files = _reader(spark, "json").option("wholetext", "true").text(root)
+    files = _reader(spark, "json").text(root, wholetext=True)
     return files.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.posexplode(unwrapped(F.col("value"))).alias("record_ord", "record"),
@@ -179,17 +178,22 @@ def numbered(rows: DataFrame) -> DataFrame:
 
 def load_records(spark: SparkSession, roots: Sequence[str], multiline_csv: bool = True) -> DataFrame:
     """Every record under the roots: ``file_ord, record_ord, record`` (JSON text)."""
-    files = list_files(spark, roots)
+    files = checkpointed(list_files(spark, roots))
+    present = {(row.root_ord, row.kind) for row in files.select("root_ord", "kind").distinct().collect()}
     parts = []
     for at, root in enumerate(roots):
-        found = [
-            numbered(read_lines(spark, root)),
-            read_documents(spark, root),
-            numbered(read_csv(spark, root, multiline_csv)),
-        ]
+        found = []
+        if (at, "jsonl") in present:
+            found.append(numbered(read_lines(spark, root)))
+        if (at, "json") in present:
+            found.append(read_documents(spark, root))
+        if (at, "csv") in present:
+            found.append(numbered(read_csv(spark, root, multiline_csv)))
         parts += [part.withColumn("root_ord", F.lit(at)) for part in found]
+    if not parts:
+        return spark.createDataFrame([], "file_ord int, record_ord bigint, record string")
     rows = reduce(DataFrame.unionByName, parts)
-    return broadcast_if_small(files, ["root_ord", "file_path"], rows).select(
+    return broadcast_if_small(files.drop("kind"), ["root_ord", "file_path"], rows).select(
         "file_ord", "record_ord", "record"
     )
 
