@@ -13,8 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.json_text import float_text, quote
-from ledgerloom.functions.text import decision_text, strip
+from ledgerloom.functions.json_text import FLOAT_SQL, QUOTE_SQL, quote
+from ledgerloom.functions.text import BLANKS, decision_text, sql_let
 from ledgerloom.operators.records import canonical_records
 from ledgerloom.operators.scale import broadcast_if_small, running_cuts
 from ledgerloom.sources.files import load_records
@@ -66,90 +66,86 @@ SOURCES = {
 
 # --- values of unknown type ------------------------------------------------------
 
-
-def value_at(document: Column, path: str, text: Column | None = None) -> Column:
-    """A field as ``struct(kind, text)``; null when absent or JSON null.
-
-    ``text`` is the JSON the variant came from. Lists and objects are cut out of
-    it, because a variant would turn ``1.0`` inside them into ``1``.
-    """
-    found = F.try_variant_get(document, f"$.{path}", "variant")
-    kind = F.schema_of_variant(found)
-    plain = F.try_variant_get(found, "$", "string")
-    nested = F.to_json(found) if text is None else F.get_json_object(text, f"$.{path}")
-    shown = (
-        F.when(kind.rlike("^(ARRAY|OBJECT)"), nested)
-        .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), float_text(plain.try_cast("double")))
-        .when(kind == "BOOLEAN", F.initcap(plain))
-        .otherwise(plain)
-    )
-    return F.when(
-        found.isNotNull() & (kind != "VOID"), F.struct(kind.alias("kind"), shown.alias("text"))
-    )
-
-
-def truthy(value: Column) -> Column:
-    """Neither absent, empty, zero nor false."""
-    kind, text = value["kind"], value["text"]
-    number = text.try_cast("double")
-    return F.coalesce(
-        F.when(kind == "STRING", text != "")
-        .when(kind == "BOOLEAN", text == "True")
-        .when(kind.startswith("ARRAY"), text != "[]")
-        .when(kind.startswith("OBJECT"), text != "{}")
-        .otherwise(F.coalesce(number != 0, F.lit(True))),
-        F.lit(False),
-    ) & value.isNotNull()
-
-
-def first_truthy(values: Sequence[Column]) -> Column:
-    """The first truthy value; the last one is taken as it is."""
-    *early, last = values
-    return F.coalesce(*[F.when(truthy(value), value) for value in early], last)
-
-
-def as_json(value: Column) -> Column:
-    kind, text = value["kind"], value["text"]
-    written = (
-        F.when(kind == "STRING", quote(text)).when(kind == "BOOLEAN", F.lower(text)).otherwise(text)
-    )
-    return F.coalesce(written, F.lit("null"))
-
-
-def assembled_text(document: Column, paths: Sequence[str]) -> Column:
+# A variant ``f`` as struct(kind, text), null when absent or JSON null. Lists and
+# objects are cut out of the JSON text where there is one, because a variant
+# would turn ``1.0`` inside them into ``1``.
+def _value_sql(document: str, path: str, text: str | None) -> str:
+    nested = "to_json(f)" if text is None else f"get_json_object({text}, '$.{path}')"
+    number = sql_let("cast(try_variant_get(f, '$', 'string') AS DOUBLE)", "x", FLOAT_SQL)
+    body = f"""
+CASE WHEN f IS NOT NULL AND schema_of_variant(f) <> 'VOID' THEN named_struct(
+  'kind', schema_of_variant(f),
+  'text', CASE
+    WHEN schema_of_variant(f) RLIKE '^(ARRAY|OBJECT)' THEN {nested}
+    WHEN schema_of_variant(f) RLIKE '^(DECIMAL|DOUBLE|FLOAT)' THEN {number}
+    WHEN schema_of_variant(f) = 'BOOLEAN' THEN initcap(try_variant_get(f, '$', 'string'))
+    ELSE try_variant_get(f, '$', 'string') END) END"""
+    return sql_let(f"try_variant_get({document}, '$.{path}', 'variant')", "f", body)
+
+
+# Is the value ``v`` neither absent, empty, zero nor false?
+TRUTHY_SQL = """
+(v IS NOT NULL AND coalesce(CASE
+  WHEN v.kind = 'STRING' THEN v.text <> ''
+  WHEN v.kind = 'BOOLEAN' THEN v.text = 'True'
+  WHEN startswith(v.kind, 'ARRAY') THEN v.text <> '[]'
+  WHEN startswith(v.kind, 'OBJECT') THEN v.text <> '{}'
+  ELSE coalesce(try_cast(v.text AS DOUBLE) <> 0, true) END, false))"""
+
+
+def truthy_sql(value: str) -> str:
+    return sql_let(value, "v", TRUTHY_SQL)
+
+
+def picked_sql(document: str, paths: Sequence[str], text: str | None = None) -> str:
+    """The first truthy field; the last one is taken as it is."""
+    *early, last = [_value_sql(document, path, text) for path in paths]
+    tried = [sql_let(value, "v", f"CASE WHEN {TRUTHY_SQL} THEN v END") for value in early]
+    return f"coalesce({', '.join([*tried, last])})"
+
+
+def as_json(value: str) -> Column:
+    """A picked value as JSON; an absent one as null."""
+    return F.expr(f"""
+coalesce(CASE
+  WHEN {value}.kind = 'STRING' THEN {sql_let(f"{value}.text", "s", QUOTE_SQL)}
+  WHEN {value}.kind = 'BOOLEAN' THEN lower({value}.text)
+  ELSE {value}.text END, 'null')""")
+
+
+def assembled_sql(document: str, paths: Sequence[str]) -> str:
     """Fragments of several fields, one per line.
 
     Lists contribute their truthy items, objects their sorted JSON; blank
     fragments are dropped.
     """
-    nothing = F.array().cast("array<string>")
-
-    def shown(item: Column) -> Column:
-        return F.coalesce(F.try_variant_get(item, "$", "string"), F.to_json(item))
 
-    def counts(item: Column) -> Column:
-        empty = ("null", '""', "0", "false", "[]", "{}")
-        return ~F.to_json(item).isin(*empty)
-
-    fragments = []
-    for path in paths:
-        found = F.try_variant_get(document, f"$.{path}", "variant")
-        items = F.try_variant_get(found, "$", "array<variant>")
-        single = F.when(
-            found.isNotNull() & (F.schema_of_variant(found) != "VOID"), F.array(shown(found))
+    def shown(item: str) -> str:
+        return f"coalesce(try_variant_get({item}, '$', 'string'), to_json({item}))"
+
+    empty = "'null', '\"\"', '0', 'false', '[]', '{}'"
+    fragments = [
+        sql_let(
+            f"try_variant_get({document}, '$.{path}', 'variant')",
+            "f",
+            f"""
+coalesce(
+  transform(filter(try_variant_get(f, '$', 'array<variant>'), i -> to_json(i) NOT IN ({empty})),
+            i -> {shown("i")}),
+  CASE WHEN f IS NOT NULL AND schema_of_variant(f) <> 'VOID' THEN array({shown("f")}) END,
+  cast(array() AS array<string>))""",
         )
-        listed = F.transform(F.filter(items, counts), shown)
-        fragments.append(F.coalesce(listed, single, nothing))
-    stripped = F.transform(F.concat(*fragments), strip)
-    return F.array_join(F.filter(stripped, lambda part: part != ""), "\n")
+        for path in paths
+    ]
+    stripped = f"regexp_replace(part, r'^[{BLANKS}]+|[{BLANKS}]+$', '')"
+    parts = f"transform(concat({', '.join(fragments)}), part -> {stripped})"
+    return f"array_join(filter({parts}, part -> part <> ''), '\\n')"
 
 
-def answer_text(answer: Column, reasoning: Column) -> Column:
+def answer_text(answer: Column, reasoning: str) -> Column:
     """The answer, followed by its reasoning trace if there is one."""
-    trace = F.when(
-        truthy(reasoning), F.concat(F.lit(" Reasoning trace: "), reasoning["text"])
-    ).otherwise("")
-    return F.concat(answer["text"], trace)
+    trace = f"CASE WHEN {truthy_sql(reasoning)} THEN concat(' Reasoning trace: ', {reasoning}.text) ELSE '' END"
+    return F.concat(answer, F.expr(trace))
 
 
 def _object(members: dict[str, Column]) -> Column:
@@ -162,171 +158,175 @@ def _object(members: dict[str, Column]) -> Column:
 # --- converters ------------------------------------------------------------------
 
 
-def _chains(chains: dict[str, Sequence[str]], names: Sequence[str]) -> dict[str, Column]:
-    document, text = F.col("_doc"), F.col("record")
-    return {
-        name: first_truthy([value_at(document, path, text) for path in chains[name]])
-        for name in names
-    }
+def _picked(rows: DataFrame, chains: dict[str, Sequence[str]], names: Sequence[str]) -> DataFrame:
+    """Add ``_<name>`` structs for some chains of the record in ``_doc``."""
+    return rows.selectExpr(
+        "*", *[f"{picked_sql('_doc', chains[name], 'record')} AS _{name}" for name in names]
+    )
 
 
-def _finished(rows: DataFrame, source: Source, category: str, context: Column) -> DataFrame:
-    usable = truthy(F.col("_question")) & F.col("_answer").isNotNull()
-    return rows.filter(usable).select(
+def _answered(rows: DataFrame, chains: dict[str, Sequence[str]], extra: Sequence[str]) -> DataFrame:
+    """Usable records with the text of their question and answer."""
+    picked = _picked(rows, chains, ["question", "answer", "reasoning", *extra])
+    usable = F.expr(truthy_sql("_question")) & F.col("_answer").isNotNull()
+    return (
+        picked.filter(usable)
+        .withColumn("_question", F.col("_question.text"))
+        .withColumn("_answer", F.col("_answer.text"))
+    )
+
+
+def _finished(rows: DataFrame, source: Source, context: Column) -> DataFrame:
+    """Raw records; needs ``turn_ord``, ``_id``, ``_question``, ``_answer``, ``_reasoning``."""
+    return rows.select(
         "file_ord",
         "record_ord",
         "turn_ord",
         F.col("_id").alias("id"),
-        F.col("_question")["text"].alias("instruction"),
+        F.col("_question").alias("instruction"),
         context.alias("context"),
-        decision_text(F.lit("ANSWER"), answer_text(F.col("_answer"), F.col("_reasoning"))).alias("output"),
-        F.lit(category).alias("category"),
+        decision_text(F.lit("ANSWER"), answer_text(F.col("_answer"), "_reasoning")).alias("output"),
+        F.lit(source.category).alias("category"),
         F.lit(source.name).alias("source"),
     )
 
 
-def _picked(rows: DataFrame, chains: dict[str, Sequence[str]], extra: Sequence[str]) -> DataFrame:
-    picked = _chains(chains, ["question", "answer", "reasoning", *extra])
-    return rows.withColumns({f"_{name}": value for name, value in picked.items()})
+def _text_json(chains: dict[str, Sequence[str]]) -> Column:
+    return F.expr(sql_let(assembled_sql("_doc", chains["text"]), "s", QUOTE_SQL))
 
 
-def report_rows(rows: DataFrame, name: str = "FinQA") -> DataFrame:
+def report_rows(rows: DataFrame) -> DataFrame:
     """One question per report record."""
-    picked = _picked(rows, {**FINQA, **REPORT}, ["company", "table"])
+    source = SOURCES["finqa"]
+    answered = _answered(rows, {**FINQA, **REPORT}, ["company", "table"])
     context = _object(
         {
-            "dataset": quote(F.lit(name)),
-            "company": as_json(F.col("_company")),
-            "table": as_json(F.col("_table")),
-            "report_text": quote(assembled_text(F.col("_doc"), REPORT["text"])),
-            "reasoning_steps": as_json(F.col("_reasoning")),
+            "dataset": quote(F.lit(source.name)),
+            "company": as_json("_company"),
+            "table": as_json("_table"),
+            "report_text": _text_json(REPORT),
+            "reasoning_steps": as_json("_reasoning"),
         }
     )
-    source = SOURCES["finqa"]
-    return _finished(picked.withColumn("turn_ord", F.lit(0)), source, source.category, context)
+    return _finished(answered.withColumn("turn_ord", F.lit(0)), source, context)
 
 
 def generic_rows(rows: DataFrame, source: Source) -> DataFrame:
     """One question per record, with many spellings of its parts."""
-    picked = _picked(rows, GENERIC, ["company", "period"])
+    answered = _answered(rows, GENERIC, ["company", "period"])
     context = _object(
         {
             "dataset": quote(F.lit(source.name)),
-            "company": as_json(F.col("_company")),
-            "period": as_json(F.col("_period")),
-            "report_text": quote(assembled_text(F.col("_doc"), GENERIC["text"])),
-            "reasoning_steps": as_json(F.col("_reasoning")),
+            "company": as_json("_company"),
+            "period": as_json("_period"),
+            "report_text": _text_json(GENERIC),
+            "reasoning_steps": as_json("_reasoning"),
         }
     )
-    return _finished(
-        picked.withColumn("turn_ord", F.lit(0)), source, source.category, context
-    )
-
-
-def turn_list(document: Column) -> Column:
-    """The first turn field that holds a list."""
-    return F.coalesce(
-        *[F.try_variant_get(document, f"$.{key}", "array<variant>") for key in TURN_LISTS]
-    )
-
+    return _finished(answered.withColumn("turn_ord", F.lit(0)), source, context)
 
-def turn_values(turns: Column) -> Column:
-    """Per turn its position, its picked fields, and whether it is usable."""
 
-    def picked(turn: Column, at: Column) -> Column:
-        fields = {
-            name: first_truthy([value_at(turn, path) for path in TURN[name]])
-            for name in ("question", "answer", "reasoning")
-        }
-        return F.struct(
-            at.alias("turn_ord"), *[value.alias(name) for name, value in fields.items()]
-        )
-
-    def judged(turn: Column) -> Column:
-        usable = truthy(turn["question"]) & turn["answer"].isNotNull()
-        return F.struct(turn.alias("turn"), usable.alias("usable"))
+def turns_sql(document: str) -> str:
+    """The first turn field that holds a list, as usable and unusable turns.
 
-    return F.transform(F.transform(turns, picked), judged)
-
-
-def earlier_turns(turns: Column, at: Column) -> Column:
-    """Question/answer pairs of the usable turns before position ``at``."""
-    before = F.filter(
-        turns, lambda item: item["usable"] & (item["turn"]["turn_ord"] < at)
-    )
-    return F.transform(
-        before,
-        lambda item: F.struct(
-            item["turn"]["question"]["text"].alias("question"),
-            item["turn"]["answer"]["text"].alias("answer"),
-        ),
+    Each turn has its position, its question and answer text, its reasoning and
+    whether it is usable.
+    """
+    lists = [f"try_variant_get({document}, '$.{key}', 'array<variant>')" for key in TURN_LISTS]
+    fields = ", ".join(f"'{name}', {picked_sql('t', TURN[name])}" for name in TURN)
+    picked = f"transform(coalesce({', '.join(lists)}), (t, i) -> named_struct('at', i, {fields}))"
+    return f"""
+transform({picked}, p -> named_struct(
+  'turn_ord', p.at, 'question', p.question.text, 'answer', p.answer.text, 'reasoning', p.reasoning,
+  'usable', {truthy_sql("p.question")} AND p.answer IS NOT NULL))"""
+
+
+def with_history(rows: DataFrame, turns: str) -> DataFrame:
+    """One row per usable turn (in ``_turn``), with the JSON of the turns before it.
+
+    ``turns`` is an array of structs with at least ``turn_ord, question, answer,
+    usable``. Each pair is written once per record; a turn's ``_history`` joins
+    the slice in front of it, and ``_before`` counts that slice. All of it
+    happens inside the row, without a shuffle.
+    """
+    question, answer = (
+        sql_let(f"u.{name}", "s", QUOTE_SQL) for name in ("question", "answer")
     )
-
-
-def history_json(pairs: Column) -> Column:
-    written = F.transform(
-        pairs,
-        lambda pair: F.concat(
-            F.lit('{"question": '),
-            quote(pair["question"]),
-            F.lit(', "answer": '),
-            quote(pair["answer"]),
-            F.lit("}"),
-        ),
+    pair = f"""concat('{{"question": ', {question}, ', "answer": ', {answer}, '}}')"""
+    return (
+        rows.withColumn("_usable", F.expr(f"filter({turns}, u -> u.usable)"))
+        .withColumn("_written", F.expr(f"transform(_usable, u -> {pair})"))
+        .select("*", F.posexplode("_usable").alias("_before", "_turn"))
+        .withColumn(
+            "_history",
+            F.expr("concat('[', array_join(slice(_written, 1, _before), ', '), ']')"),
+        )
+        .drop("_usable", "_written")
     )
-    return F.concat(F.lit("["), F.array_join(written, ", "), F.lit("]"))
 
 
 def turn_rows(rows: DataFrame) -> DataFrame:
-    """One row per usable turn, each with the turns before it as history.
+    """One row per usable turn of a conversation record.
 
-    Everything about a conversation sits in its one record, so turns are
-    exploded and histories sliced inside the row, without a shuffle. Unusable
-    turns still count in the numbering. A record without turns is read as a
-    single report question.
+    Unusable turns still count in the numbering. A record without turns is read
+    as a single report question.
     """
     source = SOURCES["convfinqa"]
-    exploded = (
-        rows.filter(F.size(F.coalesce(F.col("_turns"), F.array().cast(_turn_type(rows)))) > 0)
-        .withColumn("_item", F.explode("_turns"))
-        .filter(F.col("_item.usable"))
-        .withColumn("turn_ord", F.col("_item.turn.turn_ord"))
-        .withColumns({f"_{name}": F.col(f"_item.turn.{name}") for name in TURN})
-        .withColumn("_id", F.format_string("%s-%03d", "_id", "turn_ord"))
-    )
-    shared = _chains(REPORT, ["company", "table"])
+    told = with_history(_picked(rows, REPORT, ["company", "table"]), "_turns")
+    turns = told.select(
+        "*",
+        F.col("_turn.turn_ord").alias("turn_ord"),
+        F.col("_turn.question").alias("_question"),
+        F.col("_turn.answer").alias("_answer"),
+        F.col("_turn.reasoning").alias("_reasoning"),
+    ).withColumn("_id", F.format_string("%s-%03d", "_id", "turn_ord"))
     context = _object(
         {
             "dataset": quote(F.lit(source.name)),
-            "company": as_json(shared["company"]),
-            "table": as_json(shared["table"]),
-            "report_text": quote(assembled_text(F.col("_doc"), REPORT["text"])),
-            "conversation_history": history_json(
-                earlier_turns(F.col("_turns"), F.col("turn_ord"))
-            ),
-            "reasoning_steps": as_json(F.col("_reasoning")),
+            "company": as_json("_company"),
+            "table": as_json("_table"),
+            "report_text": _text_json(REPORT),
+            "conversation_history": F.col("_history"),
+            "reasoning_steps": as_json("_reasoning"),
         }
     )
-    spoken = _finished(exploded, source, source.category, context)
     alone = rows.filter(F.coalesce(F.size("_turns"), F.lit(0)) <= 0).withColumn(
         "_id", F.concat(F.col("_id"), F.lit("-000"))
     )
-    return spoken.unionByName(report_rows(alone))
+    return _finished(turns, source, context).unionByName(report_rows(alone))
 
 
-def _turn_type(rows: DataFrame):
-    return rows.schema["_turns"].dataType
+def paired_turns(
+    messages: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
+) -> DataFrame:
+    """Message table -> one row per user turn answered by the next turn.
+
+    The answer is fetched by an equi-join on (conversation, turn + 1), which is
+    unique, so a conversation with a third of all messages still spreads.
+    """
+    asked = messages.filter((F.col(role) == "user") & (F.col(text) != "")).select(
+        F.col(conversation).alias("conversation"),
+        F.col(turn).alias("turn_ord"),
+        (F.col(turn) + 1).alias("_next"),
+        F.col(text).alias("question"),
+    )
+    replies = messages.filter((F.col(role) == "assistant") & F.col(text).isNotNull()).select(
+        F.col(conversation).alias("conversation"),
+        F.col(turn).alias("_next"),
+        F.col(text).alias("answer"),
+    )
+    return asked.join(replies, ["conversation", "_next"]).drop("_next")
 
 
-def _outputs(rows: DataFrame, source: Source) -> Column:
+def _outputs(source: Source) -> str:
     """How many output rows a source record will give."""
     chains = GENERIC if source.shape == "generic" else FINQA
-    picked = _chains(chains, ["question", "answer"])
-    single = (truthy(picked["question"]) & picked["answer"].isNotNull()).cast("bigint")
+    question, answer = (picked_sql("_doc", chains[name], "record") for name in ("question", "answer"))
+    single = f"cast({truthy_sql(question)} AND {answer} IS NOT NULL AS BIGINT)"
     if source.shape != "turns":
         return single
-    usable = F.size(F.filter(F.col("_turns"), lambda item: item["usable"])).cast("bigint")
-    return F.when(F.coalesce(F.size("_turns"), F.lit(0)) > 0, usable).otherwise(single)
+    usable = "cast(size(filter(_turns, u -> u.usable)) AS BIGINT)"
+    return f"CASE WHEN coalesce(size(_turns), 0) > 0 THEN {usable} ELSE {single} END"
 
 
 def capped(rows: DataFrame, outputs: str, cap: int, source: str | None = None) -> DataFrame:
@@ -346,7 +346,7 @@ def capped(rows: DataFrame, outputs: str, cap: int, source: str | None = None) -
         narrow,
         [name],
         ["file_ord", "_bucket"],
-        ["file_ord", "record_ord"] ,
+        ["file_ord", "record_ord"],
         outputs,
         targets={"cap": F.lit(cap)},
     )
@@ -366,9 +366,9 @@ def convert(records: DataFrame, source: Source, cap: int | None = None) -> DataF
         F.format_string(f"{source.name.lower()}-%03d-%06d", "file_ord", "record_ord"),
     )
     if source.shape == "turns":
-        rows = rows.withColumn("_turns", turn_values(turn_list(F.col("_doc"))))
+        rows = rows.withColumn("_turns", F.expr(turns_sql("_doc")))
     if cap is not None:
-        rows = capped(rows.withColumn("_outputs", _outputs(rows, source)), "_outputs", cap)
+        rows = capped(rows.withColumn("_outputs", F.expr(_outputs(source))), "_outputs", cap)
     if source.shape == "report":
         return report_rows(rows)
     return turn_rows(rows) if source.shape == "turns" else generic_rows(rows, source)
