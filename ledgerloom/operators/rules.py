@@ -203,21 +203,26 @@ def judge_ratios(
     )
 
 
-def judge_batch(budget: Column, committed_spend: Column, transactions: Column) -> Verdict:
-    """A batch stands or falls as one; the unrounded sum is what is compared."""
-    total = F.aggregate(
-        transactions, F.lit(0.0), lambda done, item: done + item["amount"].cast("double")
-    )
+def judge_batch_total(budget: Column, committed_spend: Column, proposed_total: Column) -> Verdict:
+    """A batch whose lines are rows: pass in their (exact) sum."""
     remaining = round_exact(budget - committed_spend, 2)
-    fits = total <= remaining
-    words = {"total": money(total), "remaining": money(remaining)}
+    fits = proposed_total <= remaining
+    words = {"total": money(proposed_total), "remaining": money(remaining)}
     return Verdict(
         F.when(fits, "APPROVE").otherwise("REJECT"),
         F.when(fits, fill(REASONS["batch_approve"], **words)).otherwise(
             fill(REASONS["batch_reject"], **words)
         ),
-        {"remaining_budget": remaining, "proposed_total": round_exact(total, 2)},
+        {"remaining_budget": remaining, "proposed_total": round_exact(proposed_total, 2)},
+    )
+
+
+def judge_batch(budget: Column, committed_spend: Column, transactions: Column) -> Verdict:
+    """A batch stands or falls as one; the unrounded sum is what is compared."""
+    total = F.aggregate(
+        transactions, F.lit(0.0), lambda done, item: done + item["amount"].cast("double")
     )
+    return judge_batch_total(budget, committed_spend, total)
 
 
 def judge_anomaly(
@@ -293,6 +298,7 @@ RULES: dict[str, Rule] = {
         judge_ratios,
     ),
     "batch": Rule(("budget", "committed_spend", "transactions"), judge_batch),
+    "batch_total": Rule(("budget", "committed_spend", "proposed_total"), judge_batch_total),
     "anomaly": Rule(("baseline_mean", "baseline_std", "observed", "recurring"), judge_anomaly),
     "deal": Rule(
         (
@@ -324,7 +330,7 @@ def apply_rule(df: DataFrame, name: str, **inputs: Column | str) -> DataFrame:
     """``df`` plus ``decision``, ``reason`` and the rule's derived facts."""
     found = verdict(name, **inputs)
     taken = [at for at in found.facts if at in df.columns]
-    return df.drop(*taken).select(
+    return df.select(
         *[F.col(at) for at in df.columns if at not in taken],
         *[value.alias(at) for at, value in found.facts.items()],
         found.decision.alias("decision"),

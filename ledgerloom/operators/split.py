@@ -71,7 +71,8 @@ def stratified_split(
     ratios: Sequence[float] = (0.8, 0.1, 0.1),
     seed: int = 42,
     stratum: str = "category",
-    row_id: Sequence[str] = ("id",),
+    row_id: str = "id",
+    tie_break: Sequence[str] = (),
     bucket_digits: int = BUCKET_DIGITS,
 ) -> DataFrame:
     """Add a ``split`` column whose sizes per stratum follow ``allocate_counts``.
@@ -80,15 +81,14 @@ def stratified_split(
     passes over (stratum, id) find the hash keys where each stratum is to be
     cut; the wide rows are then labelled by comparing their own key with those
     cuts. The payload is never shuffled or sorted, and no stratum, however
-    large, is ever in one task. ``row_id`` must be unique within a stratum.
+    large, is ever in one task. ``row_id`` and ``tie_break`` together must be
+    unique within a stratum.
     """
     check_ratios(ratios)
-    ids = list(row_id)
-    single = ids[0] if len(ids) == 1 else None
-    shown = F.col(single) if single else F.concat_ws("|", *[F.col(name).cast("string") for name in ids])
+    ids = [row_id, *tie_break]
 
     def keyed(frame: DataFrame) -> DataFrame:
-        return frame.withColumn("_order", order_key(seed, shown))
+        return frame.withColumn("_order", order_key(seed, F.col(row_id)))
 
     narrow = keyed(df.select(stratum, *ids)).withColumn(
         "_bucket", F.substring("_order", 1, bucket_digits)
