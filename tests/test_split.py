@@ -90,3 +90,13 @@ def test_step_plan(spark):
     df = spark.createDataFrame([("train",)] * 35 + [("test",)], "split string")
     rows = {r.split: (r.rows, r.steps_per_epoch, r.total_steps) for r in split.split_sizes(df).collect()}
     assert rows == {"train": (35, 2, 6), "test": (1, 0, 0)}
+
+
+def test_seeded_order_does_not_depend_on_partitions(spark):
+    import hashlib
+
+    df = spark.range(500)
+    expected = sorted(range(500), key=lambda n: hashlib.md5(f"3|{n}".encode()).hexdigest())
+    for partitions in (1, 5, 16):
+        mixed = split.shuffled(df.repartition(3), seed=3, partitions=partitions)
+        assert [r.id for r in mixed.collect()] == expected
