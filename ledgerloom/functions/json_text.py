@@ -12,15 +12,16 @@ import math
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.text import (
-    BLANKS,
     NUMBER_MARKS,
     NUMBER_PATTERN,
     NUMERIC_NAME_PARTS,
+    SPACE,
     let,
     sql_let,
     sql_text,
@@ -108,7 +109,7 @@ def _string_sql(value: str, key: str) -> str:
     number = sql_let(NUMBER_SQL, "x", FLOAT_SQL)
     if not _names_number(key):
         number = f"CASE WHEN s RLIKE r'{NUMBER_MARKS}' THEN {number} END"
-    clean = f"trim(regexp_replace({value}, r'[{BLANKS}]+', ' '))"
+    clean = f"trim(regexp_replace({value}, r'(?U){SPACE}++', ' '))"
     return sql_let(clean, "s", f"coalesce({number}, {QUOTE_SQL})")
 
 
@@ -237,10 +238,17 @@ CANONICAL_SCHEMA = T.StructType(
 )
 
 
-@F.pandas_udf(CANONICAL_SCHEMA)
-def canonical_context(texts: pd.Series) -> pd.DataFrame:
+@F.arrow_udf(CANONICAL_SCHEMA)
+def canonical_context(texts: pa.Array) -> pa.Array:
     """Free-form JSON objects -> canonical text plus what is wrong with them."""
-    return pd.DataFrame([_canonical(text) for text in texts], columns=["json", "problems"])
+    done = [_canonical(text) for text in texts.to_pylist()]
+    return pa.StructArray.from_arrays(
+        [
+            pa.array([text for text, _ in done], pa.string()),
+            pa.array([problems for _, problems in done], pa.list_(pa.string())),
+        ],
+        names=["json", "problems"],
+    )
 
 
 @F.pandas_udf(T.StringType())

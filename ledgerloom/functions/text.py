@@ -6,10 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters that count as white space, and those of them
-# that end a line. Spelled out because a bare ``\s`` is ASCII-only in Java.
+# that end a line.
 BLANKS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 LINE_ENDS = r"\n-\r\x1c-\x1e\x{85}\x{2028}\x{2029}"
-INLINE_BLANKS = r"\t\x1f\x20\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}"
+
+# The same in Java's terms, which it matches faster than long character unions:
+# Unicode white space, plus the four separators that property leaves out.
+SPACE = r"[\s\x1c-\x1f]"
 
 # What a financial number looks like.
 NUMBER_PATTERN = r"^\(?-?\$?\d[\d,]*(?:\.\d+)?%?\)?$"
@@ -48,24 +51,29 @@ def let(value: Column, name: str, body: str) -> Column:
 
 def squeeze(text: Column) -> Column:
     """White-space runs become one space; both ends are stripped."""
-    return F.trim(F.regexp_replace(text, f"[{BLANKS}]+", " "))
+    return F.trim(F.regexp_replace(text, f"(?U){SPACE}++", " "))
 
 
 def strip(text: Column) -> Column:
     """Strip white space of any kind from both ends, leaving the inside alone."""
-    return F.regexp_replace(text, f"^[{BLANKS}]+|[{BLANKS}]+$", "")
+    return F.regexp_replace(text, f"(?U)^{SPACE}++|{SPACE}++$", "")
 
 
 def squeeze_lines(text: Column) -> Column:
     """Squeeze every line, drop blank lines and keep the remaining breaks.
 
-    Written as plain replacements rather than split/transform/join so that the
-    expression stays inside generated code: first each in-line run becomes one
-    space, then each run of breaks (with the spaces around it) becomes one.
+    Plain replacements rather than split/transform/join keep this in generated
+    code. Most texts need no change at all, which a scan finds out without
+    building a new string.
     """
-    one_space = F.regexp_replace(text, f"[{INLINE_BLANKS}]+", " ")
-    one_break = F.regexp_replace(one_space, f" ?(?:[{LINE_ENDS}] ?)+", "\n")
-    return F.btrim(one_break, F.lit(" \n"))
+    doubled = ("  ", "\n\n", " \n", "\n ")
+    untidy = text.rlike(r"(?U)^[ \n]|[ \n]\z|[^\S\n ]|[\x1c-\x1f]")
+    for pair in doubled:
+        untidy = text.contains(pair) | untidy
+    breaks = F.regexp_replace(text, r"\r|[\x0b\x0c\x1c-\x1e\x85]|\x{2028}|\x{2029}", "\n")
+    inline = F.regexp_replace(breaks, r"(?U)[^\S\n]++|\x1f", " ")
+    joined = F.regexp_replace(F.regexp_replace(inline, " ++", " "), r" ?\n[ \n]*+", "\n")
+    return F.when(untidy, F.btrim(joined, F.lit(" \n"))).otherwise(text)
 
 
 def comparable(text: Column) -> Column:
@@ -74,8 +82,14 @@ def comparable(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    squeezed = squeeze(text)
-    return F.when(squeezed == "", 0).otherwise(F.size(F.split(squeezed, " ")))
+    words = F.size(F.split(strip(text), f"(?U){SPACE}++"))
+    return F.when(text.rlike(f"(?U)[^{SPACE[1:]}"), words).otherwise(F.lit(0))
+
+
+def has_words(text: Column, least: int) -> Column:
+    """At least that many words? Looks no further than it has to."""
+    word = f"[^{SPACE[1:]}++"
+    return text.rlike(f"(?U)^{SPACE}*+(?:{word}{SPACE}++){{{least - 1}}}{word}")
 
 
 def money(amount: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.json_text import FLOAT_SQL, QUOTE_SQL, quote
-from ledgerloom.functions.text import BLANKS, decision_text, sql_let
+from ledgerloom.functions.text import SPACE, decision_text, sql_let
 from ledgerloom.operators.records import canonical_records
 from ledgerloom.operators.scale import broadcast_if_small, running_cuts
 from ledgerloom.sources.files import load_records
@@ -137,7 +137,7 @@ coalesce(
         )
         for path in paths
     ]
-    stripped = f"regexp_replace(part, r'^[{BLANKS}]+|[{BLANKS}]+$', '')"
+    stripped = f"regexp_replace(part, r'(?U)^{SPACE}++|{SPACE}++$', '')"
     parts = f"transform(concat({', '.join(fragments)}), part -> {stripped})"
     return f"array_join(filter({parts}, part -> part <> ''), '\\n')"
 
