@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import math
 import re
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -182,40 +183,51 @@ def null_paths(context: Column, schema: T.DataType, path: Column | str = "contex
 
 _number_shape = re.compile(NUMBER_PATTERN)
 _number_marks = re.compile(NUMBER_MARKS)
+_number_noise = re.compile(r"[()$,%]")
 
 
-def _number_or_none(text: str) -> float | None:
-    if not _number_shape.match(text):
-        return None
-    value = float(re.sub(r"[()$,%]", "", text))
-    paired = text[0] == "(" and text[-1] == ")"
+@lru_cache(maxsize=65536)
+def _key(name: str) -> tuple[str, bool]:
+    """The squeezed field name, and whether the raw one announces a number."""
+    return " ".join(name.split()), _names_number(name)
+
+
+def _text_or_number(text: str, numeric: bool) -> str | float:
+    squeezed = " ".join(text.split())
+    if not (numeric or _number_marks.search(squeezed)) or not _number_shape.match(squeezed):
+        return squeezed
+    value = float(_number_noise.sub("", squeezed))
+    paired = squeezed[0] == "(" and squeezed[-1] == ")"
     return round(-value if paired else value, 6)
 
 
-def _clean(node: object, key: str, path: str, nulls: list[str]) -> object:
-    match node:
-        case float():
-            return round(node, 6) if math.isfinite(node) else node
-        case str():
-            text = " ".join(node.split())
-            number = _number_or_none(text)
-            if number is not None and (_names_number(key) or _number_marks.search(text)):
-                return number
-            return text
-        case list():
-            for position, item in enumerate(node):
-                if item is None:
-                    nulls.append(f"{path}[{position}]")
-            return [_clean(item, key, f"{path}[{at}]", nulls) for at, item in enumerate(node)]
-        case dict():
-            kept = ((name, value) for name, value in node.items() if value is not None)
-            return {
-                " ".join(name.split()): _clean(value, name, f"{path}.{' '.join(name.split())}", nulls)
-                for name, value in kept
-            }
+def _clean(node: object, numeric: bool) -> object:
+    kind = type(node)
+    if kind is str:
+        return _text_or_number(node, numeric)
+    if kind is float:
+        return round(node, 6) if math.isfinite(node) else node
+    if kind is list:
+        return [_clean(item, numeric) for item in node]
+    if kind is dict:
+        members = {}
+        for name, value in node.items():
+            if value is not None:
+                shown, announces = _key(name)
+                members[shown] = _clean(value, announces)
+        return members
     return node
 
 
+def _nulls(node: object, path: str) -> list[str]:
+    """Where nulls are left; those of objects are gone by now."""
+    if isinstance(node, dict):
+        return [found for name, value in node.items() for found in _nulls(value, f"{path}.{name}")]
+    if isinstance(node, list):
+        return [found for at, item in enumerate(node) for found in _nulls(item, f"{path}[{at}]")]
+    return [f"null found in {path}"] if node is None else []
+
+
 def _canonical(text: str | None) -> tuple[str | None, list[str]]:
     if text is None:
         return None, ["context is missing"]
@@ -225,9 +237,9 @@ def _canonical(text: str | None) -> tuple[str | None, list[str]]:
         return None, ["context is not JSON"]
     if not isinstance(node, dict):
         return None, ["context is not an object"]
-    nulls: list[str] = []
-    cleaned = _clean(node, "", "context", nulls)
-    return json.dumps(cleaned, sort_keys=True), [f"null found in {path}" for path in nulls]
+    cleaned = _clean(node, False)
+    written = json.dumps(cleaned, sort_keys=True)
+    return written, _nulls(cleaned, "context") if "null" in written else []
 
 
 CANONICAL_SCHEMA = T.StructType(
@@ -251,6 +263,11 @@ def canonical_context(texts: pa.Array) -> pa.Array:
     )
 
 
+# Declared non-deterministic so that the planner neither pushes filters on the
+# problems below the call nor repeats it: each context is parsed once.
+canonical_context = canonical_context.asNondeterministic()
+
+
 @F.pandas_udf(T.StringType())
 def indented(texts: pd.Series) -> pd.Series:
     """Canonical JSON text with two-space indentation."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.json_text import canonical_context, context_json, null_paths, quote
-from ledgerloom.functions.text import decision_text, squeeze, squeeze_lines
+from ledgerloom.functions.text import SPACE, decision_text, squeeze, squeeze_lines
 
 REQUIRED = ("instruction", "context", "output", "category")
 COLUMNS = ("id", "instruction", "context", "output", "category", "source")
@@ -76,13 +76,21 @@ def canonical_records(
         origin = F.nullif(squeeze(text("source")), F.lit(""))
     else:
         origin = F.lit(None).cast("string")
-    absent = F.array_compact(
+    # What is wrong is read off the raw columns, where a filter on it is cheap;
+    # squeezing changes neither of these markers.
+    bare = ~text("output").rlike(rf"(?U)^{SPACE}*+Decision:")
+    found = F.array_compact(
         F.array(
             *[
                 F.when(F.col(name).isNull(), f"{name} is missing")
                 for name in REQUIRED
                 if name != "context"
-            ]
+            ],
+            F.when(
+                ~text("instruction").rlike(rf"(?U)[^{SPACE[1:]}"),
+                "instruction is empty",
+            ),
+            F.when(~bare & ~text("output").contains("Reason:"), "output has no reason line"),
         )
     )
     clean = df.select(
@@ -92,23 +100,21 @@ def canonical_records(
         squeeze_lines(text("output")).alias("output"),
         squeeze(text("category")).alias("category"),
         origin.alias("source"),
-        F.concat(absent, problems).alias("_problems"),
+        F.concat(problems, found).alias("violations"),
+        bare.alias("_bare"),
         *keep,
     )
     hashed = content_id(*[F.col(name) for name in ("category", "context", "instruction", "output")])
-    bare = ~F.col("output").startswith("Decision:")
-    wrapped = F.when(bare, decision_text(F.lit("ANSWER"), F.col("output"))).otherwise(F.col("output"))
-    named = clean.withColumn(
-        "id", F.when(F.col("id") == "", hashed).otherwise(F.col("id"))
-    ).withColumn("output", wrapped)
-    found = F.array_compact(
-        F.array(
-            F.when(F.col("instruction") == "", "instruction is empty"),
-            F.when(~F.col("output").contains("Reason:"), "output has no reason line"),
-        )
-    )
-    return named.select(
-        *COLUMNS, F.concat(F.col("_problems"), found).alias("violations"), *keep
+    wrapped = decision_text(F.lit("ANSWER"), F.col("output"))
+    return clean.select(
+        F.when(F.col("id") == "", hashed).otherwise(F.col("id")).alias("id"),
+        "instruction",
+        "context",
+        F.when(F.col("_bare"), wrapped).otherwise(F.col("output")).alias("output"),
+        "category",
+        "source",
+        "violations",
+        *keep,
     )
 
 

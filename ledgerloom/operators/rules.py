@@ -88,23 +88,20 @@ def judge_policy(
     receipt_attached: Column,
     manager_approved: Column,
 ) -> Verdict:
-    problems = F.array_compact(
-        F.array(
-            F.when(~vendor_approved, REASONS["policy_vendor"]),
-            F.when(
-                amount > policy_limit,
-                fill(REASONS["policy_limit"], excess=money(amount - policy_limit)),
-            ),
-            F.when((amount > 1000) & ~manager_approved, REASONS["policy_manager"]),
-            F.when((amount > 75) & ~receipt_attached, REASONS["policy_receipt"]),
-        )
+    tests = (
+        (~vendor_approved, F.lit(REASONS["policy_vendor"])),
+        (amount > policy_limit, fill(REASONS["policy_limit"], excess=money(amount - policy_limit))),
+        ((amount > 1000) & ~manager_approved, F.lit(REASONS["policy_manager"])),
+        ((amount > 75) & ~receipt_attached, F.lit(REASONS["policy_receipt"])),
     )
-    broken = F.size(problems) > 0
-    listed = fill(REASONS["policy_reject"], problems=F.array_join(problems, "; "))
+    broken = _met(*[test for test, _ in tests])
+    problems = F.concat_ws("; ", *[F.when(test, problem) for test, problem in tests])
     return Verdict(
-        F.when(broken, "REJECT").otherwise("APPROVE"),
-        F.when(broken, listed).otherwise(REASONS["policy_approve"]),
-        {"violations": F.size(problems)},
+        F.when(broken > 0, "REJECT").otherwise("APPROVE"),
+        F.when(broken > 0, fill(REASONS["policy_reject"], problems=problems)).otherwise(
+            REASONS["policy_approve"]
+        ),
+        {"violations": broken},
     )
 
 
@@ -327,11 +324,16 @@ def verdict(name: str, **inputs: Column | str) -> Verdict:
 
 
 def apply_rule(df: DataFrame, name: str, **inputs: Column | str) -> DataFrame:
-    """``df`` plus ``decision``, ``reason`` and the rule's derived facts."""
-    found = verdict(name, **inputs)
-    taken = [at for at in found.facts if at in df.columns]
-    return df.select(
-        *[F.col(at) for at in df.columns if at not in taken],
+    """``df`` plus ``decision``, ``reason`` and the rule's derived facts.
+
+    Inputs given as expressions become columns of a projection of their own, so
+    each is computed once however often the rule looks at it.
+    """
+    computed = {f"_input_{at}": value for at, value in inputs.items() if isinstance(value, Column)}
+    named = {at: f"_input_{at}" if f"_input_{at}" in computed else value for at, value in inputs.items()}
+    found = verdict(name, **named)
+    return df.withColumns(computed).select(
+        *[F.col(at) for at in df.columns if at not in found.facts],
         *[value.alias(at) for at, value in found.facts.items()],
         found.decision.alias("decision"),
         found.reason.alias("reason"),

@@ -73,75 +73,64 @@ def running_cuts(
     bucket: Sequence[str],
     order: Sequence[str],
     weight: str,
-    totals: DataFrame | None = None,
-    targets: dict[str, Column] | None = None,
+    targets: dict[str, Column],
 ) -> DataFrame:
     """Per group, the order keys at which running weights reach the targets.
 
     ``bucket`` must be a prefix of the ordering (coarse first), ``order`` a total
     order within a group. Each target is a column over ``total``, the group's
-    weight. The result has one row per group: ``total``, and for every target
-    ``<name>_goal`` and ``<name>_key``, the order key (a struct) of the first row
-    whose running weight reaches the goal. Rows up to that key are the ones
-    needed to fill the goal. A goal of zero, or one beyond the total, has no key.
+    weight. The result has for every target ``<name>_key``, the order key (a
+    struct) of the first row whose running weight reaches it; rows up to that
+    key are the ones needed to fill the target. A target of zero, or one beyond
+    the total, has no key, and a group without any key has no row.
 
     Only per-bucket sums are shuffled and sorted for whole groups. Rows are
-    ordered just inside the single bucket where a goal falls, so the work per
-    task is bounded by the bucket size, not by the group size.
+    ordered just inside the single bucket where a target falls, so the work per
+    task is bounded by the bucket size, not by the group size. The list of those
+    buckets is written out first, so that the join picking their rows knows how
+    small it is and leaves all other rows where they are.
     """
     keys = list(group)
     per_bucket = rows.groupBy(*keys, *bucket).agg(F.sum(weight).alias("_weight"))
-    sorted_buckets = Window.partitionBy(*keys).orderBy(*bucket)
-    before = F.coalesce(
-        F.sum("_weight").over(sorted_buckets.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
+    whole = Window.partitionBy(*keys)
+    running = whole.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
     placed = per_bucket.select(
         *keys,
         *bucket,
         "_weight",
-        before.alias("_before"),
-        F.sum("_weight").over(Window.partitionBy(*keys)).alias("total"),
-    )
-    goals = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), goal.cast("bigint").alias("goal"))
-            for name, goal in (targets or {}).items()
-        ]
+        F.coalesce(F.sum("_weight").over(running), F.lit(0)).alias("_before"),
+        F.sum("_weight").over(whole).alias("total"),
     )
-    wanted = placed.withColumn("_goal", F.explode(goals))
+    goals = [
+        F.struct(F.lit(name).alias("name"), goal.cast("bigint").alias("goal"))
+        for name, goal in targets.items()
+    ]
+    wanted = placed.withColumn("_goal", F.explode(F.array(*goals)))
     holds_goal = (F.col("_before") < F.col("_goal.goal")) & (
         F.col("_goal.goal") <= F.col("_before") + F.col("_weight")
     )
-    spots = wanted.filter(holds_goal).select(
-        *[F.col(name).alias(f"_spot_{name}") for name in [*keys, *bucket]],
-        F.col("_goal.name").alias("_name"),
-        (F.col("_goal.goal") - F.col("_before")).alias("_missing"),
+    spots = checkpointed(
+        wanted.filter(holds_goal).select(
+            *[F.col(name).alias(f"_spot_{name}") for name in [*keys, *bucket]],
+            F.col("_goal.name").alias("_name"),
+            (F.col("_goal.goal") - F.col("_before")).alias("_missing"),
+        )
     )
     same_spot = [F.col(name).eqNullSafe(F.col(f"_spot_{name}")) for name in [*keys, *bucket]]
     near = rows.join(spots, same_spot).select(*keys, *bucket, *order, weight, "_name", "_missing")
     inside = Window.partitionBy(*keys, *bucket, "_name").orderBy(*order)
     reached = F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    keyed = (
+    first = (F.col("_reached") >= F.col("_missing")) & (
+        F.col("_reached") - F.col(weight) < F.col("_missing")
+    )
+    return (
         near.withColumn("_reached", reached)
-        .filter(
-            (F.col("_reached") >= F.col("_missing"))
-            & (F.col("_reached") - F.col(weight) < F.col("_missing"))
+        .filter(first)
+        .groupBy(*keys)
+        .agg(
+            *[
+                F.max(F.when(F.col("_name") == name, F.struct(*order))).alias(f"{name}_key")
+                for name in targets
+            ]
         )
-        .select(*keys, "_name", F.struct(*order).alias("_key"), F.lit(None).cast("bigint").alias("total"))
-    )
-    sums = placed.groupBy(*keys).agg(F.max("total").alias("total")).select(
-        *keys,
-        F.lit(None).cast("string").alias("_name"),
-        F.lit(None).cast(keyed.schema["_key"].dataType).alias("_key"),
-        "total",
-    )
-    merged = keyed.unionByName(sums).groupBy(*keys).agg(
-        F.max("total").alias("total"),
-        *[
-            F.max(F.when(F.col("_name") == name, F.col("_key"))).alias(f"{name}_key")
-            for name in (targets or {})
-        ],
-    )
-    return merged.select(
-        "*", *[goal.cast("bigint").alias(f"{name}_goal") for name, goal in (targets or {}).items()]
     )

@@ -101,7 +101,7 @@ def stratified_split(
         ["_order", *ids],
         "_one",
         targets={"train": first, "held": first + second},
-    ).select(stratum, "train_key", "held_key")
+    )
     labelled = broadcast_if_small(cuts, [stratum], keyed(df))
     mine = F.struct("_order", *ids)
     split = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,14 +28,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return builder.getOrCreate()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder all executors can reach.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a folder of its own; a cluster must name one,
-    because a machine-local folder would not survive a lost executor.
+    It is the session's ``spark.checkpoint.dir``. Only a local session without
+    that setting gets a folder of its own; a cluster must name one, because a
+    machine-local folder would not survive a lost executor.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,4 +43,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="ledgerloom-checkpoint-")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder once and go on from the written table.
+
+    Like a checkpoint this cuts the lineage and survives lost executors. As
+    Parquet it also lets later passes read only the columns they need, and the
+    planner see the true size.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

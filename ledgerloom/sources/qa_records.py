@@ -336,14 +336,15 @@ def capped(rows: DataFrame, outputs: str, cap: int, source: str | None = None) -
     overshoot it. Running sums are taken per bucket of records; only the bucket
     in which the cap is reached is looked at row by row.
     """
+    if cap <= 0:
+        return rows.filter(F.lit(False))
     name = source or "_source"
     marked = rows if source else rows.withColumn(name, F.lit("all"))
     placed = marked.withColumn(
         "_bucket", F.floor(F.col("record_ord") / F.lit(RECORDS_PER_BUCKET)).cast("bigint")
     )
-    narrow = placed.select(name, "file_ord", "_bucket", "record_ord", outputs)
     cuts = running_cuts(
-        narrow,
+        placed.select(name, "file_ord", "_bucket", "record_ord", outputs),
         [name],
         ["file_ord", "_bucket"],
         ["file_ord", "record_ord"],
@@ -352,10 +353,7 @@ def capped(rows: DataFrame, outputs: str, cap: int, source: str | None = None) -
     )
     joined = broadcast_if_small(cuts, [name], placed)
     here = F.struct("file_ord", "record_ord")
-    within = F.when(F.col("cap_goal") > F.col("total"), F.lit(True)).otherwise(
-        F.coalesce(here <= F.col("cap_key"), F.lit(False))
-    )
-    kept = joined.filter(within).drop("_bucket", "total", "cap_key", "cap_goal")
+    kept = joined.filter(F.coalesce(here <= F.col("cap_key"), F.lit(True))).drop("_bucket", "cap_key")
     return kept if source else kept.drop(name)
 
 
