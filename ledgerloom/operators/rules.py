@@ -405,14 +405,16 @@ def with_velocity(
     map-side; running totals are taken over those counts only. What is left are
     the two buckets at the ends of the span, and those are resolved by ordering
     rows within one bucket: each row appears once as itself and once, shifted
-    by the span, as the mark where it leaves the window.
+    by the span, as the mark where it leaves the window. The bucket's running
+    total travels as one more mark at its head, so the rows are shuffled once,
+    by (entity, bucket), and nothing is joined.
     """
     if span_micros % bucket_micros:
         raise ValueError("the span must be a whole number of buckets")
     buckets = span_micros // bucket_micros
 
     def bucket(at: Column) -> Column:
-        return F.floor(at / F.lit(bucket_micros)).cast("bigint")
+        return ((at - F.pmod(at, F.lit(bucket_micros))) / F.lit(bucket_micros)).cast("bigint")
 
     timed = df.withColumn("_at", micros.cast("bigint"))
     counts = timed.groupBy(entity, bucket(F.col("_at")).alias("_bucket")).agg(
@@ -421,26 +423,34 @@ def with_velocity(
     along = Window.partitionBy(entity).orderBy("_bucket")
     done = F.sum("_count").over(along.rangeBetween(Window.unboundedPreceding, -1))
     gone = F.sum("_count").over(along.rangeBetween(Window.unboundedPreceding, -buckets - 1))
-    between = counts.select(
-        F.col(entity).alias("_entity"),
-        F.col("_bucket").alias("_in_bucket"),
-        (F.coalesce(done, F.lit(0)) - F.coalesce(gone, F.lit(0))).alias("_between"),
+    entering = timed.select(
+        entity,
+        bucket(F.col("_at")).alias("_bucket"),
+        "_at",
+        F.struct(*[F.col(column) for column in df.columns]).alias("_row"),
+        F.lit(None).cast("bigint").alias("_between"),
     )
-    payload = F.struct(*[F.col(column) for column in df.columns])
-    entering = timed.select(entity, "_at", payload.alias("_row"))
+    no_row = F.lit(None).cast(entering.schema["_row"].dataType).alias("_row")
+    exit_at = F.col("_at") + F.lit(span_micros)
     leaving = timed.select(
-        entity, (F.col("_at") + F.lit(span_micros)).alias("_at"), F.lit(None).cast(
-            entering.schema["_row"].dataType
-        ).alias("_row")
+        entity, bucket(exit_at).alias("_bucket"), exit_at.alias("_at"), no_row,
+        F.lit(None).cast("bigint").alias("_between"),
+    )
+    heads = counts.select(
+        entity, "_bucket", F.lit(None).cast("bigint").alias("_at"), no_row,
+        (F.coalesce(done, F.lit(0)) - F.coalesce(gone, F.lit(0))).alias("_between"),
     )
-    marks = entering.unionByName(leaving).withColumn("_bucket", bucket(F.col("_at")))
-    inside = Window.partitionBy(entity, "_bucket").orderBy("_at")
-    entered = F.count("_row").over(inside.rangeBetween(Window.unboundedPreceding, 0))
-    left = F.count(F.when(F.col("_row").isNull(), 1)).over(
-        inside.rangeBetween(Window.unboundedPreceding, -1)
+    marks = entering.unionByName(leaving).unionByName(heads)
+    inside = Window.partitionBy(entity, "_bucket").orderBy(F.col("_at").asc_nulls_first())
+    so_far = inside.rangeBetween(Window.unboundedPreceding, 0)
+    left = F.count(F.when(F.col("_row").isNull() & F.col("_at").isNotNull(), 1))
+    inside_count = (
+        F.max("_between").over(so_far)
+        + F.count("_row").over(so_far)
+        - left.over(inside.rangeBetween(Window.unboundedPreceding, -1))
     )
-    resolved = marks.withColumn("_inside", entered - left).filter(F.col("_row").isNotNull())
-    same = F.col(entity).eqNullSafe(F.col("_entity")) & (F.col("_bucket") == F.col("_in_bucket"))
-    return resolved.join(between, same).select(
-        "_row.*", (F.col("_between") + F.col("_inside")).cast("bigint").alias(name)
+    return (
+        marks.withColumn(name, inside_count.cast("bigint"))
+        .filter(F.col("_row").isNotNull())
+        .select("_row.*", name)
     )
