@@ -12,7 +12,6 @@ import math
 import re
 from functools import lru_cache
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -268,9 +267,13 @@ def canonical_context(texts: pa.Array) -> pa.Array:
 canonical_context = canonical_context.asNondeterministic()
 
 
-@F.pandas_udf(T.StringType())
-def indented(texts: pd.Series) -> pd.Series:
+@F.arrow_udf(T.StringType())
+def indented(texts: pa.Array) -> pa.Array:
     """Canonical JSON text with two-space indentation."""
-    return texts.map(
-        lambda text: json.dumps(json.loads(text), indent=2, sort_keys=True), na_action="ignore"
+    return pa.array(
+        [
+            None if text is None else json.dumps(json.loads(text), indent=2, sort_keys=True)
+            for text in texts.to_pylist()
+        ],
+        pa.string(),
     )

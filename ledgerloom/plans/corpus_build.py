@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.json_text import indented
-from ledgerloom.operators.corpus import category_source_counts, exact_dedup, merge, merge_summary
+from ledgerloom.operators.corpus import TARGET_ROWS, category_source_counts, exact_dedup, merge
 from ledgerloom.operators.records import accepted, canonical_records
 from ledgerloom.operators.render import SYSTEM_TEXT, enriched, length_stats
 from ledgerloom.operators.split import stratified_split
@@ -33,6 +33,16 @@ def merged_records(frames: Sequence[DataFrame], order: Sequence[str]) -> DataFra
     return merge([accepted(canonical_records(frame, keep=order)) for frame in frames])
 
 
+def _merge_summary(everything: DataFrame, unique: DataFrame, target: int = TARGET_ROWS) -> DataFrame:
+    """Counts before and after; the texts are not hashed a second time for them."""
+    before = everything.agg(F.count("*").alias("before"), F.lit(0).alias("after"))
+    after = unique.agg(F.lit(0).alias("before"), F.count("*").alias("after"))
+    counts = before.unionByName(after).agg(
+        F.sum("before").alias("before_deduplication"), F.sum("after").alias("after_deduplication")
+    )
+    return counts.withColumn("target_met", F.col("after_deduplication") >= target)
+
+
 def build_corpus(
     frames: Sequence[DataFrame],
     order: Sequence[str] = POSITION,
@@ -55,7 +65,7 @@ def build_corpus(
     stats = None if token_count is None else length_stats(records, F.col("token_count"))
     return Corpus(
         records=records.drop("source_ord", *order),
-        merge_summary=merge_summary(everything),
+        merge_summary=_merge_summary(everything, unique),
         counts=category_source_counts(unique),
         split_sizes=labelled.groupBy("split").agg(F.count("*").alias("rows")),
         token_stats=stats,

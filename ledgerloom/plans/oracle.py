@@ -185,7 +185,7 @@ FROM (SELECT doc_id, string_split({squeeze('text')}, ' ') AS w FROM documents)""
 ORACLE["json_context"] = f"""
 SELECT event_id, '{{"amount": ' || {rounded('value')} || ', "props": {{"k": ' || (props->>'k')
   || '}}, "seen": [1, 2.5, ' || cast(format('{{:.1f}}', value) AS DOUBLE) || '], "type": "' || event_type
-  || '", "year": "' || year(ts) || '"}}' AS context, 0 AS problems FROM events"""
+  || '", "year": "' || year(ts) || '"}}' AS context, 0::BIGINT AS problems FROM events"""
 
 _doc_context = """('{"lang": "' || lang || '", "size": ' || length(text) || '}')"""
 _doc_instruction = "'Summarise the text.'"
@@ -203,7 +203,7 @@ doc_records AS (SELECT lang || '-' || substr(md5({_doc_key}), 1, 16) AS id, {_do
 ORACLE["canonical_records"] = f"""
 WITH {_doc_records}
 SELECT ord, id, instruction, context, md5(output) AS output_md5, category, source,
-  CASE WHEN contains(output, 'Reason:') THEN 0 ELSE 1 END AS violations FROM doc_records"""
+  CASE WHEN contains(output, 'Reason:') THEN 0::BIGINT ELSE 1::BIGINT END AS violations FROM doc_records"""
 
 ORACLE["record_violations"] = """
 SELECT cast(doc_id AS VARCHAR) AS id, CASE doc_id % 4 WHEN 1 THEN 'instruction is empty'
@@ -396,7 +396,7 @@ ORACLE["rule_investment"] = f"""
 WITH {_figures}, q AS (SELECT l_suppkey, cast((an - 0.85::DOUBLE) * 100 >= 15 AS INT) + cast(nr * 50 >= 50 AS INT)
   + cast(ra * 10 >= 10 AS INT) + cast(size / 10 <= 2.5 AS INT) + cast(an * 10 <= nr * 10 AS INT)
   + cast(a > r AS INT) AS k FROM f)
-SELECT l_suppkey, k AS quality_score,
+SELECT l_suppkey, k::BIGINT AS quality_score,
   {case(("k >= 5", "'BUY'"), ("k >= 3", "'HOLD'"), otherwise="'AVOID'")} AS decision,
   {case(("k >= 5", _reason["invest_buy"]), ("k >= 3", _reason["invest_hold"]),
         otherwise=_reason["invest_avoid"])} AS reason FROM q"""
