@@ -39,7 +39,7 @@ class Draws:
         """Uniform between two bounds, rounded to cents."""
         start, stop = (at if isinstance(at, str) else f"{float(at)}D" for at in (low, high))
         exact = f"({start}) + (({stop}) - ({start})) * {self.unit(field)}"
-        return f"cast(replace(format_number({exact}, 2), ',', '') AS DOUBLE)"
+        return f"floor(({exact}) * 100D + 0.5D) / 100D"
 
     def integer(self, field: str, low: int, high: int) -> str:
         """Whole number, both ends included."""

@@ -42,8 +42,10 @@ SHORT_ESCAPES = {
 # A double (named ``x``) as its shortest text: plain notation between 1e-4 and
 # 1e16, always with a decimal point; scientific outside, with a two-digit exponent.
 _ZEROS = r"r'(\.\d+?)0+$', '$1'"
+_SHORT_TEXT = r"abs({0}) >= 1e-3 AND abs({0}) < 1e7 AND cast({0} AS STRING) RLIKE r'\.\d{{1,6}}$'"
 FLOAT_SQL = rf"""
 CASE
+  WHEN {_SHORT_TEXT.format("x")} THEN cast(x AS STRING)
   WHEN (x = 0 OR abs(x) >= 1e-4) AND abs(x) < 1e9
        AND cast(replace(format_number(x, 6), ',', '') AS DOUBLE) = x
     THEN regexp_replace(replace(format_number(x, 6), ',', ''), {_ZEROS})
@@ -115,13 +117,14 @@ def _string_sql(value: str, key: str) -> str:
 
 def _value_sql(value: str, kind: T.DataType, indent: int | None, key: str, depth: int) -> str:
     def wrap(pieces: str, opening: str, closing: str) -> str:
-        between, start, end = ", ", opening, closing
-        if indent is not None:
-            inner = "\n" + " " * (indent * (depth + 1))
-            between, start = "," + inner, opening + inner
-            end = "\n" + " " * (indent * depth) + closing
-        full = f"concat({sql_text(start)}, array_join(p, {sql_text(between)}), {sql_text(end)})"
-        return sql_let(pieces, "p", f"CASE WHEN size(p) = 0 THEN '{opening}{closing}' ELSE {full} END")
+        """Pieces (columns or one array) between brackets; nulls are left out."""
+        if indent is None:
+            return f"concat('{opening}', concat_ws(', ', {pieces}), '{closing}')"
+        inner = "\n" + " " * (indent * (depth + 1))
+        start, between = sql_text(opening + inner), sql_text("," + inner)
+        end = sql_text("\n" + " " * (indent * depth) + closing)
+        body = f"CASE WHEN p = '' THEN '{opening}{closing}' ELSE concat({start}, p, {end}) END"
+        return sql_let(f"concat_ws({between}, {pieces})", "p", body)
 
     if isinstance(kind, T.StructType):
         renamed = {" ".join(field.name.split()): field for field in kind.fields}
@@ -131,7 +134,7 @@ def _value_sql(value: str, kind: T.DataType, indent: int | None, key: str, depth
             inside = f"{value}.`{field.name.replace('`', '``')}`"
             written = _value_sql(inside, field.dataType, indent, field.name, depth + 1)
             members.append(f"concat({sql_text(json.dumps(name) + ': ')}, {written})")
-        return wrap(f"array_compact(array({', '.join(members)}))", "{", "}")
+        return wrap(", ".join(members) or "cast(NULL AS STRING)", "{", "}")
     if isinstance(kind, T.ArrayType):
         item = f"v{depth}"
         written = _value_sql(item, kind.elementType, indent, key, depth + 1)
@@ -139,8 +142,14 @@ def _value_sql(value: str, kind: T.DataType, indent: int | None, key: str, depth
     if isinstance(kind, T.StringType):
         return _string_sql(value, key)
     if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
-        rounded = f"cast(replace(format_number(cast({value} AS DOUBLE), 6), ',', '') AS DOUBLE)"
-        return sql_let(rounded, "x", FLOAT_SQL)
+        exact = f"cast({value} AS DOUBLE)"
+        six = f"replace(format_number({exact}, 6), ',', '')"
+        usual = f"abs({exact}) < 999999999 AND ({exact} = 0 OR abs({exact}) >= 1e-4)"
+        rare = sql_let(f"cast({six} AS DOUBLE)", "x", FLOAT_SQL)
+        return (
+            f"CASE WHEN {_SHORT_TEXT.format(exact)} THEN cast({exact} AS STRING)"
+            f" WHEN {usual} THEN regexp_replace({six}, {_ZEROS}) ELSE {rare} END"
+        )
     if isinstance(kind, (T.BooleanType, T.IntegralType, T.NullType)):
         return f"cast({value} AS STRING)"
     raise TypeError(f"no JSON form for {kind.simpleString()} at {key or 'context'}")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.session import checkpointed
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def broadcast_if_small(
@@ -17,9 +18,9 @@ def broadcast_if_small(
 ) -> DataFrame:
     """Left-join per-key facts ``df`` onto ``rows`` after measuring ``df``.
 
-    ``df`` is materialised once in the checkpoint folder and counted there. Up
-    to ``max_rows`` it is broadcast and ``rows`` is not shuffled at all. Beyond
-    that both sides are shuffled on the keys plus a salt, with the facts copied
+    ``df`` is materialised once in the checkpoint folder and measured there. Up
+    to ``max_rows`` and 64 MB of content it is broadcast and ``rows`` is not
+    shuffled at all. Beyond that both sides are shuffled on the keys plus a salt, with the facts copied
     to every salt, so that no key (not even one holding a third of the rows)
     ends up in one task.
     """
@@ -30,7 +31,9 @@ def broadcast_if_small(
     )
     match = [F.col(key).eqNullSafe(F.col(f"_fact_{key}")) for key in keys]
     fact_keys = [f"_fact_{key}" for key in keys]
-    if facts.count() <= max_rows:
+    content = F.octet_length(F.to_json(F.struct(*[F.col(f"`{name}`") for name in facts.columns])))
+    count, size = facts.agg(F.count("*"), F.coalesce(F.sum(content), F.lit(0))).first()
+    if count <= max_rows and size <= BROADCAST_BYTES:
         return rows.join(F.broadcast(renamed), match, "left").drop(*fact_keys)
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     copied = renamed.withColumn("_fact_salt", F.explode(every_salt))

@@ -7,6 +7,7 @@ to be filtered away), and every field is a hash draw of (seed, index, field).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -20,6 +21,8 @@ from ledgerloom.operators import wording
 from ledgerloom.operators.rules import verdict
 from ledgerloom.operators.split import shuffled
 
+ROWS_PER_TASK = 20_000
+
 # Each step maps field names to SQL; a step may refer to fields of earlier steps.
 Fields = dict[str, str]
 
@@ -279,10 +282,15 @@ def scenarios(indices: DataFrame, category: str, seed: int = 42, index: str = "i
 
 
 def generate(spark: SparkSession, size: int, seed: int = 42, shuffle: bool = True) -> DataFrame:
-    """``size`` scenarios, balanced over the categories, in seeded random order."""
+    """``size`` scenarios, balanced over the categories, in seeded random order.
+
+    Tasks are sized by rows: each has to set up its category's long projection,
+    which should not cost more than the rows it makes.
+    """
     categories = list(SCENARIOS)
+    tasks = max(1, math.ceil(size / len(categories) / ROWS_PER_TASK))
     parts = [
-        scenarios(spark.range(at, size, len(categories)), category, seed)
+        scenarios(spark.range(at, size, len(categories), tasks), category, seed)
         for at, category in enumerate(categories)
     ]
     everything = reduce(DataFrame.unionByName, parts)

@@ -462,7 +462,8 @@ def unit(field: str) -> str:
 
 
 def uniform(field: str, low, high) -> str:
-    return rounded(f"({low})::DOUBLE + (({high})::DOUBLE - ({low})::DOUBLE) * {unit(field)}")
+    exact = f"({low})::DOUBLE + (({high})::DOUBLE - ({low})::DOUBLE) * {unit(field)}"
+    return f"floor(({exact}) * 100::DOUBLE + 0.5::DOUBLE) / 100::DOUBLE"
 
 
 def whole(field: str, low: int, high: int) -> str:
