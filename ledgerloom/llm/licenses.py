@@ -13,9 +13,10 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import named, text_of
@@ -114,11 +115,24 @@ def _minhashes(shingles: Column, bands: int) -> Column:
     return F.array(*[least(band) for band in range(bands)])
 
 
-def _template_bands(spark: SparkSession, templates: dict[str, str], classes: dict[str, WindowClass], at: WindowClass) -> DataFrame:
-    """Bands and shingles of the templates of a class: as many rows as templates times bands."""
-    rows = [(name, text) for name, text in templates.items() if classes[name] == at]
-    frame = spark.createDataFrame(rows, "license string, text string").withColumn("theirs", _shingles(_words(F.col("text"))))
-    return frame.select("license", "theirs", F.posexplode(_minhashes(F.col("theirs"), at.bands)).alias("band", "value"))
+def _by_class(classes: list[WindowClass], value: Callable[[WindowClass], Column]) -> Column:
+    """One expression per window class, of which a row evaluates its own."""
+    return F.coalesce(*[F.when(F.col("class") == number, value(at)) for number, at in enumerate(classes)])
+
+
+def _starts(at: WindowClass, number: int) -> Column:
+    """Class, first word and size of the windows over ``words``; the last one reaches the end."""
+    last = F.greatest(F.size("words") - at.size + at.step - 1, F.lit(0))
+    return F.transform(
+        F.sequence(F.lit(0), last, F.lit(at.step)),
+        lambda first: F.struct(F.lit(number).alias("class"), first.alias("first_word"), F.lit(at.size).alias("size")),
+    )
+
+
+def _bands(rows: DataFrame, shingles: str, keep: Sequence[str], classes: list[WindowClass]) -> DataFrame:
+    """One row per band of every row, with its MinHash value."""
+    hashes = _by_class(classes, lambda at: _minhashes(F.col(shingles), at.bands))
+    return rows.select("class", *keep, shingles, F.posexplode(hashes).alias("band", "value"))
 
 
 def license_matches(
@@ -142,24 +156,32 @@ def license_matches(
     classes = window_classes(templates)
     needed = sorted({word for text in templates.values() for word in needed_words(text)})
     narrow = docs.select(*named(id=id_column), text_of(f"`{text_column}`").alias("text"))
-    possible = narrow.filter(F.lower("text").rlike("|".join(map(re.escape, needed)))).select(
-        "id", _words(F.col("text")).alias("words")
-    ).filter(F.size("words") > 0)
-    found = None
-    for at in sorted(set(classes.values()), key=lambda c: c.most):
-        starts = F.sequence(F.lit(0), F.greatest(F.size("words") - at.size + at.step - 1, F.lit(0)), F.lit(at.step))
-        windows = possible.select("id", "words", F.explode(starts).alias("first_word")).select(
-            "id", "first_word", F.slice("words", F.col("first_word") + 1, at.size).alias("held")
-        ).select("id", "first_word", F.size("held").alias("n_words"), _shingles(F.col("held")).alias("mine"))
-        bands = windows.select(
-            "id", "first_word", "n_words", "mine", F.posexplode(_minhashes(F.col("mine"), at.bands)).alias("band", "value")
+    order = sorted(set(classes.values()), key=lambda at: at.most)
+    # as many rows as templates times bands
+    known = docs.sparkSession.createDataFrame(
+        [(order.index(classes[name]), name, text) for name, text in templates.items()],
+        "class int, license string, text string",
+    ).withColumn("theirs", _shingles(_words(F.col("text"))))
+    known = _bands(known, "theirs", ["license"], order)
+    possible = (
+        narrow.filter(F.lower("text").rlike("|".join(map(re.escape, needed))))
+        .select("id", _words(F.col("text")).alias("words"))
+        .filter(F.size("words") > 0)
+    )
+    starts = F.concat(*[_starts(at, number) for number, at in enumerate(order)])
+    windows = (
+        possible.select("id", "words", F.explode(starts).alias("window"))
+        .select(
+            "id", "window.class", "window.first_word",
+            F.slice("words", F.col("window.first_word") + 1, F.col("window.size")).alias("held"),
         )
-        shared = bands.join(F.broadcast(_template_bands(docs.sparkSession, templates, classes, at)), ["band", "value"])
-        containment = F.size(F.array_intersect("mine", "theirs")) / F.size("theirs")
-        hits = shared.withColumn("containment", containment).filter(F.col("containment") >= CONTAINMENT)
-        part = hits.select("id", "license", "first_word", "n_words", "containment")
-        found = part if found is None else found.unionByName(part)
-    return found.distinct()
+        .select("id", "class", "first_word", F.size("held").alias("n_words"), _shingles(F.col("held")).alias("mine"))
+    )
+    bands = _bands(windows, "mine", ["id", "first_word", "n_words"], order)
+    shared = bands.join(F.broadcast(known), ["class", "band", "value"])
+    containment = F.size(F.array_intersect("mine", "theirs")) / F.size("theirs")
+    hits = shared.withColumn("containment", containment).filter(F.col("containment") >= CONTAINMENT)
+    return hits.select("id", "license", "first_word", "n_words", "containment").distinct()
 
 
 def licenses(
