@@ -161,13 +161,13 @@ def learned(
 
 
 def classified(
-    docs: DataFrame, labels: DataFrame, kinds: dict[str, Column], id_column: str = "doc_id", text_column: str = "text",
+    docs: DataFrame, labels: DataFrame, kinds: dict[str, str], id_column: str = "doc_id", text_column: str = "text",
     host_column: str = "source", path_column: str = "lang", label_id_column: str = "doc_id",
     sample_rows: int = LABELLED_ROWS,
 ) -> DataFrame:
     """``id`` and, per kind, the posterior probability ``p_<kind>`` that the document is of that kind.
 
-    ``kinds`` names boolean expressions over ``labels``, such as low quality. All
+    ``kinds`` names boolean SQL expressions over ``labels``, such as low quality. All
     labelled documents make the hierarchy's rates; the classifier is fitted on a
     sample of at most ``sample_rows`` of them. Repeated labels of an id are
     joined by their maximum; null labels count as false, labels with a null id or
@@ -184,7 +184,7 @@ def classified(
         *named(id=id_column, host=host_column, path=path_column), text_of(f"`{text_column}`").alias("text")
     )
     flags = labels.select(
-        *named(id=label_id_column), *[F.coalesce(flag.cast("int"), F.lit(0)).alias(name) for name, flag in kinds.items()]
+        *named(id=label_id_column), *[F.coalesce(F.expr(flag).cast("int"), F.lit(0)).alias(name) for name, flag in kinds.items()]
     ).groupBy("id").agg(*[F.max(name).alias(name) for name in names])
     flags = checkpointed(flags)
     model = learned(base.select("id", "text"), flags, names, sample_rows)

@@ -12,7 +12,7 @@ from ledgerloom.llm.common import table
 RANKS_FILE = "byte_bpe_50k.tiktoken"
 PIECES_FILE = "piece_bpe_32k.model"
 RULES = (("net/", True), ("example.net/en/", False), ("example.com/de/", True), ("org/fr/", False))
-KINDS = {"low": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+KINDS = {"low": "quality = 0", "toxic": "toxic = 1"}
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
