@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 
 from ledgerloom.llm.common import arrow_type, named, over_batches, text_of
 
-MAX_STATES = 250_000
-MAX_PIECES = 250_000
+MAX_STATES = 120_000
+MAX_PIECES = 120_000
 DECODE_STEP = 65_536
 _START = -1
 #: Marks that end a word; after letters each is a match of its own unless more marks follow.

@@ -24,7 +24,7 @@ from ledgerloom.session import checkpointed
 SEED = 42
 STEP = 4
 LEAF_ROWS = 32_768
-FRONTIER = 2_000_000
+FRONTIER = 400_000
 _CHUNK = 65_536
 
 
