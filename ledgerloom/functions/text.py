@@ -128,7 +128,7 @@ def decision_text(decision: Column, reason: Column) -> Column:
 
 
 def fill(template: str, **values: Column) -> Column:
-    """Concat of a sentence with ``{name}`` holes and the columns that fill them."""
+    """Concat of a sentence with ``{name}`` holes and the columns that fill them; an unknown value prints as such."""
     parts: list[Column] = []
     rest = template
     while "{" in rest:
@@ -136,7 +136,7 @@ def fill(template: str, **values: Column) -> Column:
         name, _, rest = tail.partition("}")
         if before:
             parts.append(F.lit(before))
-        parts.append(values[name].cast("string"))
+        parts.append(F.coalesce(values[name].cast("string"), F.lit("unknown")))
     if rest:
         parts.append(F.lit(rest))
     return F.concat(*parts)

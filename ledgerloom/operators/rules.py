@@ -40,6 +40,11 @@ def _met(*conditions: Column) -> Column:
     return sum(points[1:], points[0])
 
 
+def _lacking(condition: Column) -> Column:
+    """True unless the condition is known to hold."""
+    return ~F.coalesce(condition, F.lit(False))
+
+
 def _all(*conditions: Column) -> Column:
     joined = conditions[0]
     for condition in conditions[1:]:
@@ -69,7 +74,7 @@ def judge_fraud(
     card_present: Column,
 ) -> Verdict:
     score = _met(
-        velocity_24h >= 5, geo_mismatch, new_device, after_hours, amount >= 5000, ~card_present
+        velocity_24h >= 5, geo_mismatch, new_device, after_hours, amount >= 5000, _lacking(card_present)
     )
     risky = score >= 4
     return Verdict(
@@ -89,10 +94,10 @@ def judge_policy(
     manager_approved: Column,
 ) -> Verdict:
     tests = (
-        (~vendor_approved, F.lit(REASONS["policy_vendor"])),
+        (_lacking(vendor_approved), F.lit(REASONS["policy_vendor"])),
         (amount > policy_limit, fill(REASONS["policy_limit"], excess=money(amount - policy_limit))),
-        ((amount > 1000) & ~manager_approved, F.lit(REASONS["policy_manager"])),
-        ((amount > 75) & ~receipt_attached, F.lit(REASONS["policy_receipt"])),
+        ((amount > 1000) & _lacking(manager_approved), F.lit(REASONS["policy_manager"])),
+        ((amount > 75) & _lacking(receipt_attached), F.lit(REASONS["policy_receipt"])),
     )
     broken = _met(*[test for test, _ in tests])
     problems = F.concat_ws("; ", *[F.when(test, problem) for test, problem in tests])
@@ -226,7 +231,7 @@ def judge_anomaly(
     baseline_mean: Column, baseline_std: Column, observed: Column, recurring: Column
 ) -> Verdict:
     z = round_exact((observed - baseline_mean) / F.greatest(baseline_std, F.lit(1.0)), 2)
-    outlier = (F.abs(z) >= 2.5) & ~recurring
+    outlier = (F.abs(z) >= 2.5) & _lacking(recurring)
     words = {"z": float_text(z)}
     return Verdict(
         F.when(outlier, "OUTLIER").otherwise("NORMAL"),
@@ -369,23 +374,16 @@ def with_baseline(
 ) -> DataFrame:
     """Add ``baseline_mean`` and ``baseline_std`` (population) of an entity's amounts.
 
-    Sums are kept as decimals, so the result does not depend on the order in
-    which partial sums meet. They are combined map-side and joined back with
-    hot entities salted, instead of a window that would pull each entity's rows
-    into one task.
+    Mean and deviation come from central moments, which partial aggregates merge
+    without loss, for amounts of any size. They are combined map-side and joined
+    back with hot entities salted, instead of a window that would pull each
+    entity's rows into one task. Rows without an entity are an entity of their own.
     """
-    cents = F.col(amount).cast("decimal(14,2)")
-    facts = df.groupBy(entity).agg(
-        F.count(amount).alias("_rows"),
-        F.sum(cents).cast("double").alias("_sum"),
-        F.sum((cents * cents).cast("decimal(28,4)")).cast("double").alias("_squares"),
-    )
-    variance = (F.col("_squares") - F.col("_sum") * F.col("_sum") / F.col("_rows")) / F.col("_rows")
-    ready = facts.select(
-        entity,
-        "_rows",
-        (F.col("_sum") / F.col("_rows")).alias("baseline_mean"),
-        F.sqrt(F.greatest(variance, F.lit(0.0))).alias("baseline_std"),
+    value = F.col(amount).cast("double")
+    ready = df.groupBy(entity).agg(
+        F.count("*").alias("_rows"),
+        F.avg(value).alias("baseline_mean"),
+        F.stddev_pop(value).alias("baseline_std"),
     )
     return join_group_facts(df, ready, entity, "_rows", row_key, hot_rows).drop("_rows")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,7 +38,8 @@ def broadcast_if_small(
         return rows.join(F.broadcast(renamed), match, "left").drop(*fact_keys)
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     copied = renamed.withColumn("_fact_salt", F.explode(every_salt))
-    mixed = F.pmod(F.xxhash64(*[F.col(name) for name in rows.columns]), F.lit(salts)).cast("int")
+    hashable = [field.name for field in rows.schema if not re.search("map|variant", field.dataType.simpleString())]
+    mixed = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in hashable]), F.lit(salts)).cast("int")
     salted = rows.withColumn("_salt", mixed)
     joined = salted.join(copied, [*match, F.col("_salt") == F.col("_fact_salt")], "left")
     return joined.drop("_salt", "_fact_salt", *fact_keys)
@@ -52,22 +54,29 @@ def join_group_facts(
     hot_rows: int = 1_000_000,
     salts: int = 256,
 ) -> DataFrame:
-    """Inner-join per-key facts (one row per key, group size in ``size``) onto rows.
+    """Left-join per-key facts (one row per key, group size in ``size``) onto rows; a null key meets its own facts.
 
-    Keys above ``hot_rows`` are salted. There can be at most
-    total rows / ``hot_rows`` of them, so broadcasting that key list is safe
-    whatever the data looks like; all other keys stay unsalted and uncopied.
+    Keys above ``hot_rows`` are salted, with as many salts as bring a key's rows
+    per salt under ``hot_rows`` (``salts`` at least); all other keys stay unsalted
+    and uncopied. There can be at most total rows / ``hot_rows`` hot keys; their
+    list is measured before it is broadcast.
     """
-    hot = facts.filter(F.col(size) > hot_rows).select(F.col(key).alias("_hot_key"))
-    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    spread = F.pmod(F.xxhash64(*[F.col(name) for name in row_key]), F.lit(salts)).cast("int")
-    salted = marked.withColumn(
-        "_salt", F.when(F.col("_hot_key").isNotNull(), spread).otherwise(F.lit(0))
-    ).drop("_hot_key")
-    copies = F.when(
-        F.col(size) > hot_rows, F.sequence(F.lit(0), F.lit(salts - 1))
-    ).otherwise(F.array(F.lit(0)))
-    return salted.join(facts.withColumn("_salt", F.explode(copies)), [key, "_salt"]).drop("_salt")
+    copies = F.greatest(F.lit(salts), F.ceil(F.col(size) / hot_rows)).cast("int")
+    sized = facts.withColumn("_salts", F.when(F.col(size) > hot_rows, copies).otherwise(F.lit(1)))
+    hot = sized.filter(F.col("_salts") > 1).select(key, F.col("_salts").alias("_hot_salts"))
+    spread = F.pmod(F.xxhash64(*[F.col(name) for name in row_key]), F.col("_hot_salts").cast("long")).cast("int")
+    salted = (
+        broadcast_if_small(hot, [key], rows)
+        .withColumn("_salt", F.coalesce(spread, F.lit(0)))
+        .drop("_hot_salts")
+    )
+    copied = (
+        sized.withColumn("_fact_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+        .drop("_salts")
+        .withColumnRenamed(key, "_fact_key")
+    )
+    match = F.col(key).eqNullSafe(F.col("_fact_key")) & (F.col("_salt") == F.col("_fact_salt"))
+    return salted.join(copied, match, "left").drop("_salt", "_fact_salt", "_fact_key")
 
 
 def running_cuts(

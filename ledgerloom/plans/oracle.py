@@ -445,11 +445,9 @@ WITH j AS (SELECT o_orderkey, list_reduce(list_transform(range(1, 3 + o_orderkey
 {_batch('j', 'o_orderkey')}"""
 
 ORACLE["rule_anomaly"] = f"""
-WITH m AS (SELECT o_custkey AS k, count(*) AS n, cast(sum(cast(o_totalprice AS DECIMAL(14, 2))) AS DOUBLE) AS s,
-  cast(sum(cast(cast(o_totalprice AS DECIMAL(14, 2)) * cast(o_totalprice AS DECIMAL(14, 2)) AS DECIMAL(28, 4))) AS DOUBLE) AS q
-  FROM orders GROUP BY 1),
-z AS (SELECT o_orderkey, o_orderpriority, {rounded('(o_totalprice - s / n) / greatest(sqrt(greatest((q - s * s / n) / n, 0)), 1)')} AS z
-  FROM orders JOIN m ON o_custkey = k),
+WITH m AS (SELECT o_custkey AS k, avg(o_totalprice::DOUBLE) AS mean, stddev_pop(o_totalprice::DOUBLE) AS std FROM orders GROUP BY 1),
+z AS (SELECT o_orderkey, o_orderpriority, {rounded('(o_totalprice - mean) / greatest(std, 1)')} AS z
+  FROM orders LEFT JOIN m ON o_custkey IS NOT DISTINCT FROM k),
 j AS (SELECT *, abs(z) >= 2.5 AND o_orderpriority <> '1-URGENT' AS odd FROM z)
 SELECT o_orderkey, z AS z_score, CASE WHEN odd THEN 'OUTLIER' ELSE 'NORMAL' END AS decision,
   CASE WHEN odd THEN {fill('anomaly_outlier', z='z')} ELSE {fill('anomaly_normal', z='z')} END AS reason FROM j"""
@@ -489,7 +487,7 @@ def json_of(**members: str) -> str:
 
 
 def scenario(at: int, category: str, steps: list[dict[str, str]], decision: str, reason: str, context: str) -> str:
-    rows = f"(SELECT i FROM range({at}, (SELECT count(*) FROM orders), 12) AS r(i))"
+    rows = f"(SELECT o_orderkey AS i FROM orders WHERE o_orderkey % 12 = {at})"
     for step in steps:
         fields = ", ".join(f"{sql} AS {name}" for name, sql in step.items())
         rows = f"(SELECT *, {fields} FROM {rows})"
@@ -640,12 +638,12 @@ answers AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN text
   WHEN 1 THEN 'Decision: approve - ' || lang || chr(10) || 'Reason: ' || text
   WHEN 2 THEN 'Decision:' || chr(10) || 'Reason: maybe ' || text
   WHEN 3 THEN 'Decision: non deductible' || chr(10) || 'Confidence: 0.87' || chr(10) || text
-  WHEN 4 THEN 'Reason:  ' || source || chr(10) || 'Decision: Manual  Review!' || chr(10) || 'Confidence: 12'
-  ELSE 'Decision: ' || substr(text, 1, 40) END AS response FROM documents)"""
+  WHEN 4 THEN 'Reason:  ' || source || chr(10) || 'Decision: Manual  Review!' || chr(10) || 'Confidence: 12' || chr(10) || text
+  ELSE 'Decision: ' || text END AS response FROM documents)"""
 _names = ", ".join(f"'{name}'" for name in (*APPROVE_LABELS, *REJECT_LABELS, "hold", "!"))
 ORACLE["label_bucket"] = f"""
 WITH c AS (SELECT doc_id, text, ([{_names}])[doc_id % 23 + 1] AS c FROM documents),
-l AS (SELECT doc_id, {label("CASE WHEN doc_id % 2 = 0 THEN lower(c) ELSE c || ' / ' || text END")} AS l FROM c)
+l AS (SELECT doc_id, {label("CASE WHEN doc_id % 2 = 0 THEN lower(c || ' / ' || text) ELSE c || ' / ' || text END")} AS l FROM c)
 SELECT doc_id, md5(l) AS label_md5, {bucket('l')} AS bucket FROM l"""
 ORACLE["confidence"] = f"""
 WITH d AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'UNKNOWN' WHEN 1 THEN 'APPROVE' ELSE upper(source) END AS l,

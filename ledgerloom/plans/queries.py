@@ -5,6 +5,7 @@ Each query takes (spark, folder of Parquet tables) and returns a DataFrame.
 
 from __future__ import annotations
 
+from functools import reduce
 from collections.abc import Callable
 
 import pandas as pd
@@ -627,9 +628,14 @@ def rule_anomaly(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def scenario_generate(spark: SparkSession, folder: str) -> DataFrame:
-    """One scenario per order."""
-    size = table(spark, folder, "orders").count()
-    return scenarios.generate(spark, size, seed=42)
+    """One scenario per order, drawn from the order's key, which also picks the category."""
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("id"))
+    kinds = list(scenarios.SCENARIOS)
+    parts = [
+        scenarios.scenarios(orders.filter(F.col("id") % len(kinds) == at), category, seed=42)
+        for at, category in enumerate(kinds)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- responses --------------------------------------------------------------------
@@ -644,8 +650,8 @@ def _responses(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == 1, F.concat(F.lit("Decision: approve - "), F.col("lang"), F.lit("\nReason: "), body))
         .when(kind == 2, F.concat(F.lit("Decision:\nReason: maybe "), body))
         .when(kind == 3, F.concat(F.lit("Decision: non deductible\nConfidence: 0.87\n"), body))
-        .when(kind == 4, F.concat(F.lit("Reason:  "), F.col("source"), F.lit("\nDecision: Manual  Review!\nConfidence: 12")))
-        .otherwise(F.concat(F.lit("Decision: "), F.substring(body, 1, 40)))
+        .when(kind == 4, F.concat(F.lit("Reason:  "), F.col("source"), F.lit("\nDecision: Manual  Review!\nConfidence: 12\n"), body))
+        .otherwise(F.concat(F.lit("Decision: "), body))
     )
     return docs.select("doc_id", "lang", "n_chars", response.alias("response"))
 
@@ -658,9 +664,8 @@ def label_bucket(spark: SparkSession, folder: str) -> DataFrame:
         F.array(*[F.lit(name) for name in (*labels.APPROVE_LABELS, *labels.REJECT_LABELS, "hold", "!")]),
         (F.col("doc_id") % 23).cast("int") + 1,
     )
-    written = F.when(F.col("doc_id") % 2 == 0, F.lower(choice)).otherwise(
-        F.concat(choice, F.lit(" / "), F.col("text"))
-    )
+    whole = F.concat(choice, F.lit(" / "), F.col("text"))
+    written = F.when(F.col("doc_id") % 2 == 0, F.lower(whole)).otherwise(whole)
     label = labels.canonical_label(written)
     return docs.select(
         "doc_id", F.md5(label).alias("label_md5"), labels.bucket_of_canonical(label).alias("bucket")

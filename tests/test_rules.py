@@ -112,3 +112,38 @@ def test_baseline_is_the_same_for_hot_and_cold_entities(spark):
     row = next(r for r in cold if r.who == 0)
     assert row.baseline_mean == pytest.approx(mean)
     assert row.baseline_std == pytest.approx((sum((a - mean) ** 2 for a in amounts) / len(amounts)) ** 0.5)
+
+
+def test_unknown_facts_never_approve_and_every_decision_has_a_reason(spark):
+    one = spark.range(1)
+    no, number = F.lit(None).cast("boolean"), F.lit(None).cast("double")
+
+    def judged(rule, **inputs):
+        row = rules.apply_rule(one, rule, **inputs).first()
+        assert row.reason is not None
+        return row
+
+    yes = F.lit(True)
+    policy = {"amount": F.lit(100.0), "policy_limit": F.lit(500.0), "vendor_approved": yes, "receipt_attached": yes, "manager_approved": yes}
+    assert judged("policy", **policy).decision == "APPROVE"
+    for name in ("vendor_approved", "receipt_attached"):
+        assert judged("policy", **{**policy, name: no}).decision == "REJECT"
+    assert judged("policy", **{**policy, "amount": F.lit(2000.0), "policy_limit": F.lit(5000.0), "manager_approved": no}).decision == "REJECT"
+    fraud = judged("fraud", amount=F.lit(6000.0), velocity_24h=F.lit(7), geo_mismatch=yes, new_device=F.lit(False), after_hours=F.lit(False), card_present=no)
+    assert (fraud.decision, fraud.risk_score) == ("MANUAL_REVIEW", 4)
+    odd = judged("anomaly", baseline_mean=F.lit(1.0), baseline_std=F.lit(1.0), observed=F.lit(401.0), recurring=no)
+    assert odd.decision == "OUTLIER"
+    assert judged("spend_alert", budget=F.lit(0.0), actual_spend=F.lit(5.0), forecast_spend=F.lit(5.0)).decision == "ALERT"
+    assert judged("budget", amount=F.lit(5.0), remaining=number).decision == "REJECT"
+
+
+def test_baseline_keeps_null_entities_and_any_amount(spark):
+    rows = [(0, "big", 1e12), (1, "big", 1e12 + 1), (2, "small", 0.0), (3, "small", 0.004), (4, None, 3.0), (5, None, 5.0), (6, "none", None)]
+    df = spark.createDataFrame(rows, "id int, who string, amount double")
+    for hot_rows in (1, 1_000_000):
+        got = {r.id: r for r in rules.with_baseline(df, "who", "amount", ["id"], hot_rows).collect()}
+        assert len(got) == 7
+        assert got[0].baseline_mean == pytest.approx(1e12 + 0.5) and got[1].baseline_std == pytest.approx(0.5)
+        assert got[2].baseline_mean == pytest.approx(0.002) and got[3].baseline_std == pytest.approx(0.002)
+        assert got[4].baseline_mean == 4.0 and got[5].baseline_std == 1.0
+        assert got[6].baseline_mean is None
