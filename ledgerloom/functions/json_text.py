@@ -241,13 +241,22 @@ def _canonical(text: str | None) -> tuple[str | None, list[str]]:
         return None, ["context is missing"]
     try:
         node = json.loads(text)
+        if not isinstance(node, dict):
+            return None, ["context is not an object"]
+        cleaned = _clean(node, False)
+        written = json.dumps(cleaned, sort_keys=True)
+        return written, _nulls(cleaned, "context") if "null" in written else []
     except ValueError:
         return None, ["context is not JSON"]
-    if not isinstance(node, dict):
-        return None, ["context is not an object"]
-    cleaned = _clean(node, False)
-    written = json.dumps(cleaned, sort_keys=True)
-    return written, _nulls(cleaned, "context") if "null" in written else []
+    except RecursionError:
+        return None, ["context is nested too deeply"]
+
+
+def _indented(text: str | None) -> str | None:
+    try:
+        return None if text is None else json.dumps(json.loads(text), indent=2, sort_keys=True)
+    except (ValueError, RecursionError):
+        return None
 
 
 CANONICAL_SCHEMA = T.StructType(
@@ -278,11 +287,5 @@ canonical_context = canonical_context.asNondeterministic()
 
 @F.arrow_udf(T.StringType())
 def indented(texts: pa.Array) -> pa.Array:
-    """Canonical JSON text with two-space indentation."""
-    return pa.array(
-        [
-            None if text is None else json.dumps(json.loads(text), indent=2, sort_keys=True)
-            for text in texts.to_pylist()
-        ],
-        pa.string(),
-    )
+    """JSON text with two-space indentation; null for text that is not JSON or nested too deeply."""
+    return pa.array([_indented(text) for text in texts.to_pylist()], pa.string())

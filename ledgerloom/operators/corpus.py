@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.scale import broadcast_if_small
+
 SEMANTIC = ("instruction", "context", "output", "category")
 TARGET_ROWS = 100_000
 
@@ -26,18 +28,24 @@ def digest(columns: Sequence[str] = SEMANTIC) -> Column:
 def exact_dedup(df: DataFrame, order: Sequence[str], columns: Sequence[str] = SEMANTIC) -> DataFrame:
     """Keep the first of equal rows.
 
-    Ranking by one plans a group limit below the exchange: every task drops its
-    own repeats first, so a text copied a billion times sends one row per task.
-    ``order`` must name a total order; an arbitrary survivor would change with
-    the partitioning.
+    A narrow pass over digests and order keys, combined map-side, finds the first
+    row of every repeated digest. That list is measured: while it is small it is
+    broadcast and the wide rows stay where they are, beyond that they meet it by
+    a salted join, so a text copied a billion times is in no task whole. ``df``
+    is read twice and must give the same rows both times. ``order`` must name a
+    total order; equal rows that also agree in it all stay.
     """
-    copies = Window.partitionBy("_digest").orderBy(*order)
-    return (
-        df.withColumn("_digest", digest(columns))
-        .withColumn("_copy", F.row_number().over(copies))
-        .filter(F.col("_copy") == 1)
-        .drop("_copy", "_digest")
+    place = F.struct(*[F.col(name) for name in order])
+    keyed = df.withColumn("_digest", digest(columns))
+    firsts = (
+        keyed.groupBy("_digest")
+        .agg(F.min(place).alias("_earliest"), F.count("*").alias("_copies"))
+        .filter(F.col("_copies") > 1)
+        .drop("_copies")
     )
+    met = broadcast_if_small(firsts, ["_digest"], keyed)
+    kept = met.filter(F.col("_earliest").isNull() | place.eqNullSafe(F.col("_earliest")))
+    return kept.drop("_earliest", "_digest")
 
 
 def category_source_counts(df: DataFrame) -> DataFrame:
@@ -52,7 +60,10 @@ def category_source_counts(df: DataFrame) -> DataFrame:
             .when(F.col("_kind") == 2, "source")
             .otherwise("total")
             .alias("kind"),
-            F.coalesce("category", "source", F.lit("samples")).alias("name"),
+            F.when(F.col("_kind") == 1, F.coalesce("category", F.lit("unknown")))
+            .when(F.col("_kind") == 2, F.col("source"))
+            .otherwise("samples")
+            .alias("name"),
             "rows",
         )
     )

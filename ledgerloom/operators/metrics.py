@@ -19,7 +19,11 @@ BUDGET_CATEGORIES = ("budget_reasoning", "multi_transaction_budgeting")
 
 
 def scored(gold: DataFrame, predictions: DataFrame, with_text: bool = False) -> DataFrame:
-    """Per-record results: labels and match flags, optionally the explanations."""
+    """Per-record results: labels and match flags, optionally the explanations.
+
+    There is one result per gold record: of several predictions with one id the
+    least by label, fingerprint and explanation counts.
+    """
 
     def side(text: str, prefix: str) -> list[Column]:
         columns = [
@@ -31,7 +35,9 @@ def scored(gold: DataFrame, predictions: DataFrame, with_text: bool = False) ->
         return columns
 
     truth = gold.select("id", "category", *side("output", "expected"))
-    answers = predictions.select("id", *side("response", "predicted"))
+    said = predictions.select("id", *side("response", "predicted"))
+    least = said.groupBy("id").agg(F.min(F.struct(*said.columns[1:])).alias("_least"))
+    answers = least.select("id", "_least.*")
     empty = F.sha2(F.lit(""), 256)
     joined = truth.join(answers, "id", "left").withColumn(
         "predicted_decision", F.coalesce("predicted_decision", F.lit("UNKNOWN"))
@@ -128,11 +134,20 @@ def by_category(results: DataFrame, positive: str = "MANUAL_REVIEW", rejecting:
 
 
 def pass_rate(scenarios: DataFrame, responses: DataFrame) -> DataFrame:
-    """Share of scenarios whose upper-cased response contains the expected label."""
-    joined = scenarios.select("name", "expected").join(
-        responses.select("name", F.upper("response").alias("_said")), "name", "left"
+    """Share of scenarios whose upper-cased response contains the expected label.
+
+    A scenario with several responses passes if all of them do; one without any fails.
+    """
+    # The labels looked for are few and short, so responses meet them, not the other way
+    # round: only a flag per (name, label) goes on to the scenarios.
+    wanted = scenarios.select("name", "expected").distinct()
+    found = (
+        responses.join(wanted, "name")
+        .groupBy("name", "expected")
+        .agg(F.min(F.upper("response").contains(F.col("expected"))).alias("_found"))
     )
-    passed = F.coalesce(F.col("_said"), F.lit("")).contains(F.col("expected"))
+    joined = scenarios.select("name", "expected").join(found, ["name", "expected"], "left")
+    passed = F.coalesce(F.col("_found"), F.lit(False))
     return joined.agg(
         F.count("*").alias("scenarios"),
         F.count_if(passed).alias("passed"),

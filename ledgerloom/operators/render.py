@@ -11,9 +11,8 @@ from ledgerloom.functions.json_text import indented
 from ledgerloom.functions.text import round_exact
 
 SYSTEM_TEXT = (
-    "You are a financial reasoning model. "
-    "Follow policy, compare financial numbers carefully, and return exactly two "
-    "lines: 'Decision: ...' and 'Reason: ...'."
+    "Judge the case below by the figures and rules it states. Answer in two lines, "
+    "the first starting with 'Decision:' and the second with 'Reason:'."
 )
 
 # The turn markers of the chat format.
@@ -55,12 +54,13 @@ def enriched(
     return full if token_count is None else full.withColumn("token_count", token_count(F.col("text")))
 
 
-def length_stats(df: DataFrame, length: Column, by: Sequence[str] = ()) -> DataFrame:
-    """Smallest, largest and average length; nulls where nothing was counted."""
+def length_stats(df: DataFrame, length: Column, by: Sequence[str] = (), *more: Column) -> DataFrame:
+    """Smallest, largest and average length; nulls where nothing was counted. ``more`` adds aggregates to the pass."""
     stats = df.groupBy(*by).agg(
         F.min(length).cast("bigint").alias("min"),
         F.max(length).cast("bigint").alias("max"),
         F.avg(length).alias("avg"),
+        *more,
     )
     return stats.withColumn("avg", round_exact(F.col("avg"), 2))
 

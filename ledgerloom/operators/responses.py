@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.json_text import canonical_context, context_json, indented
+from ledgerloom.functions.json_text import indented
 from ledgerloom.functions.labels import (
     CONFIDENCE_PATTERN,
     DECISION_PATTERN,
@@ -58,15 +58,22 @@ def clamped(score: Column) -> Column:
     return F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0))
 
 
-def request_prompt(requests: DataFrame, system_text: str = SYSTEM_TEXT) -> Column:
-    """Prompt of an (instruction, context) request; the context is used as given."""
+def shown_context(requests: DataFrame) -> Column:
+    """Indented text of a request's context, its values as given; null if it can't be read.
+
+    A struct is written as JSON, nulls included, so that the same request gives
+    the same prompt as a struct and as JSON text.
+    """
     kind = requests.schema["context"].dataType
     context = F.col("context")
-    if isinstance(kind, T.StructType):
-        shown = context_json("context", kind, indent=2)
-    else:
-        shown = indented(context if isinstance(kind, T.StringType) else F.to_json(context))
-    return prompt(F.col("instruction"), shown, system_text)
+    if not isinstance(kind, T.StringType):
+        context = F.to_json(context, {"ignoreNullFields": "false"})
+    return indented(context)
+
+
+def request_prompt(requests: DataFrame, system_text: str = SYSTEM_TEXT) -> Column:
+    """Prompt of an (instruction, context) request; null without either or with an unreadable context."""
+    return prompt(F.col("instruction"), shown_context(requests), system_text)
 
 
 def decide(
@@ -77,11 +84,25 @@ def decide(
     """Requests -> ``decision, explanation, confidence``.
 
     ``generate`` maps prompt to response text, normally a pandas UDF around a
-    model. Nothing here keeps state, so batch and streaming frames both work.
+    model. Nothing here keeps state, so batch and streaming frames both work. A
+    request that can't be read does not end the job: ``error`` says what is
+    wrong (null otherwise), the model is given an empty prompt for it, and what
+    it answers is not used, so the decision is that of an empty response.
     """
-    answered = requests.withColumn("response", generate(request_prompt(requests, system_text)))
+    shown = requests.withColumn("_shown", shown_context(requests))
+    error = (
+        F.when(F.col("instruction").isNull(), "instruction is missing")
+        .when(F.col("context").isNull(), "context is missing")
+        .when(F.col("_shown").isNull(), "context is not JSON or nested too deeply")
+    )
+    asked = shown.withColumn("error", error).withColumn(
+        "_prompt", F.coalesce(prompt(F.col("instruction"), F.col("_shown"), system_text), F.lit(""))
+    )
+    answered = asked.withColumn("_said", generate(F.col("_prompt"))).withColumn(
+        "response", F.when(F.col("error").isNull(), F.col("_said"))
+    )
     return (
         parsed(answered, "response")
         .withColumn("confidence", clamped(F.col("confidence")))
-        .drop("raw_decision", "reason", "response")
+        .drop("raw_decision", "reason", "response", "_shown", "_prompt", "_said")
     )

@@ -361,9 +361,13 @@ def classify_expense(
     """Expense class by equi-join with a (vendor, bucket) catalogue.
 
     Only the built-in ten-row catalogue is force-broadcast. A catalogue passed
-    in is joined without a hint: its size decides at run time.
+    in is joined without a hint: its size decides at run time. A vendor listed
+    more than once counts with the least of its buckets, so rows never multiply.
     """
-    known = F.broadcast(vendor_catalogue(df)) if catalogue is None else catalogue
+    if catalogue is None:
+        known = F.broadcast(vendor_catalogue(df))
+    else:
+        known = catalogue.groupBy("vendor").agg(F.min("bucket").alias("bucket"))
     lookup = known.select(F.col("vendor").alias("_vendor"), F.col("bucket"))
     joined = df.join(lookup, F.col(vendor) == F.col("_vendor"), "left").drop("_vendor")
     return apply_rule(joined, "expense", vendor=vendor, amount=amount, team=team)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from ledgerloom.operators.scale import broadcast_if_small, running_cuts
 
 SPLITS = ("train", "validation", "test")
 BUCKET_DIGITS = 3
+ROWS_PER_PARTITION = 1_000_000
 
 
 def allocated(total: Column, ratios: Sequence[float]) -> list[Column]:
@@ -73,19 +75,24 @@ def stratified_split(
     stratum: str = "category",
     row_id: str = "id",
     tie_break: Sequence[str] = (),
-    bucket_digits: int = BUCKET_DIGITS,
+    bucket_digits: int | None = None,
 ) -> DataFrame:
     """Add a ``split`` column whose sizes per stratum follow ``allocate_counts``.
 
     Rows are ordered inside a stratum by a seeded hash of their id. Two narrow
     passes over (stratum, id) find the hash keys where each stratum is to be
     cut; the wide rows are then labelled by comparing their own key with those
-    cuts. The payload is never shuffled or sorted, and no stratum, however
-    large, is ever in one task. ``row_id`` and ``tie_break`` together must be
+    cuts. The payload is never shuffled or sorted. A stratum is cut into
+    16 ** ``bucket_digits`` buckets, by default at least as many as the square
+    root of the number of rows, so that neither the buckets of a stratum nor the
+    rows of a bucket become large; the rows are counted for that. ``row_id`` and ``tie_break`` together must be
     unique within a stratum.
     """
     check_ratios(ratios)
     ids = [row_id, *tie_break]
+    if bucket_digits is None:
+        root = math.isqrt(df.count())
+        bucket_digits = max(BUCKET_DIGITS, -(-root.bit_length() // 4))
 
     def keyed(frame: DataFrame) -> DataFrame:
         return frame.withColumn("_order", order_key(seed, F.col(row_id)))
@@ -119,9 +126,14 @@ def shuffled(df: DataFrame, seed: int = 42, row_id: str = "id", partitions: int
     row belongs to follows from its leading 32 bits: one exchange, without the
     extra pass over the data that a range sort needs to sample its bounds. Rows
     are sorted within partitions, and the partitions follow each other, so the
-    order is the same for every partition count.
+    order is the same for every partition count. Without a given count the rows
+    are counted, and a partition gets ``ROWS_PER_PARTITION`` of them at most, on
+    average; wide rows want more ``partitions``.
     """
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(least, -(-df.count() // ROWS_PER_PARTITION))
+    count = partitions
     keyed = df.withColumn("_order", order_key(seed, F.col(row_id)))
     leading = F.conv(F.substring("_order", 1, 8), 16, 10).cast("bigint")
     place = F.shiftright(leading * F.lit(count), 32).cast("int")

@@ -54,15 +54,21 @@ def build_corpus(
 ) -> Corpus:
     """Merge, keep the first of equal records, split exactly, and render.
 
-    The unique records are written to the checkpoint folder once, because the
-    two passes of the split and every summary read them again. Rendering comes
-    last and is a projection, so its large texts are never shuffled.
+    The canonical records are written to the checkpoint folder once: both passes
+    of de-duplication read them again, and the count before it comes from there.
+    The unique ones are written too, for the two passes of the split and the
+    summaries. Rendering comes last and is a projection, so its large texts are
+    never shuffled; with a token counter its result is written as well, so that
+    no text is rendered and counted twice.
     """
-    everything = merged_records(frames, order)
+    everything = checkpointed(merged_records(frames, order))
     unique = checkpointed(exact_dedup(everything, ["source_ord", *order]))
     labelled = stratified_split(unique, ratios, seed, tie_break=("source_ord", *order))
     records = enriched(labelled, context_text, token_count, system_text)
-    stats = None if token_count is None else length_stats(records, F.col("token_count"))
+    stats = None
+    if token_count is not None:
+        records = checkpointed(records)
+        stats = length_stats(records, F.col("token_count"))
     return Corpus(
         records=records.drop("source_ord", *order),
         merge_summary=_merge_summary(everything, unique),

@@ -294,7 +294,8 @@ SELECT format('doc-{{:06d}}-{{:03d}}', doc_id, n) AS id, len(pairs) - 1 AS earli
 _strip = f"regexp_replace(x, '^[{BLANKS}]+|[{BLANKS}]+$', '', 'g')"
 ORACLE["assemble_text"] = f"""
 SELECT conv_id, turn, md5(array_to_string(list_filter(list_transform(
-  list_concat(string_split(text, chr(10)), [CASE WHEN role <> 'system' THEN role ELSE '' END, cast(turn AS VARCHAR)]),
+  list_concat(string_split(text, chr(10)), [CASE WHEN role <> 'system' THEN role ELSE '' END, 'True', '12.0',
+    '{{"a": "x, \\"' || role || ':y", "b": ' || turn || '}}', CASE WHEN turn = 0 THEN '' ELSE cast(turn AS VARCHAR) END]),
   lambda x: {_strip}), lambda x: x <> ''), chr(10))) AS joined_md5 FROM conversations"""
 
 ORACLE["truthy_coalesce"] = f"""
@@ -306,6 +307,54 @@ SELECT event_id, {case(
     ("event_type = 'error'", "'0 Reasoning trace: ' || replace(props, ' ', '')"),
     otherwise="NULL")} AS answer FROM events"""
 
+def imported(name: str, category: str, rows: str, members: str) -> str:
+    """Raw records from ``rows`` (doc_id, turn, id, q, a, trace, company, told, steps)."""
+    reason = squeeze("a || CASE WHEN trace <> '' THEN ' Reasoning trace: ' || trace ELSE '' END")
+    return f"""
+SELECT id, turn AS turn_ord, md5(q) AS instruction_md5, md5('{{"dataset": "{name}", ' || {members} || '}}') AS context_md5,
+  md5('Decision: ANSWER' || chr(10) || 'Reason: ' || {reason}) AS output_md5, '{category}' AS category, '{name}' AS source
+FROM ({rows}) WHERE q <> '' AND a IS NOT NULL"""
+
+
+def member(name: str, value: str) -> str:
+    return f"""'"{name}": ' || coalesce({value}, 'null')"""
+
+
+def members(**values: str) -> str:
+    return " || ', ' || ".join(member(name, value) for name, value in values.items())
+
+
+ORACLE["import_report"] = imported("FinQA", "finqa_reasoning", """
+  SELECT format('finqa-003-{:06d}', doc_id) AS id, 0 AS turn, text AS q, lang AS trace, source, lang,
+    CASE WHEN lang = 'de' THEN '0' WHEN lang <> 'fr' THEN cast(length(text) AS VARCHAR) END AS a FROM documents""",
+    members(company=f"CASE WHEN lang <> 'es' THEN {quote('source')} END", table="NULL",
+            report_text=quote("(lang || chr(10) || source)"), reasoning_steps=quote("lang")))
+ORACLE["import_turns"] = f"""
+WITH lines AS (SELECT doc_id, source, string_split(text, chr(10)) AS l FROM documents),
+turns AS (SELECT doc_id, source, n AS turn, l[2 * n + 1] AS q, l[2 * n + 2] AS a, '' AS trace
+  FROM lines, unnest(range((len(l) + 1) // 2)) AS u(n)),
+usable AS (SELECT *, '{{"question": ' || {quote('q')} || ', "answer": ' || {quote('a')} || '}}' AS pair
+  FROM turns WHERE q <> '' AND a IS NOT NULL),
+told AS (SELECT *, list(pair) OVER (PARTITION BY doc_id ORDER BY turn
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pairs FROM usable)
+""" + imported("ConvFinQA", "convfinqa_reasoning", """
+  SELECT *, format('convfinqa-003-{:06d}-{:03d}', doc_id, turn) AS id FROM told""",
+    members(company=quote("source"), table="NULL", report_text="""'""'""",
+            conversation_history="'[' || coalesce(array_to_string(pairs[1:len(pairs) - 1], ', '), '') || ']'",
+            reasoning_steps="NULL"))
+ORACLE["import_generic"] = imported("FinanceBench", "financebench_reasoning", """
+  SELECT format('financebench-003-{:06d}', doc_id) AS id, 0 AS turn, text AS q, nullif(lang, 'fr') AS a, source AS trace,
+    lang, source, doc_id FROM documents""",
+    members(company=quote("lang"), period="cast(doc_id AS VARCHAR)", report_text=quote("(lang || chr(10) || source)"),
+            reasoning_steps=quote("source"))) + " UNION ALL " + imported("FinR1", "finr1_reasoning", """
+  SELECT format('finr1-003-{:06d}', doc_id) AS id, 0 AS turn, text AS q, cast(length(text) AS VARCHAR) AS a, '' AS trace,
+    source, doc_id FROM documents""",
+    members(company="NULL", period="cast(doc_id AS VARCHAR)", report_text=quote("source"), reasoning_steps="NULL"))
+ORACLE["unwrap_json"] = """
+WITH found AS (SELECT doc_id, unnest(CASE WHEN lang IN ('en', 'fr') THEN [text, source] ELSE [text] END) AS t,
+  unnest(CASE WHEN lang IN ('en', 'fr') THEN [0, 1] ELSE [0] END) AS place FROM documents)
+SELECT doc_id, place, md5(t) AS record_md5 FROM found"""
+
 ORACLE["cap_per_source"] = """
 WITH n AS (SELECT source, doc_id, len(string_split(text, chr(10))) AS outputs FROM documents),
 r AS (SELECT *, coalesce(sum(outputs) OVER (PARTITION BY source ORDER BY doc_id

@@ -18,7 +18,7 @@ from ledgerloom.operators import (
     corpus, metrics, records, render, responses, rules, scenarios, split, wording,
 )
 from ledgerloom.plans.corpus_build import build_corpus
-from ledgerloom.sources import qa_records
+from ledgerloom.sources import files, qa_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -133,6 +133,7 @@ def document_records(spark: SparkSession, folder: str) -> DataFrame:
         F.col("lang").alias("category"),
         F.col("source"),
         F.col("doc_id").alias("ord"),
+        F.lit(0).alias("part"),
     )
 
 
@@ -144,7 +145,8 @@ def conversation_records(spark: SparkSession, folder: str) -> DataFrame:
         F.col("text").alias("output"),
         F.lit("conversation").alias("category"),
         F.lit(None).cast("string").alias("source"),
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("ord"),
+        F.col("conv_id").alias("ord"),
+        F.col("turn").cast("int").alias("part"),
     )
 
 
@@ -308,16 +310,20 @@ transform(sequence(0, cast(ceil(size(lines) / 2) AS INT) - 1), n -> named_struct
 
 @query
 def assemble_text(spark: SparkSession, folder: str) -> DataFrame:
-    """Text fragments of every type: a list of lines, a missing one, a number."""
+    """Text fragments of every type: a list of lines, a missing one, a list of all kinds of items."""
     turns = table(spark, folder, "conversations")
     record = F.to_json(
         F.struct(
             F.split("text", "\n").alias("pre_text"),
             F.when(F.col("role") != "system", F.col("role")).alias("post_text"),
-            F.col("turn").alias("text"),
         )
     )
-    parsed = turns.withColumn("doc", F.parse_json(record))
+    odd = F.concat(
+        F.lit(', "text": [true, false, 12.0, {"b":'), F.col("turn"), F.lit(',"a":"x, \\"'), F.col("role"),
+        F.lit(':y"}, '), F.col("turn"), F.lit("]}"),
+    )
+    whole = F.concat(F.substring(record, F.lit(1), F.length(record) - 1), odd)
+    parsed = turns.withColumn("doc", F.parse_json(whole))
     joined = F.expr(qa_records.assembled_sql("doc", qa_records.REPORT["text"]))
     return parsed.select("conv_id", "turn", F.md5(joined).alias("joined_md5"))
 
@@ -346,6 +352,76 @@ def truthy_coalesce(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _imported(records: DataFrame, source: str) -> DataFrame:
+    """Raw records of one source, the long fields as digests."""
+    raw = qa_records.convert(records, qa_records.SOURCES[source])
+    digests = [F.md5(name).alias(f"{name}_md5") for name in ("instruction", "context", "output")]
+    return raw.select("id", F.col("turn_ord").cast("bigint").alias("turn_ord"), *digests, "category", "source")
+
+
+def _as_records(spark: SparkSession, folder: str, *fields: Column) -> DataFrame:
+    """Documents as JSON records of the given fields; null fields are left out."""
+    return table(spark, folder, "documents").select(
+        F.lit(3).alias("file_ord"), F.col("doc_id").alias("record_ord"), F.to_json(F.struct(*fields)).alias("record")
+    )
+
+
+@query
+def import_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Report records: empty or missing questions and missing answers go, a zero answer stays."""
+    answer = F.when(F.col("lang") == "de", F.lit(0)).when(F.col("lang") != "fr", F.length("text"))
+    inner = F.struct(F.col("text").alias("question"), answer.alias("exe_ans"), F.col("lang").alias("program"))
+    records = _as_records(
+        spark, folder, inner.alias("qa"), F.array("lang", F.lit(" "), "source").alias("pre_text"),
+        F.when(F.col("lang") != "es", F.col("source")).alias("company_name"),
+    )
+    return _imported(records, "finqa")
+
+
+@query
+def import_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversation records whose turns are pairs of lines; empty questions and missing answers only count."""
+    lines = F.split("text", "\n")
+    turns = F.transform(
+        F.sequence(F.lit(0), F.ceil(F.size(lines) / 2).cast("int") - 1),
+        lambda n: F.struct(F.get(lines, 2 * n).alias("query"), F.get(lines, 2 * n + 1).alias("final_answer")),
+    )
+    return _imported(_as_records(spark, folder, F.col("source").alias("company"), turns.alias("dialogue")), "convfinqa")
+
+
+@query
+def import_generic(spark: SparkSession, folder: str) -> DataFrame:
+    """Both sources of the generic shape, with other spellings of the same parts."""
+    period, evidence = F.col("doc_id").alias("fiscal_period"), F.array("lang", "source").alias("evidence")
+    first = _as_records(
+        spark, folder, F.col("text").alias("prompt"), F.nullif("lang", F.lit("fr")).alias("gold_answer"),
+        F.col("source").alias("cot"), F.col("lang").alias("ticker"), period, evidence,
+    )
+    second = _as_records(
+        spark, folder, F.lit("").alias("question"), F.col("text").alias("query"), F.length("text").alias("response"),
+        F.array().cast("array<string>").alias("rationale"), period, F.col("source").alias("documents"),
+    )
+    return _imported(first, "financebench").unionByName(_imported(second, "finr1"))
+
+
+@query
+def unwrap_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole-file JSON of every form: a list, a wrapper key, several lists, a bare object."""
+    item = F.to_json(F.struct(F.col("text").alias("t")))
+    other = F.to_json(F.struct(F.col("source").alias("t")))
+    lang = F.col("lang")
+    document = (
+        F.when(lang == "en", F.concat(F.lit(" [1, "), item, F.lit(', null, [2], "x", '), other, F.lit("]")))
+        .when(lang == "de", F.concat(F.lit('{"a": ['), other, F.lit('], "records": ['), item, F.lit("]}\n")))
+        .when(lang == "fr", F.concat(F.lit('{"a": ['), item, F.lit('], "b": 3, "c": ['), other, F.lit("]}")))
+        .otherwise(item)
+    )
+    found = table(spark, folder, "documents").select("doc_id", F.posexplode(files.unwrapped(document)).alias("place", "record"))
+    return found.select(
+        "doc_id", F.col("place").cast("bigint").alias("place"), F.md5(F.get_json_object("record", "$.t")).alias("record_md5")
+    )
+
+
 @query
 def cap_per_source(spark: SparkSession, folder: str) -> DataFrame:
     """Each source is read until its documents have given 40 lines."""
@@ -800,7 +876,7 @@ def scenario_pass(spark: SparkSession, folder: str) -> DataFrame:
 def _corpus(spark: SparkSession, folder: str):
     frames = [document_records(spark, folder), conversation_records(spark, folder)]
     return build_corpus(
-        frames, order=["ord"], context_text=lambda context: context, token_count=text.word_count
+        frames, order=["ord", "part"], context_text=lambda context: context, token_count=text.word_count
     )
 
 
@@ -816,5 +892,4 @@ def corpus_build(spark: SparkSession, folder: str) -> DataFrame:
 def preprocess_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Rows and token statistics per split of the built corpus."""
     built = _corpus(spark, folder).records.select("split", "token_count")
-    stats = render.length_stats(built, F.col("token_count"), ["split"])
-    return built.groupBy("split").agg(F.count("*").alias("rows")).join(stats, "split")
+    return render.length_stats(built, F.col("token_count"), ["split"], F.count("*").alias("rows"))

@@ -6,6 +6,7 @@ form by fallback chains; nothing leaves generated and built-in expressions here.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -113,17 +114,34 @@ coalesce(CASE
   ELSE {value}.text END, 'null')""")
 
 
+# Compact JSON ``s`` with a space after every colon and comma outside strings.
+# Raw JSON holds no control characters, so two of them can stand for the escapes
+# that hide a quote; what lies between two quotes is then every second part.
+SPACED_SQL = r"""
+replace(replace(array_join(transform(
+  split(replace(replace(s, '\\\\', chr(1)), '\\"', chr(2)), '"'),
+  (p, i) -> CASE WHEN i % 2 = 0 THEN replace(replace(p, ',', ', '), ':', ': ') ELSE p END), '"'),
+  chr(2), '\\"'), chr(1), '\\\\')"""
+
+
 def assembled_sql(document: str, paths: Sequence[str]) -> str:
     """Fragments of several fields, one per line.
 
     Lists contribute their truthy items, objects their sorted JSON; blank
-    fragments are dropped.
+    fragments are dropped. Booleans print as ``True`` and ``False``, whole
+    floats with ``.0``.
     """
 
     def shown(item: str) -> str:
-        return f"coalesce(try_variant_get({item}, '$', 'string'), to_json({item}))"
-
-    empty = "'null', '\"\"', '0', 'false', '[]', '{}'"
+        plain = f"try_variant_get({item}, '$', 'string')"
+        number = sql_let(f"cast({plain} AS DOUBLE)", "x", FLOAT_SQL)
+        return f"""
+CASE WHEN schema_of_variant({item}) RLIKE '^(ARRAY|OBJECT)' THEN {sql_let(f"to_json({item})", "s", SPACED_SQL)}
+  WHEN schema_of_variant({item}) RLIKE '^(DECIMAL|DOUBLE|FLOAT)' THEN {number}
+  WHEN schema_of_variant({item}) = 'BOOLEAN' THEN initcap({plain})
+  ELSE coalesce({plain}, to_json({item})) END"""
+
+    empty = "'null', '\"\"', '0', '0.0', 'false', '[]', '{}'"
     fragments = [
         sql_let(
             f"try_variant_get({document}, '$.{path}', 'variant')",
@@ -334,14 +352,17 @@ def capped(rows: DataFrame, outputs: str, cap: int, source: str | None = None) -
 
     The cap is looked at before each record, so one record with many outputs may
     overshoot it. Running sums are taken per bucket of records; only the bucket
-    in which the cap is reached is looked at row by row.
+    in which the cap is reached is looked at row by row. Buckets hold at least
+    ``RECORDS_PER_BUCKET`` records and grow with the square root of their number,
+    so neither the list of buckets nor a single one becomes large.
     """
     if cap <= 0:
         return rows.filter(F.lit(False))
+    per_bucket = max(RECORDS_PER_BUCKET, math.isqrt(rows.count()))
     name = source or "_source"
     marked = rows if source else rows.withColumn(name, F.lit("all"))
     placed = marked.withColumn(
-        "_bucket", F.floor(F.col("record_ord") / F.lit(RECORDS_PER_BUCKET)).cast("bigint")
+        "_bucket", F.floor(F.col("record_ord") / F.lit(per_bucket)).cast("bigint")
     )
     cuts = running_cuts(
         placed.select(name, "file_ord", "_bucket", "record_ord", outputs),
@@ -385,6 +406,8 @@ def import_all(
     spark: SparkSession, roots: dict[str, Sequence[str]], cap: int | None = None
 ) -> DataFrame:
     """All sources in their fixed order; ``import_ord`` tells them apart."""
+    if not any(roots.get(name) for name in SOURCES):
+        raise ValueError(f"no folder is given for any of {sorted(SOURCES)}")
     parts = [
         import_source(spark, roots[name], name, cap).withColumn("import_ord", F.lit(at))
         for at, name in enumerate(SOURCES)

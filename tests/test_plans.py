@@ -52,6 +52,38 @@ def test_stream_equals_batch(spark, tmp_path):
     assert {r[3] for r in rows} == {1.0}
 
 
+@F.pandas_udf(T.StringType())
+def echo(prompts: pd.Series) -> pd.Series:
+    return prompts.map(lambda prompt: f"Decision: APPROVE\nReason: {len(prompt)} characters\nConfidence: 0.5")
+
+
+def test_struct_and_text_requests_give_the_same_prompt(spark):
+    df = spark.sql("""SELECT 'Check.' AS instruction, named_struct('b', '$1,200', 'a', 0.12345678D, 'c', CAST(NULL AS INT),
+        'd', named_struct('y', true, 'x', array(1, 2))) AS context""")
+    as_text = df.withColumn("context", F.lit('{"b": "$1,200", "a": 0.12345678, "c": null, "d": {"y": true, "x": [1, 2]}}'))
+    shown = [frame.select(responses.request_prompt(frame)).first()[0] for frame in (df, as_text)]
+    assert shown[0] == shown[1] and '"b": "$1,200",\n  "c": null' in shown[0] and "0.12345678" in shown[0]
+
+
+def test_unreadable_requests_do_not_end_a_stream(spark, tmp_path):
+    folder = tmp_path / "requests"
+    folder.mkdir()
+    contexts = {"good": '{"a": 1}', "bad": '{"a": ', "deep": "[" * 100_000, "none": None}
+    lines = [json.dumps({"id": name, "instruction": "Check.", "context": text}) for name, text in contexts.items()]
+    (folder / "0.json").write_text("\n".join([*lines, json.dumps({"id": "empty", "context": "{}"})]) + "\n")
+    stream = decisions.start_decisions(
+        decisions.read_requests(spark, str(folder)), echo, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True
+    )
+    stream.awaitTermination(120)
+    assert stream.exception() is None
+    rows = {r.id: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert sorted(rows) == ["bad", "deep", "empty", "good", "none"]
+    assert rows["good"].error is None and rows["good"].decision.upper() == "APPROVE"
+    assert {rows[name].decision.upper() for name in ("bad", "deep", "none", "empty")} != {"APPROVE"}
+    assert rows["none"].error == "context is missing" and rows["empty"].error == "instruction is missing"
+    assert rows["bad"].error == rows["deep"].error == "context is not JSON or nested too deeply"
+
+
 def test_build_from_files(spark, tmp_path):
     def line(n, source=None, **more):
         record = {"instruction": f"q{n % 40}", "context": {"amount": "$5", "n": n % 40}, "output": "yes", "category": f"c{n % 4}"}

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.session import checkpointed
-from ledgerloom.operators import corpus, metrics, records, render, responses, scenarios, split
+from ledgerloom.operators import corpus, metrics, records, render, responses, scale, scenarios, split
 
 
 def raw(spark, rows):
@@ -74,7 +74,8 @@ def test_dedup_keeps_the_first(spark, partitions):
         first.setdefault(text, at)
     assert {r.t: r.at for r in got.collect()} == first
     assert got.count() == corpus.exact_dedup(got, ["at"], ["t"]).count()
-    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan and "hashpartitioning" not in plan
 
 
 def test_summaries(spark):
@@ -187,3 +188,43 @@ def test_published_split_sizes(spark):
     made = scenarios.generate(spark, 5000, shuffle=False).select("id", "category")
     sizes = {r.split: r.rows for r in split.split_sizes(split.stratified_split(made)).collect()}
     assert sizes == {"train": 3996, "validation": 504, "test": 500}
+
+
+def test_dedup_keeps_the_first_of_a_hot_text(spark, monkeypatch):
+    texts = ["hot" if at % 3 else f"own {at % 40}" for at in range(3000)]
+    rows = [(None if at == 7 else at, text) for at, text in enumerate(texts)] + [(3000, None), (3001, None)]
+    df = spark.createDataFrame(rows, "ord int, text string").repartition(5)
+    first = {}
+    for place, text in sorted(rows, key=lambda row: (row[0] is not None, row[0] or 0)):
+        first.setdefault(text, place)
+    wanted = sorted((text or "", place or -1) for text, place in first.items())
+    small = corpus.exact_dedup(df, ["ord"], ["text"])
+    original = scale.broadcast_if_small
+    monkeypatch.setattr(corpus, "broadcast_if_small", lambda facts, keys, wide: original(facts, keys, wide, max_rows=0, salts=4))
+    large = corpus.exact_dedup(df, ["ord"], ["text"])
+    for found in (small, large):
+        assert found.columns == df.columns
+        assert sorted((r.text or "", r.ord or -1) for r in found.collect()) == wanted
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_a_missing_category_is_named_unknown(spark):
+    df = spark.createDataFrame([(None, "s"), ("c", None)], "category string, source string")
+    got = {(r.kind, r.name): r.rows for r in corpus.category_source_counts(df).collect()}
+    assert got == {
+        ("category", "unknown"): 1, ("category", "c"): 1, ("source", "s"): 1, ("source", "unknown"): 1, ("total", "samples"): 2,
+    }
+
+
+def test_repeated_predictions_and_responses_count_once(spark):
+    gold = spark.createDataFrame([("a", "x", "Decision: APPROVE\nReason: r")], "id string, category string, output string")
+    said = spark.createDataFrame(
+        [("a", "Decision: REJECT\nReason: r"), ("a", "Decision: APPROVE\nReason: r")], "id string, response string"
+    )
+    rows = metrics.scored(gold, said, with_text=True).collect()
+    assert [(r.predicted_decision, r.decision_match, r.exact_match) for r in rows] == [("APPROVE", True, True)]
+    scenarios = spark.createDataFrame([("a", "REJECT"), ("b", "APPROVE"), ("c", "APPROVE")], "name string, expected string")
+    answers = spark.createDataFrame([("a", "reject"), ("a", "no"), ("b", "Approve!"), ("d", "x")], "name string, response string")
+    found = metrics.pass_rate(scenarios, answers).first()
+    assert (found.scenarios, found.passed) == (3, 1)

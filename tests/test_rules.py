@@ -147,3 +147,9 @@ def test_baseline_keeps_null_entities_and_any_amount(spark):
         assert got[2].baseline_mean == pytest.approx(0.002) and got[3].baseline_std == pytest.approx(0.002)
         assert got[4].baseline_mean == 4.0 and got[5].baseline_std == 1.0
         assert got[6].baseline_mean is None
+
+
+def test_repeated_vendors_do_not_multiply_rows(spark):
+    df = spark.createDataFrame([("V", 5.0, "sales")], "vendor string, amount double, team string")
+    catalogue = spark.createDataFrame([("V", "travel"), ("V", "software")], "vendor string, bucket string")
+    assert [r.decision for r in rules.classify_expense(df, catalogue=catalogue).collect()] == ["SOFTWARE"]

@@ -93,7 +93,7 @@ def test_report_records(spark, tmp_path):
     assert first.output == "Decision: ANSWER\nReason: $5"
     assert json.loads(first.context) == {
         "dataset": "FinQA", "company": "A", "table": [["x", 1.0, 2.5]],
-        "report_text": 'one two {"a":"z","b":1} tail end',
+        "report_text": 'one two {"a": "z", "b": 1} tail end',
     }
     assert '"table": [["x", 1.0, 2.5]]' in first.context
     second = got["finqa-000-000001"]
