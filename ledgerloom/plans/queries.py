@@ -40,7 +40,7 @@ def micros(column: str) -> Column:
 
 def cents_sum(column: str) -> Column:
     """Exact money sum, independent of the order in which partial sums meet."""
-    return F.sum(F.col(column).cast("decimal(14,2)")).cast("double")
+    return F.sum(F.col(column).cast("decimal(28,2)")).cast("double")
 
 
 # --- text -------------------------------------------------------------------------
@@ -560,14 +560,14 @@ def _supplier_figures(spark: SparkSession, folder: str) -> DataFrame:
     flag = F.col("l_returnflag")
 
     def revenue(of: str) -> Column:
-        return F.sum(F.when(flag == of, F.col("l_extendedprice").cast("decimal(14,2)"))).cast("double")
+        return F.sum(F.when(flag == of, F.col("l_extendedprice").cast("decimal(28,2)"))).cast("double")
 
     lines = table(spark, folder, "lineitem")
     sums = lines.groupBy("l_suppkey").agg(
         revenue("A").alias("a"),
         revenue("N").alias("n"),
         revenue("R").alias("r"),
-        F.sum(F.col("l_quantity").cast("decimal(14,2)")).cast("double").alias("quantity"),
+        F.sum(F.col("l_quantity").cast("decimal(28,2)")).cast("double").alias("quantity"),
         F.count("*").alias("lines"),
     )
 

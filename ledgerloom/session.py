@@ -56,3 +56,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_written_tables(spark: SparkSession) -> int:
+    """Delete the tables ``checkpointed`` wrote for this application and say how many there were.
+
+    Frames that read them, results of the operators included, cannot be used
+    afterwards: call it when the results have been written.
+    """
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    pattern = paths(f"{shared_folder(spark)}/table-*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = list(files.globStatus(pattern))
+    for status in found:
+        files.delete(status.getPath(), True)
+    return len(found)

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.operators import responses
 from ledgerloom.plans import corpus_build
-from ledgerloom.session import checkpointed
+from ledgerloom.session import checkpointed, drop_written_tables, shared_folder
 from ledgerloom.streaming import decisions
 
 # Hand-written requests and the decision a faithful model gives.
@@ -115,3 +116,13 @@ def test_written_tables_survive_and_prune(spark):
     wide = checkpointed(spark.range(10).selectExpr("id", "id * 2 AS twice"))
     plan = wide.select("id")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<id:bigint>" in plan and wide.count() == 10
+
+
+def test_written_tables_can_be_dropped(spark):
+    # What other tests read stays: their frames are not used again once they are done.
+    kept = os.path.join(shared_folder(spark).removeprefix("file:"), "kept")
+    os.makedirs(kept)
+    frame = checkpointed(spark.range(10))
+    assert frame.count() == 10 and drop_written_tables(spark) >= 1
+    assert os.path.isdir(kept) and not os.path.exists(frame.inputFiles()[0].removeprefix("file://"))
+    assert drop_written_tables(spark) == 0
