@@ -14,10 +14,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import arrow_type, named, over_batches, text_of
+from ledgerloom.operators.scale import running_cuts
 from ledgerloom.session import checkpointed
 
 UNDETERMINED = "und"
@@ -30,6 +31,8 @@ KNOWN_WORDS = 300_000
 _SAFE_LENGTH = 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 20
+#: Ids fall into 65,536 buckets by the leading bits of their hash.
+_BUCKET_SHIFT = 48
 
 
 class Pieces:
@@ -206,15 +209,20 @@ def trained(
     """Languages and their piece probabilities, from labelled documents that are not held out.
 
     Of each language the ``sample_docs`` documents with the smallest hash of their
-    id are learned from, whole texts; that bounds the work. Every iteration is a
+    id are learned from (one at least), whole texts; that bounds the work. Where
+    the sample ends is found by counts per hash bucket, and rows are ordered only
+    inside the one bucket of a language that holds its end. Every iteration is a
     job over the sample's distinct words; the driver gets one number per piece
     and language. Without labelled documents there are no languages.
     """
     labelled = docs.select(*named(id=id_column, lang=lang_column)).filter(
         F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id"))
     )
-    first = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
-    picked = labelled.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= sample_docs)
+    hashed = labelled.withColumn("hash", F.xxhash64(F.col("id").cast("string")))
+    placed = hashed.withColumn("bucket", F.shiftright("hash", _BUCKET_SHIFT)).withColumn("one", F.lit(1).cast("long"))
+    cuts = running_cuts(placed, ["lang"], ["bucket"], ["hash", "id"], "one", {"sample": F.lit(max(1, sample_docs))})
+    within = F.coalesce(F.struct("hash", "id") <= F.col("sample_key"), F.lit(True))
+    picked = hashed.join(F.broadcast(cuts), "lang", "left").filter(within)
     texts = docs.select(*named(id=id_column, lang=lang_column), text_of(f"`{text_column}`").alias("text"))
     sample = texts.join(F.broadcast(picked.select("id", "lang").distinct()), ["id", "lang"], "left_semi")
     counts = checkpointed(_counted(sample).groupBy("lang", "word").agg(F.sum("n").alias("n")))
