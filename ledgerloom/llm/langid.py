@@ -9,15 +9,16 @@ and a text's the product over its words.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import arrow_type, named, over_batches, text_of
+from ledgerloom.llm.common import named, over_batches, text_of
 from ledgerloom.operators.scale import running_cuts
 from ledgerloom.session import checkpointed
 
@@ -28,6 +29,8 @@ LONGEST_PIECE = 16
 UNKNOWN = 1e-7
 SHARED_WEIGHT = 200.0
 KNOWN_WORDS = 300_000
+#: Texts scored at a time.
+BATCH = 512
 _SAFE_LENGTH = 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 20
@@ -258,33 +261,20 @@ def trained(
     return langs, chances
 
 
-def identified(
-    docs: DataFrame, langs: list[str], chances: np.ndarray, path: str, id_column: str = "doc_id", text_column: str = "text",
-    keep: list[str] | None = None,
-) -> DataFrame:
-    """Language and score of every row's whole text.
+def decision(text: Column, langs: list[str], chances: np.ndarray, path: str) -> Column:
+    """Language and score of a text, as a struct of ``lang_pred`` and ``score``.
 
-    Returns the columns named in ``keep`` (default: the id, as ``id``), then
-    ``lang_pred`` and ``score``, the posterior probability of the language at
-    equal priors. Null text, text without a letter, and any text if no language
-    was learned is ``und`` with score 0. Ties go to the first language by name.
-    Rows stay where they are; repeated rows each come back. An empty table gives
-    no rows. Other columns are ignored.
+    The score is the posterior probability of the language at equal priors. Null
+    text, text without a letter, and any text if no language was learned is
+    ``und`` with score 0. Ties go to the first language by name. Only the text goes
+    to Python; the rest of the row stays where it is.
     """
-    base = docs.select(*(named(id=id_column) if keep is None else keep), text_of(f"`{text_column}`").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(chances)
-    first = base.columns[:-1]
-    schema = pa.schema(
-        [*[(name, arrow_type(base, name)) for name in first], ("lang_pred", pa.string()), ("score", pa.float64())]
-    )
-    scorers: dict[str, Scorer] = {}
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(chances)
+    schema = pa.schema([("lang_pred", pa.string()), ("score", pa.float64())])
 
-    def rows(batch: pa.RecordBatch) -> dict:
-        if not scorers:
-            scorers[path] = Scorer(pieces_of(path), shared.value)
-        texts = batch.column("text").to_pylist()
+    def rows(texts: list[str], scorer: Scorer) -> pa.Array:
         fits = [bool(langs) and has_letter(text) for text in texts]
-        logs = scorers[path].score([text for text, fit in zip(texts, fits, strict=True) if fit]) if any(fits) else []
+        logs = scorer.score([text for text, fit in zip(texts, fits, strict=True) if fit]) if any(fits) else []
         best, scores = [], []
         scored = iter(logs)
         for fit in fits:
@@ -296,7 +286,25 @@ def identified(
             else:
                 best.append(UNDETERMINED)
                 scores.append(0.0)
-        return {**{name: batch.column(name) for name in first}, "lang_pred": best, "score": scores}
+        return pa.StructArray.from_arrays([pa.array(best, schema[0].type), pa.array(scores, schema[1].type)], fields=list(schema))
+
+    @F.arrow_udf("lang_pred string, score double")
+    def decided(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = Scorer(pieces_of(path), shared.value)
+        for batch in batches:
+            parts = [rows(batch.slice(at, BATCH).to_pylist(), scorer) for at in range(0, len(batch), BATCH)]
+            yield pa.concat_arrays(parts) if parts else rows([], scorer)
+
+    return decided(F.coalesce(text.cast("string"), F.lit("")))
 
-    result = base.select(*[F.col(f"`{name}`") for name in first]).schema.add("lang_pred", "string").add("score", "double")
-    return base.mapInArrow(over_batches(rows, schema), result)
+
+def identified(
+    docs: DataFrame, langs: list[str], chances: np.ndarray, path: str, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """``id``, ``lang_pred`` and ``score`` (see ``decision``) of every row's whole text.
+
+    Rows stay where they are; repeated rows each come back. An empty table gives
+    no rows. Other columns are ignored.
+    """
+    decided = decision(F.col(f"`{text_column}`"), langs, chances, path).alias("decision")
+    return docs.select(*named(id=id_column), decided).select("id", "decision.*")
