@@ -16,7 +16,6 @@ import base64
 import codecs
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import chain, islice
 
 import numpy as np
@@ -25,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import arrow_type, named, over_batches, text_of
+from ledgerloom.llm.common import arrow_type, held, named, over_batches, text_of
 
 MAX_STATES = 250_000
 MAX_PIECES = 250_000
@@ -227,12 +226,6 @@ def decode_text(blocks: Iterable[bytes], errors: str = "replace") -> Iterator[st
     yield machine.decode(b"", True)
 
 
-@lru_cache(maxsize=2)
-def _compiled(path: str, pattern: str) -> Transducer:
-    """One transducer per Python worker."""
-    return Transducer(read_ranks(path), pattern)
-
-
 def encoded(
     docs: DataFrame,
     path: str,
@@ -264,8 +257,10 @@ def encoded(
     schema = pa.schema([("id", arrow_type(narrow, "id")), *[(name, kind) for name, kind, _ in fields]])
     result = T.StructType([narrow.schema["id"], *[T.StructField(name, kind) for name, _, kind in fields]])
 
+    key = ("bpe", path, pattern)
+
     def rows(batch: pa.RecordBatch) -> dict:
-        transducer = _compiled(path, pattern)
+        transducer = held(key, lambda: Transducer(read_ranks(path), pattern))
         columns: dict = {"id": batch.column("id"), **{name: [] for name, _, _ in fields}}
         for text in batch.column("text").to_pylist():
             words = transducer.encode(text)
@@ -283,4 +278,4 @@ def encoded(
                 columns["decoded"].append("".join(decode_text(decode(ids, transducer.tokens))))
         return columns
 
-    return narrow.mapInArrow(over_batches(rows, schema), result)
+    return narrow.mapInArrow(over_batches(rows, schema, keep=key), result)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,12 +29,40 @@ def arrow_type(df: DataFrame, name: str) -> pa.DataType:
     return to_arrow_type(df.schema[name].dataType)
 
 
+_HELD: dict[Hashable, Any] = {}
+
+
+def release(keep: Hashable = None) -> None:
+    """Give back what the worker holds for other operators than ``keep``."""
+    if _HELD.keys() - {keep}:
+        for key in _HELD.keys() - {keep}:
+            del _HELD[key]
+        pa.default_memory_pool().release_unused()
+
+
+def held(key: Hashable, make: Callable[[], Any]) -> Any:
+    """The worker's one large object, kept between its tasks until another operator's tasks come.
+
+    Spark uses Python workers again for later stages; the caches of an operator
+    that is done would else sit beside those of the next one.
+    """
+    release(key)
+    if key not in _HELD:
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def over_batches(
-    rows: Callable[[pa.RecordBatch], dict[str, list | pa.Array]], schema: pa.Schema, size: int = 512
+    rows: Callable[[pa.RecordBatch], dict[str, list | pa.Array]], schema: pa.Schema, size: int = 512,
+    keep: Hashable = None,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A mapInArrow function from one that turns a batch of up to ``size`` rows into columns; memory holds one batch at a time."""
+    """A mapInArrow function from one that turns a batch of up to ``size`` rows into columns.
+
+    Memory holds one batch at a time, and of the objects held between tasks only ``keep``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(keep)
         for batch in batches:
             for start in range(0, batch.num_rows, size):
                 columns = rows(batch.slice(start, size))

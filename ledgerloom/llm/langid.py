@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +17,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import named, over_batches, text_of
+from ledgerloom.llm.common import held, named, over_batches, text_of
 from ledgerloom.operators.scale import running_cuts
 from ledgerloom.session import checkpointed
 
@@ -87,9 +86,8 @@ class Pieces:
         return found
 
 
-@lru_cache(maxsize=2)
 def pieces_of(path: str) -> Pieces:
-    return Pieces(path)
+    return held(("pieces", path), lambda: Pieces(path))
 
 
 def _padded(chances: np.ndarray) -> np.ndarray:
@@ -250,7 +248,7 @@ def trained(
             piece, lang = np.nonzero(total)
             return {"piece": piece.astype(np.int32), "lang": lang.astype(np.int32), "mass": total[piece, lang]}
 
-        masses = weighted.mapInArrow(over_batches(rows, schema, 20_000), "piece int, lang int, mass double")
+        masses = weighted.mapInArrow(over_batches(rows, schema, 20_000, keep=("pieces", path)), "piece int, lang int, mass double")
         counted = np.zeros_like(chances)
         for piece, lang, mass in masses.groupBy("piece", "lang").agg(F.sum("mass")).collect():
             counted[piece, lang] = mass

@@ -11,7 +11,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontaminate, graph, langid, licenses, linededup, quality, sharding, simhash, syncmers, urls
+from ledgerloom.llm import bpe, common, decontaminate, graph, langid, licenses, linededup, quality, sharding, simhash, syncmers, urls
 from ledgerloom.llm.queries import KINDS, QUERIES, RULES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, row string, mark string, key string"
@@ -488,3 +488,13 @@ def test_licenses(spark):
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_queries_run_on_whole_tables(spark, name):
     assert QUERIES[name](spark, "/root/testdata/sf0.001").count() >= 0
+
+
+def test_held_objects_of_one_operator():
+    first = common.held("a", list)
+    assert common.held("a", list) is first
+    common.release("a")
+    assert common.held("a", list) is first
+    assert common.held("b", dict) == {} and common.held("a", list) is not first
+    common.release()
+    assert common._HELD == {}
