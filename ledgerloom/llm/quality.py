@@ -110,27 +110,26 @@ def learned(
 
     ``docs`` has ``id`` and ``text``, ``labels`` one row per id. Fitted on the
     ``sample_rows`` labelled rows with the smallest hash of their id. Texts that
-    share their two least word hashes are near copies and count once. A word is a
+    are equal but for case and white space are copies and count once. A word is a
     feature if it parts the labels by ``Z`` standard errors and a ratio of
     ``RATIO``; of these the ``features`` clearest are taken. Shape figures always
     are features.
     """
     sample = labels.filter(F.col("id").isNotNull()).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(sample_rows)
     texts = docs.join(F.broadcast(sample), "id")
-    schema = pa.schema([("sketch", pa.int64()), ("features", pa.list_(pa.string())), *[(kind, pa.int32()) for kind in kinds]])
+    schema = pa.schema([("copy", pa.binary()), ("features", pa.list_(pa.string())), *[(kind, pa.int32()) for kind in kinds]])
 
     def read(batch: pa.RecordBatch) -> dict:
-        sketches, found = [], []
+        copies, found = [], []
         for text in batch.column("text").to_pylist():
             words = words_of(text)
-            least = sorted(map(xxhash.xxh64_intdigest, words))[:2]
-            sketches.append(hash(tuple(least)))
+            copies.append(xxhash.xxh3_128_digest(" ".join(text.lower().split()).encode("utf-8", "surrogatepass")))
             found.append(sorted(words) + shape_features(text))
-        return {"sketch": sketches, "features": found, **{kind: batch.column(kind).cast(pa.int32()) for kind in kinds}}
+        return {"copy": copies, "features": found, **{kind: batch.column(kind).cast(pa.int32()) for kind in kinds}}
 
-    result = "sketch long, features array<string>, " + ", ".join(f"{kind} int" for kind in kinds)
+    result = "copy binary, features array<string>, " + ", ".join(f"{kind} int" for kind in kinds)
     rows = checkpointed(texts.select("text", *kinds).mapInArrow(over_batches(read, schema), result))
-    single = rows.groupBy("sketch", *kinds).agg(F.min(F.to_json("features")).alias("features")).select(
+    single = rows.groupBy("copy", *kinds).agg(F.min(F.to_json("features")).alias("features")).select(
         *kinds, F.from_json("features", "array<string>").alias("features")
     )
     single = checkpointed(single)
