@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ledgerloom.session import shared_folder
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -75,3 +77,31 @@ def over_batches(
                 )
 
     return run
+
+
+def in_order(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` cut into ranges of ``order`` and sorted, as a checkpoint that keeps its partitions.
+
+    Partition k + 1 goes on where partition k ends. Rows that agree in all of
+    ``order`` are dealt out by where they were read, so a key of any size is cut
+    like all others; they may stand in any order among themselves.
+    """
+    shared_folder(df.sparkSession)
+    dealt = df.withColumn("_read", F.monotonically_increasing_id())
+    return dealt.repartitionByRange(*order, "_read").sortWithinPartitions(*order, "_read").drop("_read").checkpoint()
+
+
+def numbered_in_order(df: DataFrame, number: str, *order: str) -> DataFrame:
+    """``df`` with the place of each row in ``order``, from 1 without gaps.
+
+    Rows are counted per sorted partition; the driver adds up one count per
+    partition, and each row adds its place inside the partition.
+    """
+    rows = in_order(df, *order).select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at"))
+    before, total = [], 0
+    for part, count in sorted(rows.groupBy("_part").count().collect()):
+        before.append((part, total))
+        total += count
+    offsets = df.sparkSession.createDataFrame(before, "_part int, _before long")
+    inside = F.col("_at") - F.shiftleft(F.col("_part").cast("long"), 33)
+    return rows.join(F.broadcast(offsets), "_part").withColumn(number, F.col("_before") + inside + 1).drop("_part", "_at", "_before")

@@ -6,11 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontaminate, langid, licenses, linededup, quality, sharding, simhash, syncmers, urls
+from ledgerloom.llm import (
+    bpe, decontaminate, langid, licenses, linededup, packing, quality, resampling, sharding, simhash, syncmers, trie, urls,
+)
 from ledgerloom.llm.common import table
 
 RANKS_FILE = "byte_bpe_50k.tiktoken"
 PIECES_FILE = "piece_bpe_32k.model"
+WORDS_FILE = "word_bpe_49k.json"
 RULES = (("net/", True), ("example.net/en/", False), ("example.com/de/", True), ("org/fr/", False))
 KINDS = {"low": "quality = 0", "toxic": "toxic = 1"}
 
@@ -84,11 +87,25 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations")).drop("prefix")
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS_FILE))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_simhash, op2_url_filter, op3_decontaminate, op4_line_dedup, op5_langid, op6_quality, op7_sharding, op8_bpe,
-        op9_syncmers, op10_licenses,
+        op9_syncmers, op10_licenses, op11_prefix_trie, op12_resampling, op13_packing,
     )
 }
 ORACLE: dict[str, str] = {}
