@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontaminate, langid, linededup, nearcopies
+from ledgerloom.llm import bpe, decontaminate, langid, linededup, simhash
 from ledgerloom.llm.common import table
 from ledgerloom.llm.queries import PIECES_FILE, RANKS_FILE
 from ledgerloom.session import shared_folder
@@ -35,8 +35,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, Jaccard >= 0.8): the one with the smallest id, then text."""
-    return nearcopies.representatives(docs)
+    """One document of each group of near copies (three-word shingles, at most 2 of 64 bits): the one with the smallest id, then text."""
+    return simhash.representatives(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
