@@ -10,6 +10,7 @@ out at once needs no join; the others look their place up level by level.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -33,7 +34,7 @@ SPARE_SHARE = 1 / 256
 #: Items that one best-fit run holds.
 GROUP_ITEMS = 65_536
 #: Words a Python worker keeps with their ids.
-MOST_WORDS = 400_000
+MOST_WORDS = 800_000
 
 
 class WordIds:
@@ -45,6 +46,7 @@ class WordIds:
     """
 
     def __init__(self, path: str, most_words: int = MOST_WORDS) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
