@@ -26,9 +26,11 @@ from pyspark.sql import types as T
 
 from ledgerloom.llm.common import arrow_type, held, named, over_batches, text_of
 
-MAX_STATES = 250_000
-MAX_PIECES = 250_000
+MAX_STATES = 220_000
+MAX_PIECES = 220_000
 DECODE_STEP = 65_536
+#: Bytes that are no UTF-8 are kept as they are.
+KEEP_BYTES = "surrogateescape"
 _START = -1
 #: Marks that end a word; after letters each is a match of its own unless more marks follow.
 _MARKS = frozenset(".,;:!?")
@@ -69,6 +71,7 @@ class Transducer:
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.decimals = {rank: str(rank) for rank in ranks.values()}
         self.prefixes = {token[:end] for token in ranks for end in range(1, len(token))}
         self.max_states, self.max_pieces = max_states, max_pieces
         self.parents: dict[int, tuple[int, int]] = {}
@@ -169,23 +172,20 @@ class Transducer:
                 ids += sure
         return ids + self.items[state][-1][2]
 
-    def matches(self, text: str) -> tuple[tuple[int, ...], str]:
-        """Ids of a text's matches, and their decimal form."""
-        ids = tuple(chain.from_iterable(map(self.piece, self.split(text))))
-        return ids, " ".join(map(str, ids))
+    def matches(self, text: str) -> tuple[int, ...]:
+        """Ids of a text's matches."""
+        return tuple(chain.from_iterable(map(self.piece, self.split(text))))
 
-    def word(self, word: str) -> tuple[tuple[int, ...], str]:
-        """Ids and decimal form of a space and a word; letters and one mark need no pattern."""
+    def word(self, word: str) -> tuple[int, ...]:
+        """Ids of a space and a word; letters and one mark need no pattern."""
         if word.isalpha():
-            ids = self.piece(" " + word)
-        elif word[-1] in _MARKS and word[:-1].isalpha():
-            ids = self.piece(" " + word[:-1]) + self.piece(word[-1])
-        else:
-            return self.matches(" " + word)
-        return ids, " ".join(map(str, ids))
+            return self.piece(" " + word)
+        if word[-1] in _MARKS and word[:-1].isalpha():
+            return self.piece(" " + word[:-1]) + self.piece(word[-1])
+        return self.matches(" " + word)
 
-    def encode(self, text: str) -> list[tuple[tuple[int, ...], str]]:
-        """Ids and decimal forms of a text, word by word.
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text, word by word.
 
         Only a match's first character may be a space, so a single space between
         two other characters always starts a match and a text may be cut there. A
@@ -193,7 +193,7 @@ class Transducer:
         """
         first, *words = text.split(" ")
         if not first or first[-1].isspace():
-            return [self.matches(text)]
+            return list(self.matches(text))
         out = list(map(self.words.new.get, words))
         if None in out:
             known = self.words
@@ -203,12 +203,12 @@ class Transducer:
                     found = known.get(word)
                     if found is None:
                         if not word or word[0].isspace() or word[-1].isspace():
-                            return [self.matches(text)]
+                            return list(self.matches(text))
                         found = self.word(word)
                         if len(word) <= 64:
                             known.put(word, found)
                     out[at] = found
-        return [self.matches(first), *out]
+        return list(chain(self.matches(first), *out))
 
 
 def decode(ids: Iterable[int], tokens: dict[int, bytes]) -> Iterator[bytes]:
@@ -263,19 +263,20 @@ def encoded(
         transducer = held(key, lambda: Transducer(read_ranks(path), pattern))
         columns: dict = {"id": batch.column("id"), **{name: [] for name, _, _ in fields}}
         for text in batch.column("text").to_pylist():
-            words = transducer.encode(text)
-            ids = list(chain.from_iterable([word[0] for word in words]))
-            decimal = " ".join([word[1] for word in words])
+            ids = transducer.encode(text)
+            decimal = " ".join(map(transducer.decimals.__getitem__, ids))
             columns["n_tokens"].append(len(ids))
             if with_ids:
                 columns["ids"].append(np.array(ids, dtype=np.int32))
             columns["ids_sha256"].append(hashlib.sha256(decimal.encode()).hexdigest())
-            digest = hashlib.sha256()
-            for block in decode(ids, transducer.tokens):
-                digest.update(block)
+            digest, decoded = hashlib.sha256(), []
+            for part in decode_text(decode(ids, transducer.tokens), KEEP_BYTES):
+                digest.update(part.encode("utf-8", KEEP_BYTES))
+                if with_text:
+                    decoded.append(part)
             columns["decoded_sha256"].append(digest.hexdigest())
             if with_text:
-                columns["decoded"].append("".join(decode_text(decode(ids, transducer.tokens))))
+                columns["decoded"].append("".join(decoded))
         return columns
 
     return narrow.mapInArrow(over_batches(rows, schema, keep=key), result)
