@@ -234,6 +234,8 @@ def encoded(
     text_column: str = "text",
     with_ids: bool = True,
     with_text: bool = False,
+    max_states: int = MAX_STATES,
+    max_pieces: int = MAX_PIECES,
 ) -> DataFrame:
     """Ids of every row's whole text, and what they decode to.
 
@@ -245,6 +247,9 @@ def encoded(
     Rows stay where they are, so skew, ties and repeated rows make no difference;
     repeated rows each come back. Strings of special tokens are ordinary text. An
     empty table gives no rows. Other columns are ignored.
+
+    A Python worker keeps ``max_states`` states and ``max_pieces`` words and token
+    pairs for its next texts: some 300 MB by default, less at the price of CPU time.
     """
     narrow = docs.select(*named(id=id_column), text_of(f"`{text_column}`").alias("text"))
     fields: list[tuple[str, pa.DataType, T.DataType]] = [("n_tokens", pa.int64(), T.LongType())]
@@ -257,10 +262,10 @@ def encoded(
     schema = pa.schema([("id", arrow_type(narrow, "id")), *[(name, kind) for name, kind, _ in fields]])
     result = T.StructType([narrow.schema["id"], *[T.StructField(name, kind) for name, _, kind in fields]])
 
-    key = ("bpe", path, pattern)
+    key = ("bpe", path, pattern, max_states, max_pieces)
 
     def rows(batch: pa.RecordBatch) -> dict:
-        transducer = held(key, lambda: Transducer(read_ranks(path), pattern))
+        transducer = held(key, lambda: Transducer(read_ranks(path), pattern, max_states, max_pieces))
         columns: dict = {"id": batch.column("id"), **{name: [] for name, _, _ in fields}}
         for text in batch.column("text").to_pylist():
             ids = transducer.encode(text)
