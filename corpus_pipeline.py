@@ -17,6 +17,8 @@ from ledgerloom.llm.common import table
 from ledgerloom.llm.queries import PIECES_FILE, RANKS_FILE
 from ledgerloom.session import shared_folder
 
+#: States and words that a worker keeps while it encodes; workers of the stages before may still hold memory of their own.
+HELD_STATES = HELD_WORDS = 100_000
 #: Below this posterior a text is in none of the learned languages clearly enough.
 LEAST_SCORE = 0.5
 
@@ -46,7 +48,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digests that show they decode to its text."""
-    found = bpe.encoded(docs, public_tokenizers.path(RANKS_FILE), public_tokenizers.PATTERN)
+    found = bpe.encoded(docs, public_tokenizers.path(RANKS_FILE), public_tokenizers.PATTERN, max_states=HELD_STATES, max_pieces=HELD_WORDS)
     return found.withColumnRenamed("id", "doc_id")
 
 
