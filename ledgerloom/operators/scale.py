@@ -14,16 +14,42 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+HOT_ROWS = 1_000_000
+
+
+def is_small(facts: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a written table has at most so many rows and bytes of content."""
+    count = facts.count()
+    if count > max_rows:
+        return False
+    if not any(re.search("string|binary|array|map|variant", field.dataType.simpleString()) for field in facts.schema):
+        return True
+    content = F.octet_length(F.to_json(F.struct(*[F.col(f"`{name}`") for name in facts.columns])))
+    return (facts.agg(F.sum(content)).first()[0] or 0) <= max_bytes
+
+
+def _row_hash(rows: DataFrame, row_key: Sequence[str] | None) -> Column:
+    """Hash that spreads the rows of one key: of ``row_key``, or else of all columns of fixed width."""
+    names = row_key or [
+        field.name for field in rows.schema
+        if not re.search("string|binary|array|map|struct|variant", field.dataType.simpleString())
+    ]
+    return F.xxhash64(*[F.col(f"`{name}`") for name in names or rows.columns[:1]])
+
+
 def broadcast_if_small(
-    df: DataFrame, keys: Sequence[str], rows: DataFrame, max_rows: int = BROADCAST_ROWS, salts: int = 64
+    df: DataFrame, keys: Sequence[str], rows: DataFrame, max_rows: int = BROADCAST_ROWS, salts: int = 64,
+    hot_rows: int = HOT_ROWS, row_key: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left-join per-key facts ``df`` onto ``rows`` after measuring ``df``.
 
     ``df`` is materialised once in the checkpoint folder and measured there. Up
     to ``max_rows`` and 64 MB of content it is broadcast and ``rows`` is not
-    shuffled at all. Beyond that both sides are shuffled on the keys plus a salt, with the facts copied
-    to every salt, so that no key (not even one holding a third of the rows)
-    ends up in one task.
+    shuffled at all. Beyond that both sides are shuffled on the keys. A narrow
+    count finds the keys with more than ``hot_rows`` rows; only their facts are
+    copied, ``salts`` times or as often as brings them under ``hot_rows``, and
+    only their rows are spread, by ``row_key``, so that no key (not even one
+    holding a third of the rows) ends up in one task.
     """
     facts = checkpointed(df)
     renamed = facts.select(
@@ -32,15 +58,21 @@ def broadcast_if_small(
     )
     match = [F.col(key).eqNullSafe(F.col(f"_fact_{key}")) for key in keys]
     fact_keys = [f"_fact_{key}" for key in keys]
-    content = F.octet_length(F.to_json(F.struct(*[F.col(f"`{name}`") for name in facts.columns])))
-    count, size = facts.agg(F.count("*"), F.coalesce(F.sum(content), F.lit(0))).first()
-    if count <= max_rows and size <= BROADCAST_BYTES:
+    if is_small(facts, max_rows):
         return rows.join(F.broadcast(renamed), match, "left").drop(*fact_keys)
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    copied = renamed.withColumn("_fact_salt", F.explode(every_salt))
-    hashable = [field.name for field in rows.schema if not re.search("map|variant", field.dataType.simpleString())]
-    mixed = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in hashable]), F.lit(salts)).cast("int")
-    salted = rows.withColumn("_salt", mixed)
+    copies = F.greatest(F.lit(salts), F.ceil(F.col("_rows") / hot_rows)).cast("int")
+    hot = checkpointed(
+        rows.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows).select(
+            *[F.col(key).alias(f"_hot_{key}") for key in keys], copies.alias("_copies")
+        )
+    )
+    hot_keys = [f"_hot_{key}" for key in keys]
+    of_rows = [F.col(key).eqNullSafe(F.col(f"_hot_{key}")) for key in keys]
+    of_facts = [F.col(f"_fact_{key}").eqNullSafe(F.col(f"_hot_{key}")) for key in keys]
+    spread = F.coalesce(F.pmod(_row_hash(rows, row_key), F.col("_copies").cast("long")).cast("int"), F.lit(0))
+    salted = rows.join(F.broadcast(hot), of_rows, "left").withColumn("_salt", spread).drop("_copies", *hot_keys)
+    every = F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1)
+    copied = renamed.join(F.broadcast(hot), of_facts, "left").withColumn("_fact_salt", F.explode(every)).drop("_copies", *hot_keys)
     joined = salted.join(copied, [*match, F.col("_salt") == F.col("_fact_salt")], "left")
     return joined.drop("_salt", "_fact_salt", *fact_keys)
 

@@ -199,10 +199,9 @@ def test_dedup_keeps_the_first_of_a_hot_text(spark, monkeypatch):
         first.setdefault(text, place)
     wanted = sorted((text or "", place or -1) for text, place in first.items())
     small = corpus.exact_dedup(df, ["ord"], ["text"])
-    original = scale.broadcast_if_small
-    monkeypatch.setattr(corpus, "broadcast_if_small", lambda facts, keys, wide: original(facts, keys, wide, max_rows=0, salts=4))
-    large = corpus.exact_dedup(df, ["ord"], ["text"])
-    for found in (small, large):
+    large = corpus.exact_dedup(df, ["ord"], ["text"], max_rows=0)
+    few_slots = corpus.exact_dedup(df, ["ord"], ["text"], max_rows=0, slots=64, hot_rows=5)
+    for found in (small, large, few_slots):
         assert found.columns == df.columns
         assert sorted((r.text or "", r.ord or -1) for r in found.collect()) == wanted
     plan = small._jdf.queryExecution().executedPlan().toString()
@@ -228,3 +227,37 @@ def test_repeated_predictions_and_responses_count_once(spark):
     answers = spark.createDataFrame([("a", "reject"), ("a", "no"), ("b", "Approve!"), ("d", "x")], "name string, response string")
     found = metrics.pass_rate(scenarios, answers).first()
     assert (found.scenarios, found.passed) == (3, 1)
+
+
+def test_repeats_beyond_a_broadcast(spark):
+    """Every text repeated, one of them a third of all rows; unique texts are in no exchange."""
+    rows = [(at, "hot" if at % 3 == 0 else f"text {at % 40}", None if at % 5 == 0 else at % 2) for at in range(300)]
+    rows += [(1000 + at, f"only {at}", at) for at in range(50)]
+    df = spark.createDataFrame(rows, "at int, t string, k int").repartition(3)
+    first = {}
+    for at, text, k in rows:
+        first.setdefault((text, k), at)
+    for slots in (1 << 28, 64, 1):
+        got = corpus.exact_dedup(df, ["at"], ["t", "k"], max_rows=0, slots=slots, hot_rows=20)
+        assert got.columns == df.columns and {(r.t, r.k): r.at for r in got.collect()} == first and got.count() == len(first)
+    repeated = df.withColumn("_digest", corpus.digest(df, ["t"])).filter("t = 'hot'").select("_digest").distinct()
+    bits = corpus.repeat_filter(repeated)
+    seen = df.withColumn("_digest", corpus.digest(df, ["t"])).join(
+        bits, F.bitmap_bucket_number(corpus._slot(corpus.FILTER_SLOTS)) == F.col("_block"), "left"
+    )
+    assert {r.t for r in seen.filter(corpus._may_repeat(corpus.FILTER_SLOTS)).collect()} == {"hot"}
+
+
+def test_digests_know_borders_and_nulls(spark):
+    rows = [("a", "b"), ("ab", ""), ("", "ab"), (None, "ab"), ("ab", None), (None, None), ("1:a", "-"), ("-", "1:a")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(corpus.digest(df, ["x", "y"]).alias("d")).distinct().count() == len(rows)
+
+
+def test_facts_beyond_a_broadcast(spark):
+    """Hot keys are spread, others are not copied, and the join stays a left join with null keys met."""
+    rows = spark.createDataFrame([(at, "hot" if at % 2 else (None if at % 4 else f"k{at}")) for at in range(200)], "at int, k string")
+    facts = spark.createDataFrame([("hot", 1), (None, 2), ("k4", 3), ("unused", 4)], "k string, fact int")
+    found = scale.broadcast_if_small(facts, ["k"], rows, max_rows=0, salts=4, hot_rows=10)
+    wanted = {"hot": 1, None: 2, "k4": 3}
+    assert sorted((r.at, r.fact or 0) for r in found.collect()) == [(r.at, wanted.get(r.k) or 0) for r in rows.collect()]
