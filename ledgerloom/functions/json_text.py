@@ -83,12 +83,11 @@ CASE WHEN t RLIKE '[^ -~]'
                  (done, c) -> replace(done, c, {_ESCAPE_SQL}))
   ELSE t END""")}, '"')"""
 
+_SPELLED_SQL = """try_cast(regexp_replace(s, r'[()$,%]', '') AS DOUBLE)
+      * CASE WHEN startswith(s, '(') AND endswith(s, ')') THEN -1D ELSE 1D END"""
+_ROUNDED_SQL = "coalesce(try_cast(replace(format_number(v, 6), ',', '') AS DOUBLE), v)"
 NUMBER_SQL = rf"""
-CASE WHEN s RLIKE r'{NUMBER_PATTERN}' THEN
-  cast(replace(format_number(
-    try_cast(regexp_replace(s, r'[()$,%]', '') AS DOUBLE)
-      * CASE WHEN startswith(s, '(') AND endswith(s, ')') THEN -1D ELSE 1D END, 6), ',', '') AS DOUBLE)
-END"""
+CASE WHEN s RLIKE r'{NUMBER_PATTERN}' THEN {sql_let(_SPELLED_SQL, "v", _ROUNDED_SQL)} END"""
 
 
 def quote(text: Column) -> Column:

@@ -102,14 +102,17 @@ def round_exact(number: Column, places: int) -> Column:
 
     ``round`` works on the shortest decimal text and so turns 2.675 into 2.68;
     ``format_number`` looks at the stored value (2.67499...) and gives 2.67.
+    Infinities and NaN stay what they are.
     """
-    return F.replace(F.format_number(number, places), F.lit(","), F.lit("")).cast("double")
+    rounded = F.replace(F.format_number(number, places), F.lit(","), F.lit("")).try_cast("double")
+    return F.coalesce(rounded, number.cast("double"))
 
 
 def parse_number(text: Column) -> Column:
     """``$1,234.56``, ``(500)``, ``12.5%`` ... as a double, else null.
 
-    Only a pair of parentheses negates; a percent sign does not divide.
+    Only a pair of parentheses negates; a percent sign does not divide. More
+    digits than a double holds give an infinity.
     """
     candidate = squeeze(text)
     digits = F.regexp_replace(candidate, r"[()$,%]", "").try_cast("double")

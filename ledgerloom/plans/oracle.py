@@ -361,6 +361,22 @@ r AS (SELECT *, coalesce(sum(outputs) OVER (PARTITION BY source ORDER BY doc_id
   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM n)
 SELECT format('{}-000-{:06d}', lower(source), doc_id) AS id, outputs FROM r WHERE before < 40"""
 
+ORACLE["files_round_trip"] = """
+SELECT doc_id, md5(text) AS text_md5, coalesce(lang, '') AS lang, coalesce(source, '') AS source, true AS gapless FROM documents"""
+_all_sources = ", ".join(f"({at}, '{name}', '{name.lower()}_reasoning')" for at, name in enumerate(("FinQA", "ConvFinQA", "FinanceBench", "FinR1")))
+ORACLE["import_all_sources"] = f"""
+WITH kinds(import_ord, source, category) AS (VALUES {_all_sources}),
+told AS (
+  SELECT 'FinQA' AS kind, text AS q, '' AS turn FROM documents WHERE lang <> 'fr'
+  UNION ALL SELECT 'ConvFinQA', source, '-000' FROM documents WHERE lang IS NOT NULL AND lang <> ''
+  UNION ALL SELECT 'ConvFinQA', text, '-001' FROM documents WHERE source IS NOT NULL AND source <> ''
+  UNION ALL SELECT 'FinanceBench', text, '' FROM documents WHERE lang <> 'fr'
+  UNION ALL SELECT 'FinR1', text, '' FROM documents WHERE CASE WHEN doc_id % 2 = 0 THEN lang ELSE source END <> '')
+SELECT import_ord, md5({squeeze('q')}) AS instruction_md5, category, source, lower(source) || '-place' || turn AS id_form
+FROM told JOIN kinds ON kind = source WHERE q <> ''"""
+ORACLE["named_splits"] = """
+SELECT doc_id, md5(text) AS output_md5, source, ['train', 'validation', 'test'][doc_id % 3 + 1] AS split FROM documents"""
+
 _budget = f"""
 judged AS (SELECT *, a <= c_acctbal AS fits FROM (SELECT *, {rounded('o_totalprice / 50')} AS a
   FROM orders JOIN customer ON o_custkey = c_custkey))"""

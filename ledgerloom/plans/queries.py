@@ -5,8 +5,9 @@ Each query takes (spark, folder of Parquet tables) and returns a DataFrame.
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,7 @@ from ledgerloom.operators import (
     corpus, metrics, records, render, responses, rules, scenarios, split, wording,
 )
 from ledgerloom.plans.corpus_build import build_corpus
+from ledgerloom.session import checkpointed, shared_folder
 from ledgerloom.sources import files, qa_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -436,6 +438,88 @@ def cap_per_source(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select(name.alias("id"), "outputs")
 
 
+# --- files ------------------------------------------------------------------------
+
+CSV = {"header": True, "quoteAll": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+RECORDS_PER_FILE = 1000
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+
+
+def _write_lists(records: DataFrame, path: str) -> None:
+    """JSON files of the form ``{"data": [...]}`` with at most ``RECORDS_PER_FILE`` records each."""
+    kept = records.withColumn("bucket", F.floor(F.col("record_ord") / RECORDS_PER_FILE))
+    lists = kept.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("record_ord", "record"))).alias("all"))
+    document = F.concat(F.lit('{"data": ['), F.array_join("all.record", ", "), F.lit("]}"))
+    lists.select("bucket", document.alias("value")).write.partitionBy("bucket").text(path)
+
+
+@query
+def files_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents written as JSONL, as JSON lists and as CSV under two headers, then read back with their places."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    root = _scratch(spark)
+    kind = F.pmod("doc_id", F.lit(4))
+    files.write_jsonl(docs.filter(kind == 0).repartition(3, "doc_id"), f"{root}/a.jsonl", raw=())
+    as_json = F.to_json(F.struct(*docs.columns)).alias("record")
+    _write_lists(docs.filter(kind == 1).select(F.col("doc_id").alias("record_ord"), as_json), f"{root}/b.json")
+    docs.filter(kind == 2).repartition(2, "doc_id").write.options(**CSV).csv(f"{root}/c.csv")
+    docs.filter(kind == 3).select("text", "doc_id", "source", "lang").write.options(**CSV).csv(f"{root}/d/d.csv")
+    found = checkpointed(files.load_records(spark, [root]))
+    places = found.groupBy("file_ord").agg(
+        ((F.count("*") == F.max("record_ord") + 1) & (F.count("*") == F.countDistinct("record_ord"))).alias("gapless")
+    )
+    fields = F.from_json("record", "doc_id string, text string, lang string, source string")
+    return found.join(F.broadcast(places), "file_ord").select(fields.alias("r"), "gapless").select(
+        F.col("r.doc_id").cast("bigint").alias("doc_id"), F.md5("r.text").alias("text_md5"),
+        F.coalesce("r.lang", F.lit("")).alias("lang"), F.coalesce("r.source", F.lit("")).alias("source"), "gapless",
+    )
+
+
+@query
+def import_all_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """All four sources from their files: JSONL, JSON lists, and CSV files with two headers under one root."""
+    root = _scratch(spark)
+    answer = F.when(F.col("lang") != "fr", F.length("text"))
+    inner = F.struct(F.col("text").alias("question"), answer.alias("exe_ans"), F.col("lang").alias("program"))
+    _as_records(spark, folder, inner.alias("qa")).select("record").write.text(f"{root}/finqa/f.jsonl")
+    turns = F.array(
+        F.struct(F.col("source").alias("query"), F.col("lang").alias("final_answer")),
+        F.struct(F.col("text").alias("query"), F.col("source").alias("final_answer")),
+    )
+    _as_records(spark, folder, turns.alias("dialogue")).select("record").write.text(f"{root}/convfinqa/c.jsonl")
+    _write_lists(
+        _as_records(spark, folder, F.col("text").alias("prompt"), F.nullif("lang", F.lit("fr")).alias("gold_answer")),
+        f"{root}/financebench/b.json",
+    )
+    docs = table(spark, folder, "documents")
+    even = docs.filter(F.pmod("doc_id", F.lit(2)) == 0).select(F.col("text").alias("query"), F.col("lang").alias("response"))
+    odd = docs.filter(F.pmod("doc_id", F.lit(2)) == 1).select(F.col("source").alias("answer"), F.col("text").alias("question"))
+    even.write.options(**CSV).csv(f"{root}/finr1/one.csv")
+    odd.write.options(**CSV).csv(f"{root}/finr1/two.csv")
+    found = qa_records.import_all(spark, {name: [f"{root}/{name}"] for name in qa_records.SOURCES})
+    return found.select(
+        F.col("import_ord").cast("bigint").alias("import_ord"), F.md5("instruction").alias("instruction_md5"), "category", "source",
+        F.regexp_replace("id", r"\d{3}-\d{6}", "place").alias("id_form"),
+    )
+
+
+@query
+def named_splits(spark: SparkSession, folder: str) -> DataFrame:
+    """Files per split name, several each, read as one table with a ``split`` column."""
+    docs = table(spark, folder, "documents").select("doc_id", F.col("text").alias("output"), "source")
+    root = _scratch(spark)
+    names = ("train", "validation", "test")
+    for at, name in enumerate(names):
+        part = docs.filter(F.pmod("doc_id", F.lit(len(names))) == at)
+        files.write_jsonl(part.repartition(3, "doc_id"), f"{root}/{name}.jsonl")
+    found = files.read_split_files(spark, {name: f"{root}/{name}.jsonl" for name in names}, "doc_id bigint, output string, source string")
+    return found.select("doc_id", F.md5("output").alias("output_md5"), "source", "split")
+
+
 # --- rules ------------------------------------------------------------------------
 
 

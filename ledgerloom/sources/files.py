@@ -8,8 +8,11 @@ gives file order however the file was cut into splits.
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,9 +45,22 @@ def _pin_splits(spark: SparkSession) -> None:
         spark.conf.set(setting, str(spark.sparkContext.defaultParallelism))
 
 
+def file_kind(path: Column) -> Column:
+    """``jsonl``, ``json`` or ``csv`` by suffix; the parts of a folder that a sink wrote by the folder's suffix. Else null."""
+    of_folder = F.regexp_extract(path, r"(?i)\.(jsonl|json|csv)(?:/[^/]+=[^/]*)*/part-[^/]*$", 1)
+    of_file = F.regexp_extract(path, r"(?i)\.(jsonl|json|csv)$", 1)
+    return F.lower(F.coalesce(F.nullif(of_folder, F.lit("")), F.nullif(of_file, F.lit(""))))
+
+
 def _reader(spark: SparkSession, kind: str):
+    """Reader of the files that may be of a kind; ``_of_kind`` drops parts of folders of another kind."""
     _pin_splits(spark)
-    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", GLOBS[kind])
+    pattern = f"{{{GLOBS[kind]},part-*}}"
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+
+
+def _of_kind(kind: str) -> Column:
+    return file_kind(F.col("_metadata.file_path")) == kind
 
 
 def _position() -> list[Column]:
@@ -67,9 +83,9 @@ def list_files(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
         files = (
             spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
         ).select("path", F.col("_metadata.file_path").alias("file_path"))
-        supported = F.lower("path").rlike(r"\.(json|jsonl|csv)$")
+        supported = file_kind(F.col("path")).isNotNull()
         if "." in root.rstrip("/").rsplit("/", 1)[-1]:
-            alone = files.filter(F.col("path").endswith(root) & ~supported)
+            alone = files.filter(F.col("path").endswith(root.rstrip("/")) & ~supported)
             if not alone.isEmpty():
                 raise ValueError(f"unsupported file type: {root}")
         listings.append(files.filter(supported).select(F.lit(at).alias("root_ord"), "path", "file_path"))
@@ -78,7 +94,7 @@ def list_files(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
     return listed.select(
         "root_ord",
         "file_path",
-        F.lower(F.substring_index("file_path", ".", -1)).alias("kind"),
+        file_kind(F.col("path")).alias("kind"),
         (F.row_number().over(order) - 1).alias("file_ord"),
     )
 
@@ -86,22 +102,49 @@ def list_files(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
 def read_lines(spark: SparkSession, root: str) -> DataFrame:
     """Non-blank JSONL lines with their positions."""
     lines = _reader(spark, "jsonl").text(root)
-    return lines.filter(strip(F.col("value")) != "").select(
+    return lines.filter(_of_kind("jsonl") & (strip(F.col("value")) != "")).select(
         F.col("value").alias("record"), *_position()
     )
 
 
+def _files_by_header(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """Paths of the CSV files under a root, by their first line.
+
+    One narrow pass keeps the first line of each file, combined map-side; the
+    driver gets one line per file, as it has the list of files anyway.
+    """
+    lines = _reader(spark, "csv").text(root).filter(_of_kind("csv")).select(F.col("value"), *_position())
+    firsts = (
+        lines.filter(F.col("block_start") == 0).groupBy("file_path").agg(F.min_by("value", "sequence").alias("header"))
+    )
+    found: dict[str, list[str]] = {}
+    for row in sorted(firsts.collect()):
+        if row["header"].count('"') % 2:
+            raise ValueError(f"a header with a line break is not read: {row['file_path']}")
+        path = re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(row["file_path"]))
+        found.setdefault(row["header"].rstrip("\r"), []).append(path)
+    return found
+
+
 def read_csv(spark: SparkSession, root: str, multiline: bool = True) -> DataFrame:
-    """CSV rows as JSON objects; every value is a string.
+    """CSV rows as JSON objects of the file's own columns; every value is a string.
 
-    All files under one root share a header; a file with another header fails
-    the job instead of being read into the wrong columns. ``multiline`` allows
-    line breaks inside quotes at the price of one task per file.
+    Files are grouped by their header and each group is one scan, so files under
+    one root may have different columns. There should be few different headers.
+    ``multiline`` allows line breaks inside quotes at the price of one task per file.
     """
-    reader = _reader(spark, "csv").option("header", "true").option("enforceSchema", "false")
-    table = reader.option("multiLine", multiline).option("escape", '"').csv(root)
-    filled = [F.coalesce(F.col(f"`{name}`"), F.lit("")).alias(name) for name in table.columns]
-    return table.select(F.to_json(F.struct(*filled)).alias("record"), *_position())
+    _pin_splits(spark)
+    parts = []
+    for header, paths in _files_by_header(spark, root).items():
+        names = next(csv.reader([header]))
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        reader = spark.read.schema(schema).option("header", "true").option("enforceSchema", "false")
+        table = reader.option("multiLine", multiline).option("escape", '"').csv(paths)
+        filled = [F.coalesce(F.col(f"`{name}`"), F.lit("")).alias(name) for name in table.columns]
+        parts.append(table.select(F.to_json(F.struct(*filled)).alias("record"), *_position()))
+    if not parts:
+        return spark.createDataFrame([], "record string, file_path string, block_start long, block_length long, sequence long")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def unwrapped(document: Column) -> Column:
@@ -144,7 +187,7 @@ def read_documents(spark: SparkSession, root: str) -> DataFrame:
     A document is parsed by one task, as the format has no split points; use
     JSONL for anything large.
     """
-    files = _reader(spark, "json").text(root, wholetext=True)
+    files = _reader(spark, "json").text(root, wholetext=True).filter(_of_kind("json"))
     return files.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.posexplode(unwrapped(F.col("value"))).alias("record_ord", "record"),
@@ -238,6 +281,7 @@ def json_line(df: DataFrame, raw: Sequence[str] = ("context",)) -> Column:
 
 
 def write_jsonl(df: DataFrame, path: str, raw: Sequence[str] = ("context",), mode: str = "errorifexists") -> None:
+    """Rows as JSONL; a folder named ``*.jsonl`` is read back as such."""
     df.select(json_line(df, raw).alias("value")).write.mode(mode).text(path)
 
 

@@ -120,3 +120,14 @@ def test_confidence_bounds(spark):
     low = apply(spark, lambda c: labels.confidence(F.lit("UNKNOWN"), c), ["unlikely to work"])
     high = apply(spark, lambda c: labels.confidence(F.lit("APPROVE"), c), [" ".join(["word"] * 20)])
     assert (low, high) == ([0.44], [0.91])
+
+
+def test_infinities_and_long_digit_runs(spark):
+    digits = "9" * 400
+    rows = [(digits, float("inf")), (f"({digits})", float("-inf")), ("1,000.5", float("nan")), (None, None)]
+    df = spark.createDataFrame(rows, "amount string, x double")
+    context = json_text.context_json("c", df.select(F.struct("amount").alias("c")).schema["c"].dataType)
+    got = df.select(text.parse_number(F.col("amount")), text.round_exact(F.col("x"), 2), F.struct("amount").alias("c")).select("*", context).collect()
+    assert [row[0] for row in got] == [float("inf"), float("-inf"), 1000.5, None]
+    assert [row[1] for row in got][:2] == [float("inf"), float("-inf")] and got[2][1] != got[2][1] and got[3][1] is None
+    assert [row[3] for row in got][:3] == ['{"amount": Infinity}', '{"amount": -Infinity}', '{"amount": 1000.5}']

@@ -202,3 +202,26 @@ def test_summary_and_split_sinks(spark, tmp_path):
         put(str(tmp_path), f"{name}.jsonl", json.dumps({"text": name}) + "\n")
     both = files.read_split_files(spark, {n: str(tmp_path / f"{n}.jsonl") for n in ("train", "validation")}, "text string")
     assert sorted(tuple(r) for r in both.collect()) == [("train", "train"), ("validation", "validation")]
+
+
+def test_csv_files_with_their_own_headers(spark, tmp_path):
+    put(tmp_path, "a.csv", 'question,answer\n"two\nlines",1\n')
+    put(tmp_path, "sub dir/b[1].csv", 'answer,question,extra\n2,"q ""two""",\n3,q3,x\n')
+    put(tmp_path, "c.csv", "question,answer\nq4,4\n")
+    put(tmp_path, "empty.csv", "")
+    found = files.load_records(spark, [str(tmp_path)]).orderBy("file_ord", "record_ord").collect()
+    assert [json.loads(row.record) for row in found] == [
+        {"question": "two\nlines", "answer": "1"}, {"question": "q4", "answer": "4"},
+        {"answer": "2", "question": 'q "two"', "extra": ""}, {"answer": "3", "question": "q3", "extra": "x"},
+    ]
+    assert [(row.file_ord, row.record_ord) for row in found] == [(0, 0), (1, 0), (2, 0), (2, 1)]  # empty files have no number
+
+
+def test_parts_of_written_folders_are_of_the_folders_kind(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, t string")
+    files.write_jsonl(df, str(tmp_path / "x.jsonl"), raw=())
+    df.write.json(str(tmp_path / "y.jsonl"))
+    df.write.option("header", True).csv(str(tmp_path / "z.csv"))
+    put(tmp_path, "other/part-0.txt", "no record")
+    found = files.load_records(spark, [str(tmp_path)]).collect()
+    assert sorted((int(json.loads(r.record)["n"]), json.loads(r.record)["t"]) for r in found) == sorted([(1, "a"), (2, "b")] * 3)
