@@ -22,11 +22,15 @@ from ledgerloom.functions.json_text import float_text, indented, quote
 from ledgerloom.functions.text import strip
 from ledgerloom.operators.scale import broadcast_if_small
 from ledgerloom.session import checkpointed
+from ledgerloom.sources.json_pieces import list_items
 
 # File kinds by (case-insensitive) suffix, and the keys that wrap record lists.
 GLOBS = {"jsonl": "*.[jJ][sS][oO][nN][lL]", "json": "*.[jJ][sS][oO][nN]", "csv": "*.[cC][sS][vV]"}
 WRAPPERS = ("data", "examples", "records", "items")
 
+#: Whole-file JSON up to this size is parsed by one task.
+WHOLE_BYTES = 32 * 1024 * 1024
+
 POSITION = ("file_path", "block_start", "block_length", "sequence")
 RECORD_SCHEMA = (
     "id STRING, instruction STRING, context STRING, output STRING, category STRING, source STRING"
@@ -107,6 +111,11 @@ def read_lines(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def escaped_path(file_path: str) -> str:
+    """A path as the readers take it, from the URI of a file: nothing in it is a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file_path))
+
+
 def _files_by_header(spark: SparkSession, root: str) -> dict[str, list[str]]:
     """Paths of the CSV files under a root, by their first line.
 
@@ -121,8 +130,7 @@ def _files_by_header(spark: SparkSession, root: str) -> dict[str, list[str]]:
     for row in sorted(firsts.collect()):
         if row["header"].count('"') % 2:
             raise ValueError(f"a header with a line break is not read: {row['file_path']}")
-        path = re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(row["file_path"]))
-        found.setdefault(row["header"].rstrip("\r"), []).append(path)
+        found.setdefault(row["header"].rstrip("\r"), []).append(escaped_path(row["file_path"]))
     return found
 
 
@@ -181,19 +189,33 @@ def unwrapped(document: Column) -> Column:
     )
 
 
-def read_documents(spark: SparkSession, root: str) -> DataFrame:
-    """Records of whole-file JSON documents, with ``record_ord`` inside the file.
-
-    A document is parsed by one task, as the format has no split points; use
-    JSONL for anything large.
-    """
-    files = _reader(spark, "json").text(root, wholetext=True).filter(_of_kind("json"))
+def _whole_documents(files: DataFrame) -> DataFrame:
     return files.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.posexplode(unwrapped(F.col("value"))).alias("record_ord", "record"),
     ).select("record", "file_path", F.col("record_ord").cast("bigint").alias("record_ord"))
 
 
+def read_documents(spark: SparkSession, root: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """Records of whole-file JSON documents, with ``record_ord`` inside the file.
+
+    Documents up to ``whole_bytes`` are parsed by one task each. Larger ones are
+    read in splits and never held as a whole (``json_pieces``), with the same
+    result; only a large document that is itself one record has to be.
+    """
+    size = F.col("_metadata.file_size")
+    files = _reader(spark, "json").text(root, wholetext=True).filter(_of_kind("json") & (size <= whole_bytes))
+    small = _whole_documents(files)
+    pieces = _reader(spark, "json").text(root, lineSep="}").filter(_of_kind("json") & (size > whole_bytes))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    if listed.filter((file_kind(F.col("path")) == "json") & (F.col("length") > whole_bytes)).select("path").isEmpty():
+        return small
+    items, alone = list_items(spark, pieces.select("value", size.alias("file_size"), *_position()), WRAPPERS)
+    paths = [escaped_path(row["file_path"]) for row in alone.collect()]
+    large = small.unionByName(items)
+    return large.unionByName(_whole_documents(spark.read.text(paths, wholetext=True))) if paths else large
+
+
 def numbered(rows: DataFrame) -> DataFrame:
     """Replace the split position by ``record_ord``, counted from 0 per file.
 

@@ -1,12 +1,17 @@
 import json
-import re
 import os
+import re
+from types import SimpleNamespace
 
+import pandas as pd
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import records, split
-from ledgerloom.sources import files, qa_records
+from ledgerloom.sources import files, json_pieces, qa_records
 
 
 def put(folder, name, text):
@@ -225,3 +230,97 @@ def test_parts_of_written_folders_are_of_the_folders_kind(spark, tmp_path):
     put(tmp_path, "other/part-0.txt", "no record")
     found = files.load_records(spark, [str(tmp_path)]).collect()
     assert sorted((int(json.loads(r.record)["n"]), json.loads(r.record)["t"]) for r in found) == sorted([(1, "a"), (2, "b")] * 3)
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    small = {"spark.sql.files.maxPartitionBytes": "6000", "spark.sql.files.openCostInBytes": "1"}
+    before = {name: spark.conf.get(name) for name in small}
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+NASTY = 'a "quoted\\ } ] { [ , é€😀 \n } end'
+DOCUMENTS = {
+    "list": [{"i": at, "t": NASTY * (at % 4), "deep": [{"x": [{}, {"y": {}}]}]} for at in range(60)],
+    "mixed": [1, "}", [{"no": 1}, [{}]], {"i": 0}, None, {"i": {"j": [{"k": NASTY}]}}, [[]], {}],
+    "wrapped": {"meta": {"data": [{"no": 1}], "x": {"y": {}}}, "items": [{"no": 2}] * 9, "data": [{"i": at} for at in range(40)], "n": 1},
+    "empty wrapper": {"examples": [], "rows": [{"no": 1}] * 20, "other": {"examples": [{}]}},
+    "two lists": {"a": [{"i": at} for at in range(20)], "o": {"p": [{"no": 1}]}, "s": "} data", "b": [[{"no": 2}], {"i": 99}, 7], "e": []},
+    "single": {"i": 6, "tags": ["t", "}"] * 30, "o": {"p": [{"q": 1}]}},
+    "number": 17,
+    "text": "{ } [ " * 30,
+    "nothing": [],
+    "long": [{"t": NASTY * 200}, {"t": "}" * 500}, {"u": {"v": NASTY * 20}}],
+}
+
+
+def test_large_documents_are_read_in_splits(spark, tmp_path, tiny_splits):
+    for at, (name, document) in enumerate(DOCUMENTS.items()):
+        text = json.dumps(document, indent=at % 2 or None, ensure_ascii=at % 3 == 0)
+        put(str(tmp_path), f"{name}.json", text + "\n" * (at % 2))
+
+    def found(whole_bytes):
+        rows = files.read_documents(spark, str(tmp_path), whole_bytes).collect()
+        return sorted((os.path.basename(row.file_path), row.record_ord, row.record) for row in rows)
+
+    expected = found(1 << 30)
+    assert len(expected) == 60 + 3 + 40 + 0 + 21 + 1 + 3
+    assert found(0) == expected
+
+
+def items_by_splits(text, cuts):
+    """What the functions of the split reader make of a text cut behind some of its closing brackets."""
+    pieces = [piece + "}" for piece in text.split("}")]
+    pieces[-1] = pieces[-1][:-1]
+    starts = sorted({0} | {cut % len(pieces) for cut in cuts})
+    splits = [(at, pieces[at:end]) for at, end in zip(starts, starts[1:] + [len(pieces)])]
+
+    def batches(facts):
+        for at, members in splits:
+            rows = [{"file_path": "f", "block_start": at, "piece": piece, **facts[at]} for piece in members]
+            yield pa.RecordBatch.from_pylist(rows)
+
+    inside, parity = {}, False
+    for at, members in splits:
+        inside[at] = {"in_string": parity}
+        parity ^= len(re.findall('"', re.sub(r"(?s)\\.", "", "".join(members)))) % 2 == 1
+    outlines = [row for batch in json_pieces._outlines(batches(inside)) for row in batch.to_pylist()]
+    stacks = json_pieces._starts(pd.DataFrame(outlines))
+    facts = {row.block_start: {"stack": row.stack} for row in stacks.itertuples()}
+    found = {}
+    for at, members in splits:
+        known = {"file_path": "f", "block_start": at, **inside[at], **facts[at]}
+        batch = SimpleNamespace(to_pylist=lambda: [{**known, "piece": piece} for piece in members])
+        for batch in json_pieces._parts(iter([batch])):
+            for row in batch.to_pylist():
+                if row["item_block"] is not None:
+                    found.setdefault((row["item_block"], row["item_offset"]), []).append((row["part_block"], row["record"]))
+    return [json.loads("".join(part for _, part in sorted(found[key]))) for key in sorted(found)]
+
+
+values = st.recursive(
+    st.none() | st.integers() | st.text('ab{}[]"\\\\,:é'),
+    lambda inner: st.lists(inner, max_size=4) | st.dictionaries(st.text('ab}"\\\\'), inner, max_size=4),
+    max_leaves=30,
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(values, st.lists(st.integers(0, 60)), st.sampled_from([None, 1]))
+def test_items_do_not_depend_on_the_cuts(document, cuts, indent):
+    lists = [document] if isinstance(document, list) else []
+    if isinstance(document, dict):
+        lists = [value for value in document.values() if isinstance(value, list)]
+    expected = [item for members in lists for item in members if isinstance(item, dict)]
+    assert items_by_splits(json.dumps(document, indent=indent, ensure_ascii=False), cuts) == expected
+
+
+@pytest.mark.parametrize("text", ['[{"a": 1}', '[{"a": 1}]]', '[{"a": [1}]}]', '[{"a": 1 "b"}]'])
+def test_malformed_large_documents_end_the_job(spark, tmp_path, text):
+    put(str(tmp_path), "bad.json", text)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_documents(spark, str(tmp_path), 0).collect()
