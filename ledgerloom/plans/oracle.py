@@ -801,3 +801,18 @@ WITH {_corpus} SELECT id, category, source, split, md5(text) AS text_md5, token_
 ORACLE["preprocess_summary"] = f"""
 WITH {_corpus} SELECT split, count(*) AS rows, min(token_count) AS min, max(token_count) AS max,
   {rounded('avg(token_count)')} AS avg FROM done GROUP BY split"""
+
+
+def _names(column: str) -> str:
+    named = f"SELECT coalesce({column}, 'unknown') AS name, count(*) AS n FROM uniq GROUP BY 1"
+    return f"(SELECT string_agg(name || '=' || n, ',' ORDER BY name) FROM ({named}))"
+
+
+ORACLE["build_report"] = f"""
+WITH {_corpus} SELECT (SELECT count(*) FROM everything) AS before_deduplication, count(*) AS after_deduplication,
+  count(*) >= 100000 AS target_met, count(*) AS samples, {_names('category')} AS categories, {_names('source')} AS sources,
+  'documents,conversations' AS inputs, count(*) FILTER (split = 'train') AS train_rows,
+  count(*) FILTER (split = 'validation') AS validation_rows, count(*) FILTER (split = 'test') AS test_rows,
+  cast(0.8 AS DOUBLE) AS train_ratio, cast(0.1 AS DOUBLE) AS validation_ratio, cast(0.1 AS DOUBLE) AS test_ratio,
+  'words' AS tokenizer_id, min(token_count) AS token_min, max(token_count) AS token_max, {rounded('avg(token_count)')} AS token_avg
+FROM done"""

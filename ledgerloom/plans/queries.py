@@ -18,7 +18,7 @@ from ledgerloom.functions import draws, json_text, labels, text
 from ledgerloom.operators import (
     corpus, metrics, records, render, responses, rules, scenarios, split, wording,
 )
-from ledgerloom.plans.corpus_build import build_corpus
+from ledgerloom.plans.corpus_build import build_corpus, write_build
 from ledgerloom.session import checkpointed, shared_folder
 from ledgerloom.sources import files, qa_records
 
@@ -977,3 +977,22 @@ def preprocess_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Rows and token statistics per split of the built corpus."""
     built = _corpus(spark, folder).records.select("split", "token_count")
     return render.length_stats(built, F.col("token_count"), ["split"], F.count("*").alias("rows"))
+
+
+@query
+def build_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The built corpus written to the shared folder, and its report as read back from there."""
+    path = _scratch(spark)
+    schema = write_build(_corpus(spark, folder), path, ["documents", "conversations"], "words").schema
+    report = spark.read.schema(schema).json(f"{path}/report", multiLine=True)
+    listed = {
+        name: F.array_join(F.transform(F.array_sort(F.map_entries(f"dataset_summary.{name}")), lambda e: F.concat_ws("=", e.key, e.value)), ",")
+        for name in ("categories", "sources")
+    }
+    return report.select(
+        "before_deduplication", "after_deduplication", "target_met", F.col("dataset_summary.samples").alias("samples"),
+        *[text.alias(name) for name, text in listed.items()], F.array_join("sources", ",").alias("inputs"),
+        *[F.col(f"split_sizes.{name}").alias(f"{name}_rows") for name in ("train", "validation", "test")],
+        *[F.col(f"ratios.{name}").alias(f"{name}_ratio") for name in ("train", "validation", "test")],
+        "tokenizer_id", *[F.col(f"token_stats.{name}").alias(f"token_{name}") for name in ("min", "max", "avg")],
+    )

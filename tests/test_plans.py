@@ -5,6 +5,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions import text
 from ledgerloom.operators import responses
 from ledgerloom.plans import corpus_build
 from ledgerloom.session import checkpointed, drop_written_tables, shared_folder
@@ -126,3 +127,24 @@ def test_written_tables_can_be_dropped(spark):
     assert frame.count() == 10 and drop_written_tables(spark) >= 1
     assert os.path.isdir(kept) and not os.path.exists(frame.inputFiles()[0].removeprefix("file://"))
     assert drop_written_tables(spark) == 0
+
+
+def test_build_report_of_empty_and_small_corpora(spark, tmp_path):
+    fields = "id string, instruction string, context string, output string, category string, source string, ord long"
+    rows = [(f"r{at}", "Check.", f'{{"a": {at % 7}}}', "Decision: APPROVE\nReason: fine", "budget", None if at % 2 else "s", at) for at in range(20)]
+    for name, given, count in (("small", rows, text.word_count), ("plain", rows, None), ("empty", [], text.word_count)):
+        built = corpus_build.build_corpus(
+            [spark.createDataFrame(given, fields)], order=["ord"], context_text=lambda context: context, token_count=count
+        )
+        report = corpus_build.write_build(built, str(tmp_path / name), ["here"]).first()
+        unique = 7 if given else 0
+        assert (report.before_deduplication, report.after_deduplication, report.target_met) == (len(given), unique, False)
+        assert sum(report.split_sizes) == report.dataset_summary.samples == unique and tuple(report.ratios) == (0.8, 0.1, 0.1)
+        assert (report.token_stats.avg is None) == (count is None or not given)
+        if given:
+            assert report.dataset_summary.categories == {"budget": 7} and report.dataset_summary.sources == {"s": 4, "unknown": 3}
+            written = spark.read.parquet(str(tmp_path / name / "records"))
+            sizes = {row["split"]: row["count"] for row in written.groupBy("split").count().collect()}
+            assert {key: size for key, size in report.split_sizes.asDict().items() if size} == sizes
+            listed = spark.read.json(str(tmp_path / name / "report"), multiLine=True).first()
+            assert listed.split_sizes.asDict() == report.split_sizes.asDict() and listed.sources == ["here"]
