@@ -81,13 +81,13 @@ def sharded(
     position the hash of its text, so equal texts stay together as long as their
     shard has room. A shard is full at ``1 + slack`` times the mean bytes, which
     can only be exceeded by the unit that fits nowhere (see ``walk``); a unit is
-    about 1/``quanta`` of all bytes, or one row's ``(id, text)`` and its repetitions. Slots count each shard's rows from 0
+    about 1/``quanta`` of all bytes and of all rows at most, or one row's ``(id, text)`` and its repetitions. Slots count each shard's rows from 0
     without gaps, ordered by unit, text hash and id.
 
     Null ids are hashed like any other value; identical rows share a unit and get
     different slots. A single shard takes all rows. An empty table gives no rows.
     Other columns are ignored. The driver gets the sums of at most 2 ** 14 cells
-    plus 2 x ``quanta`` parts; rows are shuffled once, without their texts.
+    plus 4 x ``quanta`` parts; rows are shuffled once, without their texts.
     """
     text = text_of(f"`{text_column}`")
     narrow = checkpointed(
@@ -99,10 +99,11 @@ def sharded(
         ).withColumn("own", F.xxhash64(F.col("id").cast("string"), "position", "size"))
     )
     cell = _low_bits(F.col("position"), CELL_BITS)
-    cells = {row[0]: row[1] for row in narrow.groupBy(cell.alias("cell")).agg(F.sum("size")).collect()}
-    total = sum(cells.values())
-    quantum = max(1, total // quanta)
-    heavy = {at: min(1 << 20, -(-size // quantum)) for at, size in cells.items() if size > quantum}
+    cells = narrow.groupBy(cell.alias("cell")).agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
+    total = sum(row["size"] for row in cells)
+    quantum, rows_quantum = max(1, total // quanta), max(1, sum(row["n"] for row in cells) // quanta)
+    parts = {row["cell"]: max(-(-row["size"] // quantum), -(-row["n"] // rows_quantum)) for row in cells}
+    heavy = {at: min(1 << 20, count) for at, count in parts.items() if count > 1}
     spark = docs.sparkSession
     cuts = spark.createDataFrame(sorted(heavy.items()), "cell int, parts int")
     placed = narrow.withColumn("cell", cell).join(F.broadcast(cuts), "cell", "left").withColumn(

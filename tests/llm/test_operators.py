@@ -368,6 +368,38 @@ def test_sharding(spark, awkward):
     assert sorted(map(key, again.collect())) == sorted(map(key, found))
 
 
+def test_a_third_of_all_rows_without_text_is_cut_by_rows(spark):
+    rows = [(i, None if i % 3 == 0 else prose(i, 60)) for i in range(3000)]
+    found = sharding.sharded(table_of(spark, rows), quanta=64).collect()
+    assert sorted(r["id"] for r in found) == list(range(3000))
+    units = {}
+    for r in found:
+        units[r["unit"]] = units.get(r["unit"], 0) + 1
+    assert max(units.values()) <= 2.5 * 3000 / 64
+    for shard in range(8):
+        slots = sorted(r["slot"] for r in found if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+
+
+def test_ring_walk_equals_a_walk_key_by_key():
+    """Against a plain walk, large units first: the first node clockwise whose shard has room, else the emptiest shard."""
+    draw = random.Random(11)
+    units = sorted((draw.getrandbits(64), draw.choice([1, 1, 2, 40])) for _ in range(400))
+    shards, nodes = 5, 16
+    total = sum(size for _, size in units)
+    for capacity in (total / shards * 1.01, total / shards * 1.5, 3):
+        ring = sorted((xxhash.xxh64_intdigest(f"shard {shard} node {node}", 42), shard) for shard in range(shards) for node in range(nodes))
+        loads, expected = [0] * shards, {}
+        large = [unit for unit in units if unit[1] > capacity / 64]
+        for position, size in large + [unit for unit in units if unit[1] <= capacity / 64]:
+            clockwise = [owner for at, owner in ring if at >= position] + [owner for at, owner in ring if at < position]
+            room = [owner for owner in clockwise if loads[owner] + size <= capacity]
+            shard = room[0] if room else loads.index(min(loads))
+            loads[shard] += size
+            expected[position] = shard
+        assert sharding.walk(units, shards, capacity, nodes) == [expected[position] for position, _ in units]
+
+
 def test_ring_moves_little():
     positions = [xxhash.xxh64_intdigest(str(i)) for i in range(4000)]
     units = [(p, 1) for p in sorted(positions)]
