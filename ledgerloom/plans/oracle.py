@@ -816,3 +816,6 @@ WITH {_corpus} SELECT (SELECT count(*) FROM everything) AS before_deduplication,
   cast(0.8 AS DOUBLE) AS train_ratio, cast(0.1 AS DOUBLE) AS validation_ratio, cast(0.1 AS DOUBLE) AS test_ratio,
   'words' AS tokenizer_id, min(token_count) AS token_min, max(token_count) AS token_max, {rounded('avg(token_count)')} AS token_avg
 FROM done"""
+ORACLE["json_in_splits"] = """
+SELECT doc_id, md5(text) AS text_md5, lang, source,
+  row_number() OVER (PARTITION BY doc_id // 1000 ORDER BY doc_id) - 1 AS record_ord FROM documents"""

@@ -479,6 +479,19 @@ def files_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def json_in_splits(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents written as JSON lists and read back in byte ranges, with their places in the list."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    root = f"{_scratch(spark)}/lists.json"
+    _write_lists(docs.select(F.col("doc_id").alias("record_ord"), F.to_json(F.struct(*docs.columns)).alias("record")), root)
+    found = files.read_documents(spark, root, whole_bytes=0)
+    fields = F.from_json("record", "doc_id bigint, text string, lang string, source string")
+    return found.select(fields.alias("r"), "record_ord").select(
+        "r.doc_id", F.md5("r.text").alias("text_md5"), "r.lang", "r.source", "record_ord"
+    )
+
+
 @query
 def import_all_sources(spark: SparkSession, folder: str) -> DataFrame:
     """All four sources from their files: JSONL, JSON lists, and CSV files with two headers under one root."""
