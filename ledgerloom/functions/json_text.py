@@ -164,6 +164,69 @@ def context_json(context: str, kind: T.DataType, indent: int | None = None) -> C
     return F.expr(f"CASE WHEN {context} IS NOT NULL THEN {_value_sql(context, kind, indent, '', 0)} END")
 
 
+def _plain_leaf(value: str, kind: T.DataType) -> str | None:
+    """SQL of a scalar's JSON text, null for a null; None if only a parser can write it."""
+    if isinstance(kind, T.StringType):
+        return sql_let(value, "s", QUOTE_SQL)
+    if isinstance(kind, (T.BooleanType, T.IntegralType, T.NullType)):
+        return f"cast({value} AS STRING)"
+    if isinstance(kind, T.DecimalType) and kind.scale == 0:
+        return f"cast({value} AS STRING)"
+    if isinstance(kind, T.FloatType):
+        return sql_let(f"cast(cast({value} AS STRING) AS DOUBLE)", "x", FLOAT_SQL)
+    if isinstance(kind, (T.DoubleType, T.DecimalType)):
+        return sql_let(f"cast({value} AS DOUBLE)", "x", FLOAT_SQL)
+    if isinstance(kind, (T.DatetimeType, T.TimestampNTZType, T.BinaryType)):
+        return sql_let(f"to_json(named_struct('v', {value}))", "j", "nullif(substr(j, 6, length(j) - 6), '')")
+    return None
+
+
+def _plain_sql(value: str, kind: T.DataType, depth: int) -> str | None:
+    inner, outer = "\n" + "  " * (depth + 1), "\n" + "  " * depth
+
+    def wrap(pieces: str, opening: str, closing: str) -> str:
+        """An array of pieces between brackets, one a line."""
+        joined = f"array_join(p, {sql_text(',' + inner)})"
+        body = f"concat({sql_text(opening + inner)}, {joined}, {sql_text(outer + closing)})"
+        whole = sql_let(pieces, "p", f"CASE WHEN size(p) = 0 THEN '{opening}{closing}' ELSE {body} END")
+        return f"CASE WHEN {value} IS NOT NULL THEN {whole} END"
+
+    def nested(inside: str, kind: T.DataType) -> str | None:
+        written = _plain_sql(inside, kind, depth + 1)
+        return None if written is None else f"coalesce({written}, 'null')"
+
+    if isinstance(kind, T.StructType):
+        fields = {field.name: field for field in kind.fields}
+        if len({name.lower() for name in fields}) < len(kind.fields):
+            return None
+        members = []
+        for name in sorted(fields):
+            written = nested(f"{value}.`{name.replace('`', '``')}`", fields[name].dataType)
+            if written is None:
+                return None
+            members.append(f"concat({sql_text(json.dumps(name) + ': ')}, {written})")
+        return wrap(f"array({', '.join(members)})" if members else "cast(array() AS array<string>)", "{", "}")
+    if isinstance(kind, T.ArrayType):
+        written = nested(f"v{depth}", kind.elementType)
+        return written and wrap(f"transform({value}, v{depth} -> {written})", "[", "]")
+    if isinstance(kind, T.MapType) and isinstance(kind.keyType, T.StringType):
+        written = nested(f"element_at({value}, v{depth})", kind.valueType)
+        pair = f"concat({sql_let(f'v{depth}', 's', QUOTE_SQL)}, ': ', {written})"
+        return written and wrap(f"transform(array_sort(map_keys({value})), v{depth} -> {pair})", "{", "}")
+    return _plain_leaf(value, kind)
+
+
+def plain_json(context: str, kind: T.DataType) -> Column | None:
+    """A typed column, by name, as indented JSON with sorted keys and its values as given, nulls included.
+
+    One generated expression. None for types it can't write (variants, maps
+    whose keys aren't text, structs whose names differ in case only).
+    """
+    nested = isinstance(kind, (T.StructType, T.ArrayType, T.MapType))
+    written = _plain_sql(context, kind, 0) if nested else None
+    return None if written is None else F.expr(written)
+
+
 def null_paths(context: Column, schema: T.DataType, path: Column | str = "context") -> Column:
     """Paths of nulls inside arrays, such as ``context.transactions[2]``."""
     here = F.lit(path) if isinstance(path, str) else path

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.json_text import indented
+from ledgerloom.functions.json_text import indented, plain_json
 from ledgerloom.functions.labels import (
     CONFIDENCE_PATTERN,
     DECISION_PATTERN,
@@ -62,10 +63,14 @@ def shown_context(requests: DataFrame) -> Column:
     """Indented text of a request's context, its values as given; null if it can't be read.
 
     A struct is written as JSON, nulls included, so that the same request gives
-    the same prompt as a struct and as JSON text.
+    the same prompt as a struct and as JSON text. Structs, arrays and maps are
+    written by one generated expression; JSON text goes through Python.
     """
     kind = requests.schema["context"].dataType
     context = F.col("context")
+    written = plain_json("context", kind)
+    if written is not None:
+        return written
     if not isinstance(kind, T.StringType):
         context = F.to_json(context, {"ignoreNullFields": "false"})
     return indented(context)
@@ -76,6 +81,47 @@ def request_prompt(requests: DataFrame, system_text: str = SYSTEM_TEXT) -> Colum
     return prompt(F.col("instruction"), shown_context(requests), system_text)
 
 
+# What a guarded model gives back.
+ANSWER = T.StructType([T.StructField("response", T.StringType()), T.StructField("error", T.StringType())])
+
+
+def _attempted(answer: Callable[[pd.Series], pd.Series], prompts: pd.Series) -> pd.DataFrame:
+    """Responses of a batch; one that fails is halved until the prompts that fail stand alone."""
+    waiting, parts = [prompts], []
+    while waiting:
+        part = waiting.pop()
+        try:
+            said = list(answer(part))
+            if len(said) != len(part):
+                raise ValueError(f"{len(said)} responses for {len(part)} prompts")
+            parts.append(pd.DataFrame({"response": said, "error": None}, part.index, dtype=object))
+        except Exception as problem:  # a user's model may raise anything
+            if len(part) > 1:
+                half = len(part) // 2
+                waiting += [part.iloc[half:], part.iloc[:half]]
+            else:
+                text = f"{type(problem).__name__}: {problem}"
+                parts.append(pd.DataFrame({"response": None, "error": text}, part.index, dtype=object))
+    return pd.concat(parts) if parts else pd.DataFrame({"response": [], "error": []}, dtype=object)
+
+
+def guarded(answer: Callable[[pd.Series], pd.Series]) -> Callable[[Column], Column]:
+    """A function from prompts to responses as a model for ``decide`` whose exceptions become errors of their rows.
+
+    ``answer`` gets a batch of prompts. If it raises, or gives back another
+    number of responses, the batch is tried again in halves, so that k failing
+    prompts of n cost about k log n further calls and the rest still get their
+    responses. It must therefore give the same response to a prompt in any batch.
+    """
+
+    @F.pandas_udf(ANSWER)
+    def said(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for prompts in batches:
+            yield _attempted(answer, prompts)
+
+    return said
+
+
 def decide(
     requests: DataFrame,
     generate: Callable[[Column], Column],
@@ -84,7 +130,8 @@ def decide(
     """Requests -> ``decision, explanation, confidence``.
 
     ``generate`` maps prompt to response text, normally a pandas UDF around a
-    model. Nothing here keeps state, so batch and streaming frames both work. A
+    model, or to a struct of ``response`` and ``error`` as ``guarded`` does. A
+    model that raises ends the job unless it is guarded. Nothing here keeps state, so batch and streaming frames both work. A
     request that can't be read does not end the job: ``error`` says what is
     wrong (null otherwise), the model is given an empty prompt for it, and what
     it answers is not used, so the decision is that of an empty response.
@@ -98,8 +145,12 @@ def decide(
     asked = shown.withColumn("error", error).withColumn(
         "_prompt", F.coalesce(prompt(F.col("instruction"), F.col("_shown"), system_text), F.lit(""))
     )
-    answered = asked.withColumn("_said", generate(F.col("_prompt"))).withColumn(
-        "response", F.when(F.col("error").isNull(), F.col("_said"))
+    said = asked.withColumn("_said", generate(F.col("_prompt")))
+    response, failed = F.col("_said"), F.lit(None).cast("string")
+    if isinstance(said.schema["_said"].dataType, T.StructType):
+        response, failed = F.col("_said.response"), F.concat(F.lit("model failed: "), F.col("_said.error"))
+    answered = said.withColumn("response", F.when(F.col("error").isNull(), response)).withColumn(
+        "error", F.coalesce("error", failed)
     )
     return (
         parsed(answered, "response")

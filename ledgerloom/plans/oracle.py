@@ -187,6 +187,17 @@ SELECT event_id, '{{"amount": ' || {rounded('value')} || ', "props": {{"k": ' ||
   || '}}, "seen": [1, 2.5, ' || cast(format('{{:.1f}}', value) AS DOUBLE) || '], "type": "' || event_type
   || '", "year": "' || year(ts) || '"}}' AS context, 0::BIGINT AS problems FROM events"""
 
+_free_form = """
+free AS (SELECT event_id, event_type, event_id % 11 AS form, event_id % 3 AS shape, CASE WHEN event_id % 11 NOT IN (5, 7, 9) THEN
+  '{"kind": "' || event_type || '", "props": {"k": ' || (props->>'k') || '}, "sizes": ' || CASE event_id % 3
+    WHEN 0 THEN '[null, ' || user_id || ', null]' WHEN 1 THEN '[[], {"deep": [true, null]}]' ELSE '{}' END || '}' END AS context
+  FROM events)"""
+_left = "null found in context.sizes"
+ORACLE["context_problems"] = f"""
+WITH {_free_form} SELECT event_id, context, CASE form WHEN 5 THEN 'context is not an object' WHEN 7 THEN 'context is not JSON'
+  WHEN 9 THEN 'context is missing' ELSE CASE shape WHEN 0 THEN '{_left}[0]; {_left}[2]' WHEN 1 THEN '{_left}[1].deep[1]'
+  ELSE '' END END AS problems FROM free"""
+
 _doc_context = """('{"lang": "' || lang || '", "size": ' || length(text) || '}')"""
 _doc_instruction = "'Summarise the text.'"
 _doc_key = (
@@ -240,6 +251,14 @@ def prompt(instruction: str, context: str) -> str:
     return f"({lit(opening)} || {instruction} || {lit(chr(10) + 'Context:' + chr(10))} || {context} || {lit(closing)})"
 
 
+_free_lines = """'{' || chr(10) || '  "kind": "' || event_type || '",' || chr(10) || '  "props": {' || chr(10) || '    "k": '
+  || (context::JSON->'props'->>'k') || chr(10) || '  },' || chr(10) || '  "sizes": {}' || chr(10) || '}'"""
+ORACLE["prompt_free_form"] = f"""
+WITH {_free_form}, p AS (SELECT *, {prompt(lit("Judge the event."), _free_lines)} AS prompt FROM free
+  WHERE context IS NOT NULL AND shape = 2)
+SELECT 'event-' || event_id AS id, md5(prompt) AS prompt_md5, md5(prompt || 'Decision: APPROVE' || chr(10) || 'Reason: '
+  || event_type || chr(10) || '<|eot_id|>') AS text_md5 FROM p"""
+
 _tall = (
     "('{' || chr(10) || '  \"lang\": \"' || lang || '\",' || chr(10) || '  \"n_chars\": ' || n_chars || ',' || chr(10)"
     " || '  \"source\": \"' || source || '\"' || chr(10) || '}')"
@@ -732,6 +751,22 @@ e AS (SELECT *, 'The request has ' || n || ' characters.' AS e,
   CASE n % 3 WHEN 0 THEN 'APPROVE' WHEN 1 THEN 'REJECT' ELSE 'HOLD' END AS l FROM p)
 SELECT o_orderkey, {bucket('l')} AS decision, e AS explanation, {score('l', 'e')} AS confidence FROM e"""
 
+_line = "chr(10) || '    {' || chr(10) || '      \"amount\": ' || o_totalprice || ',' || chr(10) || '      \"note\": null'"
+_error_context = (
+    "('{' || chr(10) || '  \"customer\": {' || chr(10) || '    \"id\": ' || CASE WHEN o_orderkey % 3 > 0"
+    " THEN cast(o_custkey AS VARCHAR) ELSE 'null' END || chr(10) || '  },' || chr(10) || '  \"lines\": '"
+    f" || CASE WHEN o_orderkey % 2 = 0 THEN '[' || {_line} || chr(10) || '    }},' || chr(10) || '    null' || chr(10) || '  ]'"
+    " ELSE '[]' END || ',' || chr(10) || '  \"status\": \"' || o_orderstatus || '\"' || chr(10) || '}')"
+)
+_error_prompt = prompt("('Check order ' || o_orderpriority)", _error_context)
+ORACLE["decision_errors"] = f"""
+WITH p AS (SELECT o_orderkey, length({_error_prompt}) || ' characters.' AS said,
+  CASE WHEN o_orderkey % 7 = 0 THEN 'instruction is missing' WHEN o_orderkey % 5 = 0 THEN 'context is missing'
+  WHEN o_orderstatus = 'P' THEN 'model failed: ValueError: pending' END AS error FROM orders),
+e AS (SELECT *, CASE WHEN error IS NULL THEN said ELSE '' END AS e,
+  CASE WHEN error IS NULL THEN 'APPROVE' ELSE 'UNKNOWN' END AS l FROM p)
+SELECT o_orderkey, {bucket('l')} AS decision, e AS explanation, {score('l', 'e')} AS confidence, error FROM e"""
+
 # --- evaluation -------------------------------------------------------------------
 
 _scored = """

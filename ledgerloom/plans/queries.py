@@ -122,6 +122,32 @@ def json_context(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _free_form(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as JSON text of changing shape: nulls in lists and objects, numbers in texts, missing and broken contexts."""
+    key, kind = F.col("event_id"), F.col("event_type")
+    sizes = (
+        F.when(key % 3 == 0, F.concat(F.lit("[null, "), F.col("user_id").cast("string"), F.lit(", null]")))
+        .when(key % 3 == 1, F.lit('[[], {"deep": [true, null], "gone": null}]'))
+        .otherwise(F.lit("{}"))
+    )
+    whole = F.concat(F.lit('{"sizes": '), sizes, F.lit(', "kind": "'), kind, F.lit('", "props": '), F.col("props"), F.lit("}"))
+    context = (
+        F.when(key % 11 == 5, F.concat(F.lit("["), whole, F.lit("]")))
+        .when(key % 11 == 7, F.lit("{broken"))
+        .when(key % 11 != 9, whole)
+    )
+    return table(spark, folder, "events").select("event_id", kind.alias("category"), context.alias("context"))
+
+
+@query
+def context_problems(spark: SparkSession, folder: str) -> DataFrame:
+    """What is wrong with free-form contexts: nulls left in lists, texts that are no JSON object, none at all."""
+    canonical = _free_form(spark, folder).withColumn("canonical", json_text.canonical_context("context"))
+    return canonical.select(
+        "event_id", F.col("canonical.json").alias("context"), F.array_join("canonical.problems", "; ").alias("problems")
+    )
+
+
 # --- records ----------------------------------------------------------------------
 
 
@@ -228,6 +254,20 @@ def prompt_text(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def prompt_free_form(spark: SparkSession, folder: str) -> DataFrame:
+    """Free-form contexts as canonical records, the valid ones rendered with indented contexts."""
+    raw = _free_form(spark, folder).select(
+        F.concat(F.lit("event-"), F.col("event_id").cast("string")).alias("id"),
+        F.lit("Judge the event.").alias("instruction"),
+        "context",
+        F.concat(F.lit("Decision: APPROVE\nReason: "), F.col("category")).alias("output"),
+        "category",
+    )
+    rendered = render.enriched(records.accepted(records.canonical_records(raw)))
+    return rendered.select("id", F.md5("prompt").alias("prompt_md5"), F.md5("text").alias("text_md5"))
+
+
 @query
 def length_stats(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -891,6 +931,36 @@ def decision_scoring(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _strict_model(prompts: pd.Series) -> pd.Series:
+    """A model that can't answer about pending orders."""
+    if prompts.str.contains('"status": "P"', regex=False).any():
+        raise ValueError("pending")
+    return prompts.map(lambda prompt: f"Decision: Approve\nReason: {len(prompt)} characters.")
+
+
+@query
+def decision_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Typed requests with nulls at every level, some unreadable, and a model that raises on some of the rest."""
+    key = F.col("o_orderkey")
+    lines = F.array(
+        F.struct(F.col("o_totalprice").alias("amount"), F.lit(None).cast("string").alias("note")),
+        F.lit(None).cast("struct<amount: double, note: string>"),
+    )
+    context = F.struct(
+        F.when(key % 2 == 0, lines).otherwise(F.slice(lines, 1, 0)).alias("lines"),
+        F.col("o_orderstatus").alias("status"),
+        F.struct(F.when(key % 3 > 0, F.col("o_custkey")).alias("id")).alias("customer"),
+    )
+    requests = table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.when(key % 7 > 0, F.concat(F.lit("Check order "), F.col("o_orderpriority"))).alias("instruction"),
+        F.when(key % 5 > 0, context).alias("context"),
+    )
+    return responses.decide(requests, responses.guarded(_strict_model)).select(
+        "o_orderkey", "decision", "explanation", "confidence", "error"
+    )
+
+
 # --- evaluation -------------------------------------------------------------------
 
 

@@ -1,11 +1,14 @@
 import json
 import os
+from datetime import datetime
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions import text
+from ledgerloom.functions.json_text import indented
 from ledgerloom.operators import responses
 from ledgerloom.plans import corpus_build
 from ledgerloom.session import checkpointed, drop_written_tables, shared_folder
@@ -54,6 +57,65 @@ def test_stream_equals_batch(spark, tmp_path):
     assert {r[3] for r in rows} == {1.0}
 
 
+def test_guarded_model_stream_and_batch(spark, tmp_path):
+    """One bad prompt among many fails alone, in a batch, in a stream, and for a model that loses responses."""
+    folder = tmp_path / "requests"
+    folder.mkdir()
+    lines = [json.dumps({"id": str(n), "instruction": "Check.", "context": {"n": n}}) for n in range(40)]
+    (folder / "0.json").write_text("\n".join(lines))
+
+    def model(prompts):
+        if prompts.str.contains('"n": 17\n', regex=False).any():
+            raise RuntimeError("17")
+        if len(prompts) == 1 and '"n": 3\n' in prompts.iloc[0]:
+            return prompts.iloc[:0]
+        if len(prompts) > 1 and prompts.str.contains('"n": 3\n', regex=False).any():
+            return prompts.iloc[1:]
+        return "Decision: APPROVE\nReason: " + prompts.str.extract(r'"n": (\d+)')[0]
+
+    guarded = responses.guarded(model)
+    requests = spark.read.schema(decisions.REQUEST_SCHEMA).json(str(folder))
+    rows = {r.id: (r.decision, r.explanation, r.error) for r in responses.decide(requests, guarded).collect()}
+    assert {name: found for name, found in rows.items() if found[2]} == {
+        "3": (rows["3"][0], "", "model failed: ValueError: 0 responses for 1 prompts"),
+        "17": (rows["17"][0], "", "model failed: RuntimeError: 17"),
+    }
+    assert all(rows[str(n)][1] == str(n) for n in range(40) if n not in (3, 17))
+    stream = decisions.start_decisions(
+        decisions.read_requests(spark, str(folder)), guarded, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True
+    )
+    stream.awaitTermination(120)
+    assert stream.exception() is None
+    written = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {r.id: (r.decision, r.explanation, r.error) for r in written} == rows
+    assert responses.decide(requests.limit(0), guarded).count() == 0
+
+
+def test_typed_requests_need_no_python_before_the_model(spark):
+    """Every type that can be written is written as the parser's path does, inside the JVM."""
+    kinds = (
+        "`b x`: double, a: array<struct<z: string, y: array<int>>>, m: map<string, float>, d: date, t: timestamp, e: struct<>,"
+        " dec: decimal(12,3), big: decimal(20,0), ok: boolean, bin: binary, n: void, nt: timestamp_ntz"
+    )
+    noon = datetime(2024, 1, 2, 12, 0, 0, 678000)
+    rows = [
+        ((1e16, [('é\n"q"\U0001d4b3', [1, None]), None, (None, [])], {"b": 0.1, "a": None, "Z": 1e10}, noon.date(), noon, (),
+          None, None, True, bytearray(b"ab"), None, noon),),
+        ((-0.0, None, {}, None, None, None, Decimal("1.5"), Decimal(10**19), None, None, None, None),),
+        ((12345.678, [], None, None, None, None, Decimal(2), Decimal(3), False, None, None, None),),
+        (None,),
+    ]
+    typed = spark.createDataFrame(rows, f"context struct<{kinds}>")
+    shown = typed.select(
+        responses.shown_context(typed).alias("jvm"), indented(F.to_json("context", {"ignoreNullFields": "false"})).alias("parsed")
+    )
+    assert [r.jvm for r in shown.collect()] == [r.parsed for r in shown.collect()]
+    plan = typed.select(responses.shown_context(typed))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    clashing = spark.sql("SELECT parse_json('{\"b\": 1, \"a\": [2]}') AS context")
+    assert json.loads(clashing.select(responses.shown_context(clashing)).first()[0]) == {"a": [2], "b": 1}
+
+
 @F.pandas_udf(T.StringType())
 def echo(prompts: pd.Series) -> pd.Series:
     return prompts.map(lambda prompt: f"Decision: APPROVE\nReason: {len(prompt)} characters\nConfidence: 0.5")
