@@ -536,6 +536,43 @@ j AS (SELECT *, abs(z) >= 2.5 AND o_orderpriority <> '1-URGENT' AS odd FROM z)
 SELECT o_orderkey, z AS z_score, CASE WHEN odd THEN 'OUTLIER' ELSE 'NORMAL' END AS decision,
   CASE WHEN odd THEN {fill('anomaly_outlier', z='z')} ELSE {fill('anomaly_normal', z='z')} END AS reason FROM j"""
 
+_unknown_text = {name: f"coalesce({money(name)}, 'unknown')" for name in ("a", "r", "f", "b")}
+_unknown_rules = {
+    "budget": ("a <= r", "'APPROVE'", "'REJECT'",
+        fill("budget_approve", amount=money("a"), remaining=money("r"), difference=money("r - a")),
+        fill("budget_reject", amount=_unknown_text["a"], remaining=_unknown_text["r"],
+             difference=f"coalesce({money('a - r')}, 'unknown')")),
+    "policy": ("len(broken) > 0", "'REJECT'", "'APPROVE'",
+        fill("policy_reject", problems="array_to_string(broken, '; ')"), lit(wording.REASONS["policy_approve"])),
+    "fraud": ("score >= 4", "'MANUAL_REVIEW'", "'ALLOW'", fill("fraud_review", score="score"), fill("fraud_allow", score="score")),
+    "spend_alert": ("spent > b OR f > b * 1.05::DOUBLE OR variance > 10", "'ALERT'", "'NO_ALERT'",
+        fill("spend_alert", forecast=_unknown_text["f"], variance="coalesce(cast(variance AS VARCHAR), 'unknown')",
+             budget=_unknown_text["b"]),
+        fill("spend_quiet", forecast=_unknown_text["f"], budget=_unknown_text["b"])),
+    "anomaly": ("abs(z) >= 2.5 AND NOT coalesce(id % 2 > 0 AND kind = 'view', false)", "'OUTLIER'", "'NORMAL'",
+        fill("anomaly_outlier", z="z"), fill("anomaly_normal", z="coalesce(cast(z AS VARCHAR), 'unknown')")),
+}
+ORACLE["rules_unknown_facts"] = f"""
+WITH k AS (SELECT event_id AS id, event_type AS kind, CASE WHEN event_id % 5 > 0 THEN value END AS a,
+  CASE WHEN event_id % 7 > 0 THEN 90.5::DOUBLE END AS r, CASE WHEN event_id % 3 > 0 THEN value END AS spent,
+  CASE WHEN event_id % 5 > 0 THEN CASE WHEN event_id % 2 = 0 THEN 64::DOUBLE ELSE 0::DOUBLE END END AS b,
+  CASE WHEN event_id % 7 > 0 THEN 65::DOUBLE END AS f,
+  CASE WHEN event_id % 3 > 0 AND event_id % 7 > 0
+    THEN {rounded('(value - 8) / CASE WHEN event_id % 5 > 0 THEN 32 ELSE 1 END')} END AS z FROM events),
+j AS (SELECT *, CASE WHEN b <> 0 THEN {rounded('(f - b) / b * 100')} END AS variance,
+  list_filter([
+    CASE WHEN NOT coalesce(id % 3 > 0 AND kind <> 'error', false) THEN {lit(wording.REASONS['policy_vendor'])} END,
+    CASE WHEN a > r THEN {fill('policy_limit', excess=money('a - r'))} END,
+    CASE WHEN a > 1000 THEN {lit(wording.REASONS['policy_manager'])} END,
+    CASE WHEN a > 75 AND id % 4 = 0 THEN {lit(wording.REASONS['policy_receipt'])} END], lambda x: x IS NOT NULL) AS broken,
+  cast(id % 2 > 0 AS INT) + cast(id % 3 > 0 AND kind = 'error' AS INT) + cast(id % 4 > 0 AND kind <> 'view' AS INT)
+    + cast(id % 7 > 0 AS INT) + cast(coalesce(a * 100 >= 5000, false) AS INT)
+    + cast(NOT (id % 11 > 0 AND kind <> 'click') AS INT) AS score FROM k)
+{" UNION ALL ".join(
+    f"SELECT id AS event_id, '{name}' AS rule, CASE WHEN {test} THEN {yes} ELSE {no} END AS decision,"
+    f" CASE WHEN {test} THEN {first} ELSE {second} END AS reason FROM j"
+    for name, (test, yes, no, first, second) in _unknown_rules.items())}"""
+
 # --- scenarios --------------------------------------------------------------------
 
 

@@ -839,6 +839,42 @@ def rule_anomaly(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("o_orderkey", "z_score", "decision", "reason")
 
 
+@query
+def rules_unknown_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Five rules over events whose facts are missing here and there; a missing deviation counts as the least one, 1."""
+    key, value, kind = F.col("event_id"), F.col("value"), F.col("event_type")
+
+    def known(every: int, fact: Column) -> Column:
+        """Null for one event in ``every``."""
+        return F.when(key % every > 0, fact)
+
+    facts = {
+        "budget": {"amount": known(5, value), "remaining": known(7, F.lit(90.5))},
+        "policy": {
+            "amount": known(5, value), "policy_limit": known(7, F.lit(90.5)), "vendor_approved": known(3, kind != "error"),
+            "receipt_attached": known(4, F.lit(True)), "manager_approved": F.lit(None).cast("boolean"),
+        },
+        "fraud": {
+            "amount": known(5, value * 100), "velocity_24h": known(2, F.lit(7)), "geo_mismatch": known(3, kind == "error"),
+            "new_device": known(4, kind != "view"), "after_hours": known(7, F.lit(True)), "card_present": known(11, kind != "click"),
+        },
+        "spend_alert": {
+            "budget": known(5, F.when(key % 2 == 0, 64.0).otherwise(0.0)), "actual_spend": known(3, value),
+            "forecast_spend": known(7, F.lit(65.0)),
+        },
+        "anomaly": {
+            "baseline_mean": known(3, F.lit(8.0)), "baseline_std": known(5, F.lit(32.0)), "observed": known(7, value),
+            "recurring": known(2, kind == "view"),
+        },
+    }
+    events = table(spark, folder, "events").select("event_id", "event_type", "value")
+    judged = [
+        F.struct(F.lit(name).alias("rule"), found.decision.alias("decision"), found.reason.alias("reason"))
+        for name, found in ((name, rules.verdict(name, **inputs)) for name, inputs in facts.items())
+    ]
+    return events.select("event_id", F.inline(F.array(*judged)))
+
+
 @query
 def scenario_generate(spark: SparkSession, folder: str) -> DataFrame:
     """One scenario per order, drawn from the order's key, which also picks the category."""
