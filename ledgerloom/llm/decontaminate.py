@@ -4,7 +4,8 @@ An item of m characters that occurs in a text with at most k edits shares at
 least m - q + 1 - kq of its q-grams with it, and their diagonals (place in the
 text less place in the item) span at most k. Shared q-grams are therefore counted
 per item in bands of diagonals that overlap by k; bands that reach the bound are
-verified by an alignment confined to the band.
+verified by an alignment confined to the band. Items of fewer than q characters
+have no q-gram; they are found without edits, as whole words.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import re
 from dataclasses import dataclass
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -173,9 +175,36 @@ def occurrences(texts: list[str], index: Index) -> list[list[tuple[int, int, int
     return [[(item, *found) for item, found in sorted(per.items())] for per in best]
 
 
+class ShortItems:
+    """Items too short for a q-gram, in one automaton, with a space at both ends."""
+
+    def __init__(self, items: dict[int, str]) -> None:
+        numbers: dict[str, list[int]] = {}
+        for number, item in items.items():
+            numbers.setdefault(item, []).append(number)
+        self.automaton = ahocorasick.Automaton()
+        for item, found in numbers.items():
+            self.automaton.add_word(f" {item} ", (len(item), found))
+        self.automaton.make_automaton()
+        self.any = bool(numbers)
+
+    def occurrences(self, text: str) -> list[tuple[int, int, int, int]]:
+        """(item, edits, start, end) of each item's first place in a normal text."""
+        first: dict[int, tuple[int, int, int, int]] = {}
+        if self.any:
+            for last, (length, numbers) in self.automaton.iter(f" {text} "):
+                start = last - length - 1
+                for number in numbers:
+                    first.setdefault(number, (number, 0, start, start + length))
+        return [first[number] for number in sorted(first)]
+
+
 @lru_cache(maxsize=1)
-def _index(items: tuple[str, ...], q: int, share: float) -> Index:
-    return Index(list(items), q, share)
+def _index(items: tuple[str, ...], q: int, share: float) -> tuple[Index, list[int], ShortItems]:
+    """What finds the items of ``q`` and more characters, their numbers, and what finds the shorter ones."""
+    long = [number for number, item in enumerate(items) if len(item) >= q]
+    short = {number: item for number, item in enumerate(items) if len(item) < q}
+    return Index([items[number] for number in long], q, share), long, ShortItems(short)
 
 
 def contaminations(
@@ -195,7 +224,8 @@ def contaminations(
     letters and digits as one space); ``start`` and ``end`` count characters of
     the document's normal form. An item occurs if at most ``edits`` times its
     length separates it from a piece of the text; short items get fewer, so that
-    the q-gram bound stays positive. Items of under ``q`` characters are skipped.
+    the q-gram bound stays positive. Items of under ``q`` characters occur where
+    their words stand whole and without edits.
 
     The items are sent to the tasks in blocks of about ``block_chars`` characters,
     one pass over the documents each, whatever their number. Documents stay where
@@ -217,11 +247,11 @@ def contaminations(
     found = None
     for number in range(blocks):
         rows_of = [(row["item"], normal(row["text"])) for row in items.filter(block == number).collect()]
-        rows_of = sorted(((name, text) for name, text in rows_of if len(text) >= q), key=lambda row: (str(row[0]), row[1]))
+        rows_of = sorted(((name, text) for name, text in rows_of if text), key=lambda row: (str(row[0]), row[1]))
         shared = docs.sparkSession.sparkContext.broadcast(rows_of)
 
         def rows(batch: pa.RecordBatch, shared=shared) -> dict:
-            index = _index(tuple(text for _, text in shared.value), q, edits)
+            index, long, short = _index(tuple(text for _, text in shared.value), q, edits)
             names = [name for name, _ in shared.value]
             ids = batch.column("id").to_pylist()
             texts = [normal(text) for text in batch.column("text").to_pylist()]
@@ -233,7 +263,8 @@ def contaminations(
                     chars += len(texts[end])
                     end += 1
                 for at, hits in enumerate(occurrences(texts[start:end], index), start):
-                    out += [(ids[at], names[item], *rest) for item, *rest in hits]
+                    out += [(ids[at], names[long[item]], *rest) for item, *rest in hits]
+                    out += [(ids[at], names[item], *rest) for item, *rest in short.occurrences(texts[at])]
                 start = end
             columns = list(zip(*out, strict=True)) or [()] * 5
             return dict(zip(schema.names, map(list, columns), strict=True))

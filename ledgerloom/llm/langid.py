@@ -31,6 +31,9 @@ KNOWN_WORDS = 300_000
 #: Texts scored at a time.
 BATCH = 512
 _SAFE_LENGTH = 32
+#: Longer words are learned from in parts of this length, so that a task's arrays stay bounded.
+LONGEST_LEARNED = 1 << 16
+_PAD = "\0"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 20
 #: Ids fall into 65,536 buckets by the leading bits of their hash.
@@ -138,6 +141,63 @@ def expected(lattice: list[np.ndarray], chances: np.ndarray, weights: np.ndarray
     return counts[:size]
 
 
+def padded_lattice(own: Pieces, words: list[str]) -> list[np.ndarray]:
+    """Lattice of words of any lengths, filled up with a sign of its own number, two beyond the vocabulary."""
+    length = max(map(len, words))
+    lattice = own.lattice([word.ljust(length, _PAD) for word in words])
+    lattice[0][np.arange(length)[:, None] >= np.array([len(word) for word in words])] = own.size + 2
+    return lattice
+
+
+def expected_long(lattice: list[np.ndarray], chances: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
+    """``expected`` for words of any length: sums are kept as logarithms, so that none runs empty.
+
+    ``chances`` is that of ``expected``; signs that fill words up are certain.
+    """
+    length, count = lattice[0].shape
+    kinds, widest = chances.shape[1], len(lattice)
+    chances = np.concatenate([chances, np.ones((1, kinds))])
+
+    def pieces(start: int, width: int) -> np.ndarray:
+        return chances[lattice[width - 1][start]]
+
+    ahead, back = np.zeros((length + 1, count, kinds)), np.zeros((length + 1, count, kinds))
+    for end in range(1, length + 1):
+        near = ahead[end - 1]
+        total = sum(
+            np.exp(ahead[end - width] - near) * pieces(end - width, width) for width in range(1, min(end, widest) + 1)
+        )
+        ahead[end] = near + np.log(total)
+    for start in range(length - 1, -1, -1):
+        near = back[start + 1]
+        total = sum(
+            np.exp(back[start + width] - near) * pieces(start, width) for width in range(1, min(length - start, widest) + 1)
+        )
+        back[start] = near + np.log(total)
+    counts = np.zeros((size + 3, kinds))
+    for start in range(length):
+        for width in range(1, min(length - start, widest) + 1):
+            ids = lattice[width - 1][start]
+            known = np.flatnonzero(ids < size)
+            if not len(known):
+                continue
+            share = np.exp(ahead[start, known] + back[start + width, known] - ahead[length, known])
+            mass = share * chances[ids[known]] * weights[known]
+            np.add.at(counts, ids[known], mass)
+    return counts[:size]
+
+
+def _long_groups(words: list[str], kinds: int) -> Iterator[list[int]]:
+    """Numbers of words of like length (within a factor of two), so many at a time that their arrays stay small."""
+    classes: dict[int, list[int]] = {}
+    for number, word in enumerate(words):
+        classes.setdefault(len(word).bit_length(), []).append(number)
+    for bits, numbers in sorted(classes.items()):
+        step = max(1, 2_000_000 // ((1 << bits) * kinds))
+        for start in range(0, len(numbers), step):
+            yield numbers[start : start + step]
+
+
 def _by_length(words: list[str]) -> dict[int, list[str]]:
     groups: dict[int, list[str]] = {}
     for word in words:
@@ -153,6 +213,10 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
+def _parts(word: str) -> list[str]:
+    return [word[at : at + LONGEST_LEARNED] for at in range(0, len(word), LONGEST_LEARNED)]
+
+
 class Scorer:
     """Word scores of a batch at a time; at most ``KNOWN_WORDS`` words and one batch's are remembered."""
 
@@ -212,7 +276,9 @@ def trained(
     Of each language the ``sample_docs`` documents with the smallest hash of their
     id are learned from (one at least), whole texts; that bounds the work. Where
     the sample ends is found by counts per hash bucket, and rows are ordered only
-    inside the one bucket of a language that holds its end. Every iteration is a
+    inside the one bucket of a language that holds its end. Words of any length are
+    learned from; one over ``LONGEST_LEARNED`` characters counts as parts of that
+    length. Every iteration is a
     job over the sample's distinct words; the driver gets one number per piece
     and language. Without labelled documents there are no languages.
     """
@@ -245,6 +311,13 @@ def trained(
             for group in _by_length([word for word in weights if len(word) <= _SAFE_LENGTH]).values():
                 lattice = own.lattice(["▁" + word for word in group])
                 total += expected(lattice, shared.value, np.array([weights[word] for word in group]), own.size)
+            long = [
+                (part, weight) for word, weight in weights.items() if len(word) > _SAFE_LENGTH for part in _parts("▁" + word)
+            ]
+            texts = [part for part, _ in long]
+            for numbers in _long_groups(texts, total.shape[1]):
+                lattice = padded_lattice(own, [texts[number] for number in numbers])
+                total += expected_long(lattice, shared.value, np.array([long[number][1] for number in numbers]), own.size)
             piece, lang = np.nonzero(total)
             return {"piece": piece.astype(np.int32), "lang": lang.astype(np.int32), "mass": total[piece, lang]}
 

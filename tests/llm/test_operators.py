@@ -200,6 +200,8 @@ def test_decontamination(spark):
                 edits = edit_distance_inside(item, decontaminate.normal(text))
                 assert mine.get((doc_id, item_id)) == (edits if edits <= budget(len(item)) else None)
         assert (None, 0) in mine
+        # an item under q characters is found where its words stand whole, without edits
+        assert not any(item in (50, 51, 52) for _, item in mine)
     kept = decontaminate.clean(docs, benchmark)
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == {d for d, _ in rows if d is not None and not any(k[0] == d for k in mine)}
@@ -207,6 +209,26 @@ def test_decontamination(spark):
     assert decontaminate.contaminations(docs, benchmark.limit(0)).collect() == []
 
 
+def test_short_benchmark_items(spark):
+    """Items below q characters are found as whole words, all of them, against a plain search."""
+    draw = random.Random(8)
+    words = ["a", "ab", "abc", "b", "éa", "x1"]
+    texts = [" ".join(draw.choices(words, k=draw.choice([0, 1, 5, 40]))) for _ in range(60)] + ["abcab", "A-b!", None]
+    items = [(n, " ".join(draw.choices(words, k=draw.choice([1, 2, 3])))) for n in range(40)] + [(90, "!?"), (91, None), (5, "ab")]
+    docs = table_of(spark, list(enumerate(texts)))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    expected = set()
+    for doc_id, text in enumerate(texts):
+        for item_id, item in items:
+            wanted, whole = decontaminate.normal(item or ""), decontaminate.normal(text or "")
+            start = f" {whole} ".find(f" {wanted} ") if wanted else -1
+            if start >= 0 and len(wanted) < decontaminate.Q:
+                expected.add((doc_id, item_id, 0, start, start + len(wanted)))
+    for block_chars in (2_000_000, 60):
+        found = decontaminate.contaminations(docs, benchmark, block_chars=block_chars).collect()
+        assert {tuple(r) for r in found if r["end"] - r["start"] < decontaminate.Q} == expected and len(expected) > 100
+
+
 def brute_deleted(rows, min_words):
     """Lines covered by a run of enough words that also stands earlier; every run is looked at."""
     docs = sorted({(d is None, d or 0, xxhash.xxh64_intdigest(t or "", 42), t or "") for d, t in rows}, key=lambda x: x[:2] + ((x[2] ^ 1 << 63),))
@@ -289,6 +311,50 @@ def test_forward_sums_all_segmentations():
     assert np.isfinite(langid.forward(pieces.lattice([long]), langid._padded(chances))).all()
 
 
+def test_expected_counts_of_long_words():
+    """As the plain sums where those hold; beyond, the slope of the forward probability."""
+    import numpy as np
+
+    pieces = langid.pieces_of(PIECES)
+    chances = langid._padded(np.random.default_rng(0).random((pieces.size, 2)) / 1000)
+    words = ["▁the", "▁thing", "▁漢x", "▁straßenbahnhof"]
+    weights = np.array([[1.0, 0.0], [2.0, 1.0], [0.5, 3.0], [1.0, 4.0]])
+    plain = sum(
+        langid.expected(pieces.lattice([word]), chances, weights[at : at + 1], pieces.size) for at, word in enumerate(words)
+    )
+    together = langid.expected_long(langid.padded_lattice(pieces, words), chances, weights, pieces.size)
+    assert np.allclose(plain, together, rtol=1e-9, atol=1e-12)
+    long = "▁" + "überraschend漢字" * 60
+    counts = langid.expected_long(langid.padded_lattice(pieces, [long]), chances, np.ones((1, 2)), pieces.size)
+    assert np.isfinite(counts).all()
+    inside = [name for name in pieces.names if name in long]
+    assert len(inside) > 10
+    for piece in inside:
+        at, step = pieces.names.index(piece), 1e-3
+        more, less = chances.copy(), chances.copy()
+        more[at] *= 1 + step
+        less[at] /= 1 + step
+        ends = [langid.forward(pieces.lattice([long]), changed)[0] for changed in (more, less)]
+        slope = (ends[0] - ends[1]) / (2 * np.log1p(step))
+        assert counts[at] == pytest.approx(slope, rel=1e-3, abs=1e-6)
+    groups = list(langid._long_groups(["a" * n for n in (40, 33, 5000, 64, 70_000)], 2))
+    assert sorted(at for group in groups for at in group) == [0, 1, 2, 3, 4] and [0, 1] in groups
+
+
+def test_language_without_spaces(spark):
+    """Documents that are one word of hundreds of characters are learned from like any other."""
+    draw = random.Random(4)
+    letters = {"xx": "かきくけこさしすせそ", "yy": "たちつてとなにぬねの"}
+    rows = [
+        (i, "".join(draw.choices(letters[lang], k=draw.choice([20, 200, 900]))), lang, "s") for i in range(100) for lang in [["xx", "yy"][i % 2]]
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    langs, chances = langid.trained(docs, PIECES)
+    found = {r["id"]: r["lang_pred"] for r in langid.identified(docs, langs, chances, PIECES).collect()}
+    held = [row for row in rows if zlib.crc32(str(row[0]).encode()) % 5 == 0]
+    assert held and all(found[row[0]] == row[2] for row in held)
+
+
 def test_language_id(spark, awkward):
     letters = {"xx": "abcde", "yy": "vwxyz"}
     draw = random.Random(1)
