@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.json_text import float_text
 from ledgerloom.functions.text import fill, money, round_exact
-from ledgerloom.operators.scale import join_group_facts
+from ledgerloom.operators.scale import HOT_ROWS, broadcast_if_small, join_group_facts
 from ledgerloom.operators.wording import REASONS, VENDOR_BUCKETS
+from ledgerloom.session import checkpointed
 
 DAY_MICROS = 86_400 * 1_000_000
+#: Parts into which the velocity's crowded time buckets are cut.
+FINER = 1_000
 
 
 @dataclass(frozen=True)
@@ -399,6 +402,8 @@ def with_velocity(
     name: str = "velocity_24h",
     span_micros: int = DAY_MICROS,
     bucket_micros: int = 60 * 1_000_000,
+    hot_rows: int = HOT_ROWS,
+    row_key: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of the same entity in the trailing span, this row and ties included.
 
@@ -410,6 +415,12 @@ def with_velocity(
     by the span, as the mark where it leaves the window. The bucket's running
     total travels as one more mark at its head, so the rows are shuffled once,
     by (entity, bucket), and nothing is joined.
+
+    The counts are written first and show the buckets where over ``hot_rows``
+    rows of one entity enter or leave. Those rows are counted per instant, in
+    finer buckets (see ``_instants``), and get their counts by a join in which
+    hot instants are salted by ``row_key``. Rows without an entity are counted
+    together; a row without a time gets null.
     """
     if span_micros % bucket_micros:
         raise ValueError("the span must be a whole number of buckets")
@@ -419,30 +430,51 @@ def with_velocity(
         return ((at - F.pmod(at, F.lit(bucket_micros))) / F.lit(bucket_micros)).cast("bigint")
 
     timed = df.withColumn("_at", micros.cast("bigint"))
-    counts = timed.groupBy(entity, bucket(F.col("_at")).alias("_bucket")).agg(
-        F.count("*").alias("_count")
-    )
+    timed = timed.withColumn("_bucket", bucket(F.col("_at")))
+    known = timed.filter(F.col("_at").isNotNull())
+    counts = checkpointed(known.groupBy(entity, "_bucket").agg(F.count("*").alias("_count")))
     along = Window.partitionBy(entity).orderBy("_bucket")
     done = F.sum("_count").over(along.rangeBetween(Window.unboundedPreceding, -1))
     gone = F.sum("_count").over(along.rangeBetween(Window.unboundedPreceding, -buckets - 1))
-    entering = timed.select(
-        entity,
-        bucket(F.col("_at")).alias("_bucket"),
-        "_at",
-        F.struct(*[F.col(column) for column in df.columns]).alias("_row"),
-        F.lit(None).cast("bigint").alias("_between"),
+    heads = counts.select(
+        entity, "_bucket", F.lit(None).cast("bigint").alias("_at"),
+        (F.coalesce(done, F.lit(0)) - F.coalesce(gone, F.lit(0))).alias("_between"),
     )
-    no_row = F.lit(None).cast(entering.schema["_row"].dataType).alias("_row")
     exit_at = F.col("_at") + F.lit(span_micros)
-    leaving = timed.select(
-        entity, bucket(exit_at).alias("_bucket"), exit_at.alias("_at"), no_row,
-        F.lit(None).cast("bigint").alias("_between"),
+    leaves = known.select(entity, bucket(exit_at).alias("_bucket"), exit_at.alias("_at"))
+    crowded = counts.filter(F.col("_count") > hot_rows)
+    if crowded.isEmpty():
+        return _within_buckets(df, timed, leaves, heads, entity, name)
+    hot = checkpointed(
+        crowded.select(entity, F.explode(F.array(F.col("_bucket"), F.col("_bucket") + buckets)).alias("_bucket"))
+        .distinct()
+        .withColumn("_hot", F.lit(True))
     )
-    heads = counts.select(
-        entity, "_bucket", F.lit(None).cast("bigint").alias("_at"), no_row,
-        (F.coalesce(done, F.lit(0)) - F.coalesce(gone, F.lit(0))).alias("_between"),
+    cells = [entity, "_bucket"]
+    flagged, left, tops = (
+        broadcast_if_small(hot, cells, rows, hot_rows=hot_rows, row_key=key)
+        for rows, key in ((timed, row_key), (leaves, None), (heads, None))
+    )
+    cold = F.col("_hot").isNull()
+    usual = _within_buckets(
+        df, flagged.filter(cold), left.filter(cold).drop("_hot"), tops.filter(cold).drop("_hot"), entity, name
     )
-    marks = entering.unionByName(leaving).unionByName(heads)
+    facts = _instants(flagged.filter(~cold), left.filter(~cold), tops.filter(~cold), entity, bucket_micros, name)
+    crowd = flagged.filter(~cold).select(*df.columns, "_at")
+    found = broadcast_if_small(facts, [entity, "_at"], crowd, hot_rows=hot_rows, row_key=row_key)
+    return usual.unionByName(found.select(*df.columns, name))
+
+
+def _within_buckets(
+    df: DataFrame, timed: DataFrame, leaves: DataFrame, heads: DataFrame, entity: str, name: str
+) -> DataFrame:
+    """Velocity of the rows of ``timed`` by ordering rows, leaving marks and running totals within each bucket."""
+    row = F.struct(*[F.col(column) for column in df.columns]).alias("_row")
+    nothing = F.lit(None).cast("bigint").alias("_between")
+    entering = timed.select(entity, "_bucket", "_at", row, nothing)
+    no_row = F.lit(None).cast(entering.schema["_row"].dataType).alias("_row")
+    leaving = leaves.select(entity, "_bucket", "_at", no_row, nothing)
+    marks = entering.unionByName(leaving).unionByName(heads.select(entity, "_bucket", "_at", no_row, "_between"))
     inside = Window.partitionBy(entity, "_bucket").orderBy(F.col("_at").asc_nulls_first())
     so_far = inside.rangeBetween(Window.unboundedPreceding, 0)
     left = F.count(F.when(F.col("_row").isNull() & F.col("_at").isNotNull(), 1))
@@ -452,7 +484,45 @@ def with_velocity(
         - left.over(inside.rangeBetween(Window.unboundedPreceding, -1))
     )
     return (
-        marks.withColumn(name, inside_count.cast("bigint"))
+        marks.withColumn(name, F.when(F.col("_at").isNotNull(), inside_count.cast("bigint")))
         .filter(F.col("_row").isNotNull())
         .select("_row.*", name)
     )
+
+
+def _instants(
+    timed: DataFrame, leaves: DataFrame, heads: DataFrame, entity: str, bucket_micros: int, name: str
+) -> DataFrame:
+    """Velocity per (entity, instant) of crowded buckets.
+
+    Rows that enter and leave are first counted per instant, combined map-side.
+    A bucket is cut into ``FINER`` parts whose running totals start from the
+    bucket's own, so a task orders at most ``bucket_micros / FINER`` instants
+    of one part, however many rows they have.
+    """
+    fine = -(-bucket_micros // FINER)
+    zero = F.lit(0).cast("bigint")
+    one = F.lit(1).cast("bigint")
+    both = timed.select(entity, "_bucket", "_at", one.alias("_in"), zero.alias("_out")).unionByName(
+        leaves.select(entity, "_bucket", "_at", zero.alias("_in"), one.alias("_out"))
+    )
+    part = F.floor(F.pmod("_at", F.lit(bucket_micros)) / fine).cast("bigint").alias("_part")
+    instants = checkpointed(
+        both.groupBy(entity, "_bucket", "_at").agg(F.sum("_in").alias("_in"), F.sum("_out").alias("_out"))
+        .select("*", part)
+    )
+    nets = instants.groupBy(entity, "_bucket", "_part").agg(F.sum(F.col("_in") - F.col("_out")).alias("_net"))
+    nets = nets.unionByName(heads.select(entity, "_bucket", F.lit(-1).cast("bigint").alias("_part"), F.col("_between").alias("_net")))
+    before = F.sum("_net").over(
+        Window.partitionBy(entity, "_bucket").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    starts = nets.select(entity, "_bucket", "_part", before.alias("_between")).filter("_part >= 0")
+    nothing = F.lit(None).cast("bigint")
+    marks = instants.withColumn("_between", nothing).unionByName(
+        starts.select("*", nothing.alias("_at"), zero.alias("_in"), zero.alias("_out"))
+    )
+    inside = Window.partitionBy(entity, "_bucket", "_part").orderBy(F.col("_at").asc_nulls_first())
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    gone = F.coalesce(F.sum("_out").over(inside.rowsBetween(Window.unboundedPreceding, -1)), zero)
+    counted = F.coalesce(F.max("_between").over(so_far), zero) + F.sum("_in").over(so_far) - gone
+    return marks.withColumn(name, counted).filter("_in > 0").select(entity, "_at", name)

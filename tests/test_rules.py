@@ -101,6 +101,29 @@ def test_velocity_equals_brute_force(spark, partitions):
     assert got == {i: sum(1 for _, w2, t2 in rows if w2 == w and t - day <= t2 <= t) for i, w, t in rows}
 
 
+@pytest.mark.parametrize("hot_rows", [1_000_000, 40, 3, 0])
+def test_velocity_of_a_crowded_minute(spark, hot_rows):
+    """A third of all rows without an entity in one minute, some in one instant; rows a day later see them leave."""
+    import random
+
+    rng = random.Random(5)
+    minute, day = 60_000_000, 86_400_000_000
+    crowd = [(None, day + rng.choice([7, 7, 7, 59_999_999, 0, rng.randrange(minute)])) for _ in range(200)]
+    later = [(None, 2 * day + rng.choice([0, 7, 8, rng.randrange(minute)])) for _ in range(50)]
+    rest = [(rng.choice(["a", "b", None]), rng.randrange(0, 4) * day + rng.choice([7, rng.randrange(-minute, 3 * minute)])) for _ in range(350)]
+    rows = [(at, who, moment) for at, (who, moment) in enumerate(crowd + later + rest)] + [(1000, "a", None), (1001, None, None)]
+    df = spark.createDataFrame(rows, "id int, who string, at bigint")
+    counted = rules.with_velocity(df, "who", F.col("at"), hot_rows=hot_rows)
+    assert counted.columns == ["id", "who", "at", "velocity_24h"]
+    found = [(r.id, r.velocity_24h) for r in counted.collect()]
+    expected = {
+        at: None if t is None else sum(1 for _, w2, t2 in rows if w2 == who and t2 is not None and t - day <= t2 <= t)
+        for at, who, t in rows
+    }
+    assert len(found) == len(rows) and dict(found) == expected
+    assert rules.with_velocity(df.limit(0), "who", F.col("at"), hot_rows=hot_rows).count() == 0
+
+
 def test_baseline_is_the_same_for_hot_and_cold_entities(spark):
     rows = [(at, at % 2, round(at * 1.37, 2)) for at in range(200)]
     df = spark.createDataFrame(rows, "id int, who int, amount double")
