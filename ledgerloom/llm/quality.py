@@ -113,7 +113,7 @@ def learned(
     are equal but for case and white space are copies and count once. A word is a
     feature if it parts the labels by ``Z`` standard errors and a ratio of
     ``RATIO``; of these the ``features`` clearest are taken. Shape figures always
-    are features.
+    are features, beside the words; there are some two hundred of them.
     """
     sample = labels.filter(F.col("id").isNotNull()).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(sample_rows)
     texts = docs.join(F.broadcast(sample), "id")
@@ -149,10 +149,10 @@ def learned(
         pooled = F.col("n") / (yes + no)
         z = F.abs(hit / yes - miss / no) / F.sqrt(pooled * (F.lit(1.0) - pooled) * (1 / yes + 1 / no) + 1e-12)
         shape = F.col("feature").startswith("#")
-        chosen = counts.withColumns({"p": p, "q": q, "z": z}).filter(
-            shape | ((F.col("z") >= Z) & (F.abs(F.log(p / q)) >= math.log(RATIO)))
-        )
-        for row in chosen.orderBy(F.desc("z"), "feature").limit(features).collect():
+        rated = counts.withColumns({"p": p, "q": q, "z": z})
+        clear = rated.filter(~shape & (F.col("z") >= Z) & (F.abs(F.log(p / q)) >= math.log(RATIO)))
+        chosen = rated.filter(shape).unionByName(clear.orderBy(F.desc("z"), "feature").limit(features))
+        for row in chosen.collect():
             p_, q_ = row["p"], row["q"]
             absent = 0.0 if row["feature"].startswith("#") else math.log((1 - min(p_, 1 - 1e-6)) / (1 - min(q_, 1 - 1e-6)))
             out[kind][row["feature"]] = (math.log(p_ / q_), absent)
