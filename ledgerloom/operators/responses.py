@@ -87,22 +87,24 @@ ANSWER = T.StructType([T.StructField("response", T.StringType()), T.StructField(
 
 def _attempted(answer: Callable[[pd.Series], pd.Series], prompts: pd.Series) -> pd.DataFrame:
     """Responses of a batch; one that fails is halved until the prompts that fail stand alone."""
-    waiting, parts = [prompts], []
+    size = len(prompts)
+    said: list = [None] * size
+    errors: list = [None] * size
+    waiting = [(0, size)] if size else []
     while waiting:
-        part = waiting.pop()
+        start, end = waiting.pop()
         try:
-            said = list(answer(part))
-            if len(said) != len(part):
-                raise ValueError(f"{len(said)} responses for {len(part)} prompts")
-            parts.append(pd.DataFrame({"response": said, "error": None}, part.index, dtype=object))
+            found = list(answer(prompts.iloc[start:end]))
+            if len(found) != end - start:
+                raise ValueError(f"{len(found)} responses for {end - start} prompts")
+            said[start:end] = found
         except Exception as problem:  # a user's model may raise anything
-            if len(part) > 1:
-                half = len(part) // 2
-                waiting += [part.iloc[half:], part.iloc[:half]]
+            if end - start > 1:
+                half = (start + end) // 2
+                waiting += [(half, end), (start, half)]
             else:
-                text = f"{type(problem).__name__}: {problem}"
-                parts.append(pd.DataFrame({"response": None, "error": text}, part.index, dtype=object))
-    return pd.concat(parts) if parts else pd.DataFrame({"response": [], "error": []}, dtype=object)
+                errors[start] = f"{type(problem).__name__}: {problem}"
+    return pd.DataFrame({"response": said, "error": errors}, dtype=object)
 
 
 def guarded(answer: Callable[[pd.Series], pd.Series]) -> Callable[[Column], Column]:
