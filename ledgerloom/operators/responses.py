@@ -85,41 +85,75 @@ def request_prompt(requests: DataFrame, system_text: str = SYSTEM_TEXT) -> Colum
 ANSWER = T.StructType([T.StructField("response", T.StringType()), T.StructField("error", T.StringType())])
 
 
-def _attempted(answer: Callable[[pd.Series], pd.Series], prompts: pd.Series) -> pd.DataFrame:
-    """Responses of a batch; one that fails is halved until the prompts that fail stand alone."""
-    size = len(prompts)
+class _Tally:
+    """Prompts settled alone or in a group, and how many of them failed; older ones count less and less."""
+
+    #: Settled prompts after which both counts are halved.
+    MEMORY = 4096
+
+    def __init__(self) -> None:
+        self.settled = self.failed = 0.0
+
+    def add(self, settled: int, failed: int) -> None:
+        self.settled += settled
+        self.failed += failed
+        if self.settled > self.MEMORY:
+            self.settled /= 2
+            self.failed /= 2
+
+    def reach(self, most: int) -> int:
+        """Prompts in the next group, so that it fails about every second time."""
+        if self.failed * most <= 0.6 * self.settled:
+            return most
+        return max(1, int(0.6 * self.settled / self.failed))
+
+
+def _attempted(answer: Callable[[pd.Series], pd.Series], prompts: pd.Series, tally: _Tally) -> pd.DataFrame:
+    """Responses of a batch; a group that fails is halved until the prompts that fail stand alone."""
+    places: dict = {}
+    at = [places.setdefault(prompt, len(places)) for prompt in prompts]
+    distinct = pd.Series(list(places), dtype=object)
+    size = len(distinct)
     said: list = [None] * size
     errors: list = [None] * size
     waiting = [(0, size)] if size else []
     while waiting:
-        start, end = waiting.pop()
+        start, last = waiting.pop()
+        end = start + tally.reach(last - start)
+        if end < last:
+            waiting.append((end, last))
         try:
-            found = list(answer(prompts.iloc[start:end]))
+            found = list(answer(distinct.iloc[start:end]))
             if len(found) != end - start:
                 raise ValueError(f"{len(found)} responses for {end - start} prompts")
             said[start:end] = found
+            tally.add(end - start, 0)
         except Exception as problem:  # a user's model may raise anything
             if end - start > 1:
                 half = (start + end) // 2
                 waiting += [(half, end), (start, half)]
             else:
                 errors[start] = f"{type(problem).__name__}: {problem}"
-    return pd.DataFrame({"response": said, "error": errors}, dtype=object)
+                tally.add(1, 1)
+    return pd.DataFrame({"response": [said[i] for i in at], "error": [errors[i] for i in at]}, dtype=object)
 
 
 def guarded(answer: Callable[[pd.Series], pd.Series]) -> Callable[[Column], Column]:
     """A function from prompts to responses as a model for ``decide`` whose exceptions become errors of their rows.
 
-    ``answer`` gets a batch of prompts. If it raises, or gives back another
-    number of responses, the batch is tried again in halves, so that k failing
-    prompts of n cost about k log n further calls and the rest still get their
+    ``answer`` gets a batch of prompts, equal ones once. If it raises, or gives
+    back another number of responses, the batch is tried again in halves, and the
+    next groups of a task are as large as the share of failures so far lets
+    about every second one pass: rare failures cost a logarithm of calls each,
+    frequent ones hardly more than a call a prompt. The rest still get their
     responses. It must therefore give the same response to a prompt in any batch.
     """
 
     @F.pandas_udf(ANSWER)
     def said(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        tally = _Tally()
         for prompts in batches:
-            yield _attempted(answer, prompts)
+            yield _attempted(answer, prompts, tally)
 
     return said
 

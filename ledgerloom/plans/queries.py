@@ -967,11 +967,16 @@ def decision_scoring(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Model calls cost far more than the rows they are made of, so requests are dealt anew, whatever splits the table was cut into.
+MODEL_TASKS_PER_CORE = 4
+
+
 def _strict_model(prompts: pd.Series) -> pd.Series:
     """A model that can't answer about pending orders."""
-    if prompts.str.contains('"status": "P"', regex=False).any():
+    if any('"status": "P"' in prompt for prompt in prompts):
         raise ValueError("pending")
-    return prompts.map(lambda prompt: f"Decision: Approve\nReason: {len(prompt)} characters.")
+    said = [f"Decision: Approve\nReason: {len(prompt)} characters." for prompt in prompts]
+    return pd.Series(said, index=prompts.index, dtype=object)
 
 
 @query
@@ -987,7 +992,8 @@ def decision_errors(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderstatus").alias("status"),
         F.struct(F.when(key % 3 > 0, F.col("o_custkey")).alias("id")).alias("customer"),
     )
-    requests = table(spark, folder, "orders").select(
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    requests = orders.repartition(MODEL_TASKS_PER_CORE * spark.sparkContext.defaultParallelism).select(
         "o_orderkey",
         F.when(key % 7 > 0, F.concat(F.lit("Check order "), F.col("o_orderpriority"))).alias("instruction"),
         F.when(key % 5 > 0, context).alias("context"),

@@ -1,5 +1,6 @@
 import json
 import os
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -91,6 +92,37 @@ def test_guarded_model_stream_and_batch(spark, tmp_path):
     assert responses.decide(requests.limit(0), guarded).count() == 0
 
 
+def test_guarded_model_calls_grow_with_the_prompts():
+    """Many failures cost hardly more than a call a prompt, few ones some calls each, and equal prompts one call."""
+    calls = []
+
+    def model(prompts):
+        calls.append(len(prompts))
+        if any(prompt.endswith("bad") for prompt in prompts):
+            raise ValueError("bad")
+        return prompts.map(lambda prompt: "said " + prompt)
+
+    def run(*batches):
+        calls.clear()
+        parts = list(responses.guarded(model).func(iter([pd.Series(batch, dtype=object) for batch in batches])))
+        for batch, part in zip(batches, parts, strict=True):
+            failed = [prompt.endswith("bad") for prompt in batch]
+            assert list(part["response"]) == [None if f else "said " + p for p, f in zip(batch, failed, strict=True)]
+            assert list(part["error"]) == ["ValueError: bad" if f else None for f in failed]
+        return len(calls), sum(calls)
+
+    draw = random.Random(3)
+    third = [f"{n} bad" if draw.random() < 1 / 3 else str(n) for n in range(6000)]
+    made, asked = run(third[:3000], third[3000:])
+    assert made < 1.1 * len(third) and asked < 3 * len(third)
+    rare = ["77 bad" if n == 77 else "1500 bad" if n == 1500 else str(n) for n in range(3000)]
+    assert run(rare)[0] < 60
+    recovered = run([f"{n} bad" for n in range(3000)], *[[f"{k} {n}" for n in range(3000)] for k in range(20)])
+    assert recovered[0] < 3000 + 6000
+    assert run(["a", "b"] * 500) == (1, 2)
+    assert run(["a", "b bad"] * 500)[0] == 3
+
+
 def test_typed_requests_need_no_python_before_the_model(spark):
     """Every type that can be written is written as the parser's path does, inside the JVM."""
     kinds = (
