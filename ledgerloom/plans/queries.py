@@ -403,7 +403,11 @@ def _imported(records: DataFrame, source: str) -> DataFrame:
 
 def _as_records(spark: SparkSession, folder: str, *fields: Column) -> DataFrame:
     """Documents as JSON records of the given fields; null fields are left out."""
-    return table(spark, folder, "documents").select(
+    return _records_of(table(spark, folder, "documents"), *fields)
+
+
+def _records_of(docs: DataFrame, *fields: Column) -> DataFrame:
+    return docs.select(
         F.lit(3).alias("file_ord"), F.col("doc_id").alias("record_ord"), F.to_json(F.struct(*fields)).alias("record")
     )
 
@@ -423,12 +427,12 @@ def import_report(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def import_turns(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation records whose turns are pairs of lines; empty questions and missing answers only count."""
-    lines = F.split("text", "\n")
+    docs = table(spark, folder, "documents").withColumn("lines", F.split("text", "\n"))
     turns = F.transform(
-        F.sequence(F.lit(0), F.ceil(F.size(lines) / 2).cast("int") - 1),
-        lambda n: F.struct(F.get(lines, 2 * n).alias("query"), F.get(lines, 2 * n + 1).alias("final_answer")),
+        F.sequence(F.lit(0), F.ceil(F.size("lines") / 2).cast("int") - 1),
+        lambda n: F.struct(F.get("lines", 2 * n).alias("query"), F.get("lines", 2 * n + 1).alias("final_answer")),
     )
-    return _imported(_as_records(spark, folder, F.col("source").alias("company"), turns.alias("dialogue")), "convfinqa")
+    return _imported(_records_of(docs, F.col("source").alias("company"), turns.alias("dialogue")), "convfinqa")
 
 
 @query

@@ -166,11 +166,15 @@ def answer_text(answer: Column, reasoning: str) -> Column:
     return F.concat(answer, F.expr(trace))
 
 
-def _object(members: dict[str, Column]) -> Column:
+def _members(members: dict[str, Column]) -> Column:
     parts: list[Column] = []
     for at, (name, value) in enumerate(members.items()):
-        parts += [F.lit(("{" if at == 0 else ", ") + f'"{name}": '), value]
-    return F.concat(*parts, F.lit("}"))
+        parts += [F.lit(("" if at == 0 else ", ") + f'"{name}": '), value]
+    return F.concat(*parts)
+
+
+def _object(members: dict[str, Column]) -> Column:
+    return F.concat(F.lit("{"), _members(members), F.lit("}"))
 
 
 # --- converters ------------------------------------------------------------------
@@ -194,7 +198,7 @@ def _answered(rows: DataFrame, chains: dict[str, Sequence[str]], extra: Sequence
     )
 
 
-def _finished(rows: DataFrame, source: Source, context: Column) -> DataFrame:
+def _finished(rows: DataFrame, context: Column, category: Column, source: Column) -> DataFrame:
     """Raw records; needs ``turn_ord``, ``_id``, ``_question``, ``_answer``, ``_reasoning``."""
     return rows.select(
         "file_ord",
@@ -204,8 +208,8 @@ def _finished(rows: DataFrame, source: Source, context: Column) -> DataFrame:
         F.col("_question").alias("instruction"),
         context.alias("context"),
         decision_text(F.lit("ANSWER"), answer_text(F.col("_answer"), "_reasoning")).alias("output"),
-        F.lit(source.category).alias("category"),
-        F.lit(source.name).alias("source"),
+        category.alias("category"),
+        source.alias("source"),
     )
 
 
@@ -226,7 +230,7 @@ def report_rows(rows: DataFrame) -> DataFrame:
             "reasoning_steps": as_json("_reasoning"),
         }
     )
-    return _finished(answered.withColumn("turn_ord", F.lit(0)), source, context)
+    return _finished(answered.withColumn("turn_ord", F.lit(0)), context, F.lit(source.category), F.lit(source.name))
 
 
 def generic_rows(rows: DataFrame, source: Source) -> DataFrame:
@@ -241,7 +245,7 @@ def generic_rows(rows: DataFrame, source: Source) -> DataFrame:
             "reasoning_steps": as_json("_reasoning"),
         }
     )
-    return _finished(answered.withColumn("turn_ord", F.lit(0)), source, context)
+    return _finished(answered.withColumn("turn_ord", F.lit(0)), context, F.lit(source.category), F.lit(source.name))
 
 
 def turns_sql(document: str) -> str:
@@ -271,10 +275,13 @@ def with_history(rows: DataFrame, turns: str) -> DataFrame:
         sql_let(f"u.{name}", "s", QUOTE_SQL) for name in ("question", "answer")
     )
     pair = f"""concat('{{"question": ', {question}, ', "answer": ', {answer}, '}}')"""
+    # An inner explode would have the planner filter on the size of ``_usable``
+    # below it, which takes all turns of every record apart a second time.
     return (
         rows.withColumn("_usable", F.expr(f"filter({turns}, u -> u.usable)"))
         .withColumn("_written", F.expr(f"transform(_usable, u -> {pair})"))
-        .select("*", F.posexplode("_usable").alias("_before", "_turn"))
+        .select("*", F.posexplode_outer("_usable").alias("_before", "_turn"))
+        .filter(F.col("_before").isNotNull())
         .withColumn(
             "_history",
             F.expr("concat('[', array_join(slice(_written, 1, _before), ', '), ']')"),
@@ -283,35 +290,52 @@ def with_history(rows: DataFrame, turns: str) -> DataFrame:
     )
 
 
+def _question_sql() -> str:
+    """A record without turns as its only turn, read as a report question."""
+    names = ("question", "answer", "reasoning")
+    fields = ", ".join(f"'{name}', {picked_sql('_doc', FINQA[name], 'record')}" for name in names)
+    turn = f"""array(named_struct(
+  'turn_ord', 0, 'question', p.question.text, 'answer', p.answer.text, 'reasoning', p.reasoning,
+  'usable', {truthy_sql("p.question")} AND p.answer IS NOT NULL))"""
+    return sql_let(f"named_struct({fields})", "p", turn)
+
+
 def turn_rows(rows: DataFrame) -> DataFrame:
     """One row per usable turn of a conversation record.
 
     Unusable turns still count in the numbering. A record without turns is read
-    as a single report question.
+    as a single report question. Records are taken apart once, and what all turns
+    of a record share is written before they are told apart.
     """
-    source = SOURCES["convfinqa"]
-    told = with_history(_picked(rows, REPORT, ["company", "table"]), "_turns")
-    turns = told.select(
-        "*",
-        F.col("_turn.turn_ord").alias("turn_ord"),
-        F.col("_turn.question").alias("_question"),
-        F.col("_turn.answer").alias("_answer"),
-        F.col("_turn.reasoning").alias("_reasoning"),
-    ).withColumn("_id", F.format_string("%s-%03d", "_id", "turn_ord"))
-    context = _object(
+    def either(single: str, turn: str) -> Column:
+        return F.when(F.col("_alone"), F.lit(single)).otherwise(F.lit(turn))
+
+    single, source = SOURCES["finqa"], SOURCES["convfinqa"]
+    name = either(single.name, source.name)
+    shared = _members(
         {
-            "dataset": quote(F.lit(source.name)),
+            "dataset": quote(name),
             "company": as_json("_company"),
             "table": as_json("_table"),
             "report_text": _text_json(REPORT),
-            "conversation_history": F.col("_history"),
-            "reasoning_steps": as_json("_reasoning"),
         }
     )
-    alone = rows.filter(F.coalesce(F.size("_turns"), F.lit(0)) <= 0).withColumn(
-        "_id", F.concat(F.col("_id"), F.lit("-000"))
+    records = (
+        _picked(rows, REPORT, ["company", "table"])
+        .withColumn("_alone", F.coalesce(F.size("_turns"), F.lit(0)) <= 0)
+        .withColumn("_asked", F.expr(f"CASE WHEN _alone THEN {_question_sql()} ELSE _turns END"))
+        .select("file_ord", "record_ord", "_id", "_alone", "_asked", shared.alias("_shared"))
     )
-    return _finished(turns, source, context).unionByName(report_rows(alone))
+    turns = with_history(records, "_asked").select(
+        "*",
+        F.col("_turn.turn_ord").alias("turn_ord"),
+        F.col("_turn.question").alias("_question"),
+        F.col("_turn.answer").alias("_answer"),
+        F.col("_turn.reasoning").alias("_reasoning"),
+    ).withColumn("_id", F.format_string("%s-%03d", "_id", "turn_ord"))
+    told = F.when(F.col("_alone"), "").otherwise(F.concat(F.lit(', "conversation_history": '), "_history"))
+    context = F.concat(F.lit("{"), "_shared", told, F.lit(", "), _members({"reasoning_steps": as_json("_reasoning")}), F.lit("}"))
+    return _finished(turns, context, either(single.category, source.category), name)
 
 
 def paired_turns(

@@ -138,6 +138,37 @@ def test_turns_and_history(spark, tmp_path):
     assert got["convfinqa-000-000000-004"].source == "ConvFinQA"
 
 
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_conversation_records_are_taken_apart_once(spark):
+    """Turns, unusable turns and records without turns come from one pass over records that are parsed once."""
+    told = [
+        {"company": "A", "dialogue": [{"query": "one?", "final_answer": 1}, {"query": "", "final_answer": 2}, {"query": "three?", "final_answer": 3}]},
+        {"company": "B", "dialogue": [{"query": "", "final_answer": 1}]},
+        {"company": "C", "dialogue": [], "question": "alone?", "answer": "yes", "reasoning": "p"},
+        {"company": "D", "question": "no answer?"},
+        {},
+        None,
+    ]
+    rows = [(0, at, None if record is None else json.dumps(record)) for at, record in enumerate(told)]
+    raw = qa_records.convert(spark.createDataFrame(rows, "file_ord int, record_ord long, record string"), qa_records.SOURCES["convfinqa"])
+    assert _plan(raw).count("parseJson") == 1 and "Union" not in _plan(raw)
+    got = {(r.record_ord, r.turn_ord): r for r in raw.collect()}
+    assert {key: (r.id, r.instruction, r.source, r.category) for key, r in got.items()} == {
+        (0, 0): ("convfinqa-000-000000-000", "one?", "ConvFinQA", "convfinqa_reasoning"),
+        (0, 2): ("convfinqa-000-000000-002", "three?", "ConvFinQA", "convfinqa_reasoning"),
+        (2, 0): ("convfinqa-000-000002-000", "alone?", "FinQA", "finqa_reasoning"),
+    }
+    assert [json.loads(got[key].context) for key in sorted(got)] == [
+        {"dataset": "ConvFinQA", "company": "A", "table": None, "report_text": "", "conversation_history": [], "reasoning_steps": None},
+        {"dataset": "ConvFinQA", "company": "A", "table": None, "report_text": "",
+         "conversation_history": [{"question": "one?", "answer": "1"}], "reasoning_steps": None},
+        {"dataset": "FinQA", "company": "C", "table": None, "report_text": "", "reasoning_steps": "p"},
+    ]
+
+
 def test_generic_records(spark, tmp_path):
     root = str(tmp_path)
     put(root, "g.csv", "prompt,gold_answer,cot,ticker,fiscal_period,evidence\np1,a1,because,TCK,2019,some text\np2,,,,,\n")
