@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.json_text import float_text, indented, quote
-from ledgerloom.functions.text import strip
+from ledgerloom.functions.text import SPACE, strip
 from ledgerloom.operators.scale import broadcast_if_small
 from ledgerloom.session import checkpointed
 from ledgerloom.sources.json_pieces import list_items
@@ -106,7 +106,7 @@ def list_files(spark: SparkSession, roots: Sequence[str]) -> DataFrame:
 def read_lines(spark: SparkSession, root: str) -> DataFrame:
     """Non-blank JSONL lines with their positions."""
     lines = _reader(spark, "jsonl").text(root)
-    return lines.filter(_of_kind("jsonl") & (strip(F.col("value")) != "")).select(
+    return lines.filter(_of_kind("jsonl") & F.col("value").rlike(f"(?U)[^{SPACE[1:]}")).select(
         F.col("value").alias("record"), *_position()
     )
 
@@ -163,7 +163,10 @@ def unwrapped(document: Column) -> Column:
     Anything else gives nothing.
     """
     strict = {"mode": "FAILFAST"}
-    text = strip(document)
+
+    # What is used more than once is bound: a document may be tens of megabytes.
+    def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+        return F.element_at(F.transform(F.array(value), body), 1)
 
     def listed(value: Column) -> Column:
         return F.when(value.startswith("["), F.from_json(value, "array<string>"))
@@ -171,29 +174,35 @@ def unwrapped(document: Column) -> Column:
     def objects(values: Column) -> Column:
         return F.filter(values, lambda value: value.startswith("{"))
 
-    by_key = F.from_json(text, "map<string,string>", strict)
-    wrapped = F.coalesce(*[listed(F.element_at(by_key, F.lit(key))) for key in WRAPPERS])
-    nested = F.flatten(
-        F.filter(F.transform(F.map_values(by_key), listed), lambda values: values.isNotNull())
-    )
-    from_object = F.when(wrapped.isNotNull(), objects(wrapped)).otherwise(
-        F.when(F.size(objects(nested)) > 0, objects(nested)).otherwise(F.array(text))
-    )
-    scalar = F.when(
-        F.parse_json(text).isNotNull(), F.array().cast("array<string>")
-    )
-    return (
-        F.when(text.startswith("["), objects(F.from_json(text, "array<string>", strict)))
-        .when(text.startswith("{"), from_object)
-        .otherwise(scalar)
-    )
+    def nested(by_key: Column) -> Column:
+        lists = F.transform(F.map_values(by_key), listed)
+        return objects(F.flatten(F.filter(lists, lambda values: values.isNotNull())))
+
+    def from_object(text: Column) -> Column:
+        def of_keys(by_key: Column) -> Column:
+            wrapped = F.coalesce(*[listed(F.element_at(by_key, F.lit(key))) for key in WRAPPERS])
+            several = bound(nested(by_key), lambda found: F.when(F.size(found) > 0, found).otherwise(F.array(text)))
+            return bound(wrapped, lambda found: F.when(found.isNotNull(), objects(found)).otherwise(several))
+
+        return bound(F.from_json(text, "map<string,string>", strict), of_keys)
+
+    def items(text: Column) -> Column:
+        scalar = F.when(F.parse_json(text).isNotNull(), F.array().cast("array<string>"))
+        return (
+            F.when(text.startswith("["), objects(F.from_json(text, "array<string>", strict)))
+            .when(text.startswith("{"), from_object(text))
+            .otherwise(scalar)
+        )
+
+    return bound(strip(document), items)
 
 
 def _whole_documents(files: DataFrame) -> DataFrame:
+    # An inner explode would have the planner filter on the size of the list, which parses every document twice.
     return files.select(
         F.col("_metadata.file_path").alias("file_path"),
-        F.posexplode(unwrapped(F.col("value"))).alias("record_ord", "record"),
-    ).select("record", "file_path", F.col("record_ord").cast("bigint").alias("record_ord"))
+        F.posexplode_outer(unwrapped(F.col("value"))).alias("record_ord", "record"),
+    ).filter(F.col("record_ord").isNotNull()).select("record", "file_path", F.col("record_ord").cast("bigint").alias("record_ord"))
 
 
 def read_documents(spark: SparkSession, root: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:

@@ -188,13 +188,20 @@ def _picked(rows: DataFrame, chains: dict[str, Sequence[str]], names: Sequence[s
 
 
 def _answered(rows: DataFrame, chains: dict[str, Sequence[str]], extra: Sequence[str]) -> DataFrame:
-    """Usable records with the text of their question and answer."""
+    """Usable records with the text of their question and answer.
+
+    A record becomes a list of one question or none. A filter on the picked
+    fields would be moved below them and parse and pick every record twice.
+    """
     picked = _picked(rows, chains, ["question", "answer", "reasoning", *extra])
     usable = F.expr(truthy_sql("_question")) & F.col("_answer").isNotNull()
+    asked = F.struct(F.col("_question.text").alias("question"), F.col("_answer.text").alias("answer"))
     return (
-        picked.filter(usable)
-        .withColumn("_question", F.col("_question.text"))
-        .withColumn("_answer", F.col("_answer.text"))
+        picked.select("*", F.explode_outer(F.when(usable, F.array(asked))).alias("_asked"))
+        .filter(F.col("_asked").isNotNull())
+        .withColumn("_question", F.col("_asked.question"))
+        .withColumn("_answer", F.col("_asked.answer"))
+        .drop("_asked")
     )
 
 

@@ -169,6 +169,28 @@ def test_conversation_records_are_taken_apart_once(spark):
     ]
 
 
+@pytest.mark.parametrize("name", ["finqa", "financebench"])
+def test_single_questions_are_parsed_once(spark, name):
+    """Records without a usable question go without a filter that parses all records again."""
+    told = [{"question": "one?", "answer": 5}, {"question": "", "answer": 1}, {"question": "three?"}, {"answer": 4}, {}, None]
+    rows = [(0, at, None if record is None else json.dumps(record)) for at, record in enumerate(told)]
+    raw = qa_records.convert(spark.createDataFrame(rows, "file_ord int, record_ord long, record string"), qa_records.SOURCES[name])
+    assert _plan(raw).count("parseJson") == 1
+    assert [(r.record_ord, r.instruction, r.output) for r in raw.collect()] == [(0, "one?", "Decision: ANSWER\nReason: 5")]
+
+
+def test_documents_are_parsed_once(spark, tmp_path):
+    """A whole document is parsed once however its records are wrapped."""
+    root = str(tmp_path)
+    shapes = [[{"i": 0}, 5], {"data": [{"i": 1}, None], "items": [{"i": 9}]}, {"items": []}, {"a": [{"i": 2}], "b": [{"i": 3}], "c": 1}, {"i": 4}, 17]
+    for at, shape in enumerate(shapes):
+        put(root, f"{at}.json", f"\n {json.dumps(shape)} \n")
+    found = files.read_documents(spark, root)
+    assert len(re.findall(r"from_json\(MapType", _plan(found))) == 1
+    rows = sorted((r.file_path[-6], r.record_ord, json.loads(r.record)["i"]) for r in found.collect())
+    assert rows == [("0", 0, 0), ("1", 0, 1), ("3", 0, 2), ("3", 1, 3), ("4", 0, 4)]
+
+
 def test_generic_records(spark, tmp_path):
     root = str(tmp_path)
     put(root, "g.csv", "prompt,gold_answer,cot,ticker,fiscal_period,evidence\np1,a1,because,TCK,2019,some text\np2,,,,,\n")
