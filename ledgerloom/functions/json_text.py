@@ -64,20 +64,26 @@ CASE
 END"""
 
 # One character (named ``c``) as an escape, as a surrogate pair above the basic plane.
-_ESCAPE_SQL = r"""
+_SHORT = " ".join(
+    f"WHEN c = {sql_text(char)} THEN {sql_text(written)}" for char, written in SHORT_ESCAPES.items() if not char.isprintable()
+)
+_ESCAPE_SQL = rf"""
 CASE
+  {_SHORT}
   WHEN ascii(c) < 65536 THEN concat(r'\u', lpad(lower(hex(ascii(c))), 4, '0'))
   ELSE concat(r'\u', lower(hex(55296 + shiftright(ascii(c) - 65536, 10))),
               r'\u', lower(hex(56320 + ((ascii(c) - 65536) & 1023))))
 END"""
 
 # A string (named ``s``) as the inside of a JSON literal. Texts in printable
-# ASCII skip the fold, which runs once per distinct odd character.
-_SHORT = "s"
+# ASCII skip the fold, which runs once per distinct odd character. Escapes are
+# printable, so it does not matter which character is replaced first.
+_PRINTABLE = "s"
 for _char, _written in SHORT_ESCAPES.items():
-    _SHORT = f"replace({_SHORT}, {sql_text(_char)}, {sql_text(_written)})"
+    if _char.isprintable():
+        _PRINTABLE = f"replace({_PRINTABLE}, {sql_text(_char)}, {sql_text(_written)})"
 QUOTE_SQL = f"""
-concat('"', {sql_let(_SHORT, "t", f"""
+concat('"', {sql_let(_PRINTABLE, "t", f"""
 CASE WHEN t RLIKE '[^ -~]'
   THEN aggregate(array_distinct(regexp_extract_all(t, '([^ -~])', 1)), t,
                  (done, c) -> replace(done, c, {_ESCAPE_SQL}))

@@ -131,3 +131,13 @@ def test_infinities_and_long_digit_runs(spark):
     assert [row[0] for row in got] == [float("inf"), float("-inf"), 1000.5, None]
     assert [row[1] for row in got][:2] == [float("inf"), float("-inf")] and got[2][1] != got[2][1] and got[3][1] is None
     assert [row[3] for row in got][:3] == ['{"amount": Infinity}', '{"amount": -Infinity}', '{"amount": 1000.5}']
+
+
+def test_quoting_scans_for_what_a_text_has(spark):
+    """Only the two printable escapes are looked for in every text; all others once per character found."""
+    assert json_text.QUOTE_SQL.count("replace(") == 3
+    odd = [chr(n) for n in (*range(0x300), 0x2028, 0xFFFF, 0x1F600)]
+    texts = [*odd, *[f"{c}a\\{c}\n\"\\n{c}" for c in odd], "".join(odd), "", "plain"]
+    quoted = spark.createDataFrame([(text,) for text in texts], "s string").select("s", json_text.quote(F.col("s")).alias("q"))
+    assert all(row.q == json.dumps(row.s) for row in quoted.collect())
+    assert spark.sql("SELECT cast(NULL AS STRING) AS s").select(json_text.quote(F.col("s"))).first()[0] is None
